@@ -1,5 +1,5 @@
 """Registered queries: name -> (DataFrame function of (spark, sf_dir), SQL twin or None)."""
 
-from stockflow.queries import marts
+from stockflow.queries import loading, marts
 
-REGISTRY = {**marts.QUERIES}
+REGISTRY = {**marts.QUERIES, **loading.QUERIES}
