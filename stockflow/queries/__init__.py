@@ -1,5 +1,5 @@
 """Registered queries: name -> (DataFrame function of (spark, sf_dir), SQL twin or None)."""
 
-from stockflow.queries import loading, marts
+from stockflow.queries import checks, loading, marts, streams
 
-REGISTRY = {**marts.QUERIES, **loading.QUERIES}
+REGISTRY = {**marts.QUERIES, **loading.QUERIES, **checks.QUERIES, **streams.QUERIES}
