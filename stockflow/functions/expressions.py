@@ -8,9 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Landing files are named <feed>_<yyyyMMdd>_<HHmmss>.csv; stock status labels.
-FILE_PATTERN = r"([A-Za-z]+(?:_[A-Za-z]+)*)_(\d{8})_(\d{6})\.csv"
-FILE_TIME_FORMAT = "yyyyMMddHHmmss"
+# Stock status labels.
 RUPTURED, BELOW_MIN, REORDER, OK = "RUPTURED", "BELOW_MIN", "REORDER", "OK"
 # End of fixed values.
 
@@ -73,20 +71,6 @@ def receipt_time(delivery_date: Column) -> Column:
     return delivery_date.cast("date").cast("timestamp_ntz") + F.expr("INTERVAL 8 HOURS")
 
 
-def file_name(path: Column) -> Column:
-    """The export's name, whether ``path`` is the file itself or a part of an export folder."""
-    return F.regexp_extract(path, FILE_PATTERN, 0)
-
-
-def file_feed(path: Column) -> Column:
-    return F.regexp_extract(path, FILE_PATTERN, 1)
-
-
-def file_time(path: Column) -> Column:
-    stamp = F.concat(F.regexp_extract(path, FILE_PATTERN, 2), F.regexp_extract(path, FILE_PATTERN, 3))
-    return F.try_to_timestamp(stamp, F.lit(FILE_TIME_FORMAT))
-
-
 def reasons(*pairs: tuple[Column, str]) -> Column:
     """Labels of the conditions that hold, in the given order; an unknown condition does not count."""
     return F.array_compact(F.array(*[F.when(condition, F.lit(label)) for condition, label in pairs]))

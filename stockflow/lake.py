@@ -48,6 +48,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob; an absent folder matches nothing."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().toString() for status in fs.globStatus(jpath) or []]
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -39,13 +39,17 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str |
     return ranked.where("_rank = 1").drop("_rank")
 
 
-def merge_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], source_keys: DataFrame | None = None
+) -> DataFrame:
     """MERGE that updates every column of a match and inserts the rest: the source, and what it does not match.
 
     Only the source's keys are joined, as an anti join: a small batch is broadcast at run time and the target is
-    not shuffled; a large one is a sort-merge join whose skewed target partitions are split.
+    not shuffled; a large one is a sort-merge join whose skewed target partitions are split. ``source_keys`` may
+    name a cheaper relation with the same set of keys.
     """
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    matched = (source if source_keys is None else source_keys).select(*keys)
+    kept = target.join(matched, list(keys), "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 
@@ -104,13 +108,18 @@ def upsert(
     periods = [p[PERIOD] for p in profile]
     target = lake.read(table).where(F.col(PERIOD).isin(periods))
 
+    landed = rows
     if repeated and on_duplicate == "error":
         raise DuplicateKeys(f"{table}: the batch repeats a key ({', '.join(keys)})")
     if repeated and on_duplicate == "latest":
         rows = latest_per_key(rows, keys, latest_by)
     if repeated and on_duplicate == "insert" and not merge_conflicts(target, rows, keys).isEmpty():
         raise AmbiguousMerge(f"{table}: several rows of the batch match one row of the table")
-    lake.replace_partitions(table, merge_rows(target, rows, keys))
+    # Choosing one row per key does not change the set of keys, so the join need not wait for it; and in periods
+    # the table does not have yet there is nothing to join.
+    known = lake.partitions(table, PERIOD).where(F.col(PERIOD).isin([str(p) for p in periods]))
+    merged = rows if known.isEmpty() else merge_rows(target, rows, keys, landed)
+    lake.replace_partitions(table, merged)
 
 
 def project_to(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -52,11 +52,14 @@ def load_bronze(
     their columns. Rejected rows replace those of an earlier run of the same export, so a rerun changes nothing but
     adds its monitoring rows, which come last: they tell of a load that succeeded.
     """
-    batch = landing.read_landing(lake.spark, landing_dir, spec, since, same_day=same_day)
-    if batch is None or batch.isEmpty():
+    exports = landing.list_exports(lake.spark, landing_dir, spec.name, since, same_day=same_day)
+    batch = landing.read_landing(lake.spark, spec, exports)
+    if batch is None:
         return
     landing.write_raw(lake, spec, batch)
-    checked = quality.check_raw(landing.read_raw(lake, spec, since), spec)
+    raw = lake.read(landing.raw_table(spec))
+    taken = [F.lit(e.taken.isoformat(" ")).cast("timestamp") for e in exports]
+    checked = quality.check_raw(raw.where(F.col(landing.RAW_PARTITION).isin(taken)), spec)
 
     store_rejected(lake, spec, quality.rejected(checked))
     rows = add_load_columns(quality.accepted(checked, spec), processed_at, source_system)

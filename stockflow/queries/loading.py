@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.lake import PERIOD, Lake
-from stockflow.model import MOVEMENTS, SALES
+from stockflow.model import MOVEMENTS, SALES, TableSpec
 from stockflow.operators import merge
 from stockflow.plans import layers
 from stockflow.queries import sql
@@ -34,6 +34,10 @@ def export_sales(spark: SparkSession, sf_dir: str, label: str, feed: DataFrame |
     return lake, landing_dir
 
 
+def landed(spark: SparkSession, landing_dir: str, spec: TableSpec, since: str | None = None) -> DataFrame:
+    return landing.read_landing(spark, spec, landing.list_exports(spark, landing_dir, spec.name, since))
+
+
 def movement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The movement export, from sales: one flat row per fulfilled order line."""
     d = Domain(spark, sf_dir)
@@ -59,7 +63,7 @@ def movement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, landing_dir = export_sales(spark, sf_dir, "incremental")
-    batch = landing.read_landing(spark, landing_dir, SALES, SINCE)
+    batch = landed(spark, landing_dir, SALES, SINCE)
     return batch.select("order_id", "product_id", "order_date", "line_total_eur", "source_file")
 
 
@@ -68,19 +72,18 @@ def feed_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, landing_dir = export_sales(spark, sf_dir, "routing")
     landing.export_csv(movement_feed(spark, sf_dir), landing_dir, MOVEMENTS.name, export_time(F.col("movement_date")))
     counted = [
-        landing.read_landing(spark, landing_dir, spec)
+        landed(spark, landing_dir, spec)
         .groupBy("source_file")
         .agg(F.count(F.lit(1)).alias("n_rows"))
         .withColumn("feed", F.lit(spec.name))
         for spec in (SALES, MOVEMENTS)
     ]
-    listed = landing.list_exports(spark, landing_dir).select("feed", "source_file")
-    return listed.join(counted[0].unionByName(counted[1]), ["feed", "source_file"])
+    return counted[0].unionByName(counted[1])
 
 
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, landing_dir = export_sales(spark, sf_dir, "csv")
-    batch = landing.read_landing(spark, landing_dir, SALES)
+    batch = landed(spark, landing_dir, SALES)
     typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SALES.landing_schema()])
     return as_plain_time(typed, *SALES_TIMES)
 
@@ -90,7 +93,7 @@ def csv_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lake.scratch(spark, "export")
     landing_dir = f"{lake.root}-landing"
     landing.export_csv(movement_feed(spark, sf_dir), landing_dir, MOVEMENTS.name, export_time(F.col("movement_date")))
-    batch = landing.read_landing(spark, landing_dir, MOVEMENTS)
+    batch = landed(spark, landing_dir, MOVEMENTS)
     typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in MOVEMENTS.landing_schema()])
     return as_plain_time(typed, "movement_ts", "erp_export_ts")
 
@@ -98,7 +101,7 @@ def csv_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_twice(spark: SparkSession, sf_dir: str, label: str) -> Lake:
     lake, landing_dir = export_sales(spark, sf_dir, label)
     for since in (None, SINCE):
-        landing.write_raw(lake, SALES, landing.read_landing(spark, landing_dir, SALES, since))
+        landing.write_raw(lake, SALES, landed(spark, landing_dir, SALES, since))
     return lake
 
 

@@ -6,17 +6,23 @@ An export is either one file ``sales_20260105_180500.csv`` or, at scale, a folde
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockflow.functions.expressions import file_feed, file_name, file_time
-from stockflow.lake import Lake
+from stockflow.lake import Lake, glob_paths
 from stockflow.model import TableSpec
 
+# Landing files are named <feed>_<yyyyMMdd>_<HHmmss>.csv.
+STAMP_FORMAT, STAMP_PARSE, STAMP_LENGTH = "yyyyMMdd_HHmmss", "%Y%m%d_%H%M%S", 15
+STAMP_GLOB = "[0-9]" * 8 + "_" + "[0-9]" * 6
+SUFFIX = ".csv"
+# End of fixed values.
+
 # Doubled quotes inside quoted fields, as spreadsheet and data-frame tools write them.
 CSV_OPTIONS = {"header": "true", "escape": '"'}
 MALFORMED = "malformed_row"
@@ -27,9 +33,18 @@ class SchemaMismatch(ValueError):
     """A landed batch lacks columns that its table needs."""
 
 
+@dataclass(frozen=True)
+class Export:
+    """One export: where it lies, its plain name, and the time in that name (UTC)."""
+
+    path: str
+    name: str
+    taken: datetime
+
+
 def export_csv(df: DataFrame, landing_dir: str, feed: str, exported_at: Column) -> None:
     """Write one export per distinct time; no rows, no export."""
-    name = F.concat(F.lit(f"{feed}_"), F.date_format(exported_at, "yyyyMMdd_HHmmss"), F.lit(".csv"))
+    name = F.concat(F.lit(f"{feed}_"), F.date_format(exported_at, STAMP_FORMAT), F.lit(SUFFIX))
     (
         df.withColumn("export", name)
         .hint("rebalance", "export")
@@ -40,80 +55,80 @@ def export_csv(df: DataFrame, landing_dir: str, feed: str, exported_at: Column)
     )
 
 
-def feed_glob(landing_dir: str, feed: str) -> str:
-    return f"{landing_dir}/{{{feed}_*.csv,*={feed}_*.csv}}"
-
-
-def _selected(
-    since: datetime | str | None, until: datetime | str | None, same_day: bool, path: Column
-) -> Column:
-    """Exports from ``since`` on, that second included; files outside are skipped without being opened."""
-    taken = file_time(path)
-    keep = taken.isNotNull()
-    if since is not None:
-        keep &= taken >= F.lit(since).cast("timestamp")
-        if same_day:
-            keep &= F.to_date(taken) == F.to_date(F.lit(since).cast("timestamp"))
-    if until is not None:
-        keep &= taken < F.lit(until).cast("timestamp")
-    return keep
+def moment(value: datetime | str) -> datetime:
+    """A time in UTC without offset, from a datetime or ISO text with or without an offset."""
+    taken = datetime.fromisoformat(value) if isinstance(value, str) else value
+    return (taken - taken.utcoffset()).replace(tzinfo=None) if taken.tzinfo else taken
 
 
-def read_landing(
+def list_exports(
     spark: SparkSession,
     landing_dir: str,
-    spec: TableSpec,
+    feed: str,
     since: datetime | str | None = None,
     until: datetime | str | None = None,
     same_day: bool = False,
-) -> DataFrame | None:
-    """Rows of one feed as strings, with ``source_file`` and ``ingestion_date``; None if the feed has no export.
+) -> list[Export]:
+    """The feed's exports from ``since`` on, that second included, oldest first.
+
+    Only the names in the landing folder are read, and they decide: the part files of exports outside the window
+    are never listed. Other files and other feeds do not match. The window is open-ended, so that exports made
+    after midnight count; ``same_day`` restores the one-day rule.
+    """
+    found = []
+    for path in glob_paths(spark, f"{landing_dir}/{{{feed}_{STAMP_GLOB}{SUFFIX},*={feed}_{STAMP_GLOB}{SUFFIX}}}"):
+        name = path.rsplit("/", 1)[-1].rsplit("=", 1)[-1]
+        try:
+            taken = datetime.strptime(name.removeprefix(f"{feed}_").removesuffix(SUFFIX), STAMP_PARSE)
+        except ValueError:
+            continue
+        if since is not None and taken < moment(since):
+            continue
+        if same_day and since is not None and taken.date() != moment(since).date():
+            continue
+        if until is not None and taken >= moment(until):
+            continue
+        found.append(Export(path, name, taken))
+    return sorted(found, key=lambda e: (e.taken, e.path))
+
+
+def read_landing(spark: SparkSession, spec: TableSpec, exports: Sequence[Export]) -> DataFrame | None:
+    """Rows of the exports as strings, with ``source_file`` and ``ingestion_date``; None without exports.
 
-    The window is open-ended, so exports made after midnight count; ``same_day`` restores the one-day rule.
     Every header is checked against the first; a column the table needs but the exports lack fails the batch,
-    a column it does not know is ignored.
+    a column the table does not know is ignored. A line with too few or too many fields keeps its text in
+    ``malformed_row``.
     """
+    if not exports:
+        return None
+    paths = [e.path for e in exports]
     reader = spark.read.options(**CSV_OPTIONS).option("recursiveFileLookup", "true")
-    try:
-        header = reader.csv(feed_glob(landing_dir, spec.name)).columns
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+    header = reader.csv(paths[0]).columns
     missing = [c for c in spec.landing_columns if c not in header]
     if missing:
         raise SchemaMismatch(f"{spec.name}: columns missing from the export: {', '.join(missing)}")
     as_text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, MALFORMED]])
+    # The file itself carries the export's name, or else the folder it lies in does.
     path = F.col("_metadata.file_path")
+    file, folder = F.substring_index(path, "/", -1), F.substring_index(F.substring_index(path, "/", -2), "/", 1)
+    prefix = f"{spec.name}_"
+    name = F.when(file.startswith(prefix), file).otherwise(F.substring_index(folder, "=", -1))
+    stamp = F.substring(name, len(prefix) + 1, STAMP_LENGTH)
     return (
         reader.schema(as_text)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", MALFORMED)
         .option("enforceSchema", "false")
-        .csv(feed_glob(landing_dir, spec.name))
-        .where((file_feed(path) == spec.name) & _selected(since, until, same_day, path))
+        .csv(paths)
         .select(
-            *spec.landing_columns, MALFORMED, file_name(path).alias("source_file"), file_time(path).alias(RAW_PARTITION)
+            *spec.landing_columns,
+            MALFORMED,
+            name.alias("source_file"),
+            F.to_timestamp(stamp, STAMP_FORMAT).alias(RAW_PARTITION),
         )
     )
 
 
-def list_exports(spark: SparkSession, landing_dir: str) -> DataFrame:
-    """Exports with their feed, time and size, for all feeds. Reads the directory entries, not the contents."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(landing_dir)
-        .select("path", F.col("length").alias("n_bytes"))
-        .where(file_time(F.col("path")).isNotNull())
-    )
-    return files.groupBy(
-        file_feed(F.col("path")).alias("feed"),
-        file_name(F.col("path")).alias("source_file"),
-        file_time(F.col("path")).alias(RAW_PARTITION),
-    ).agg(F.sum("n_bytes").alias("n_bytes"))
-
-
 def raw_table(spec: TableSpec) -> str:
     return f"raw_{spec.name}"
 
