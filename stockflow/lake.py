@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,6 +140,10 @@ class Lake:
     def append(self, table: str, df: DataFrame) -> None:
         df.select(*self.read(table).columns).write.mode("append").insertInto(self.name(table))
 
+    def drop_partitions(self, table: str, column: str, times: Sequence[datetime]) -> None:
+        listed = ", ".join(f"PARTITION ({column} = TIMESTAMP '{t.isoformat(' ')}')" for t in times)
+        self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {listed}")
+
     def partitions(self, table: str, column: str) -> DataFrame:
         """Partition values from the catalog only; no data file is opened."""
         listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")

@@ -110,6 +110,9 @@ PO_STATUSES = ("draft", "sent", "confirmed", "received", "partial", "cancelled")
 MOVEMENT_TYPES = ("sale", "po_receipt", "adjustment", "transfer", "initial_stock")
 # End of fixed values.
 
+# A landed line that does not split into the header's fields keeps its text in this column.
+MALFORMED = "malformed_row"
+
 _ADDED = ("source_system", "processed_date")
 
 MOVEMENTS = TableSpec(

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.functions.expressions import all_not_null, reasons
-from stockflow.model import TableSpec
-from stockflow.sources.landing import MALFORMED
+from stockflow.model import MALFORMED, TableSpec
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -54,7 +53,7 @@ def row_reasons(schema: T.StructType, keys: Sequence[str], malformed: str | None
 
 
 def check_raw(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Raw rows with their ``reasons``; accepted and rejected rows are filters on the same scan."""
+    """Landed rows with their ``reasons``; accepted and rejected rows are filters on that column."""
     return raw.withColumn("reasons", row_reasons(spec.landing_schema(), spec.keys, MALFORMED))
 
 

@@ -55,10 +55,12 @@ def running_sum(
     value: str,
     out: str,
     hot_rows: int = HOT_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """``out`` = sum of ``value`` over the rows of the key up to and including this one.
 
-    ``order`` must be a total order within a key.
+    ``order`` must be a total order within a key. ``slices`` (default: the shuffle partitions) is the number of
+    ranges the rows of hot keys are cut into.
     """
     frame = Window.partitionBy(*keys).orderBy(*_ascending(order)).rowsBetween(Window.unboundedPreceding, 0)
     ordinary, hot = split_hot(df, keys, hot_rows)
@@ -67,7 +69,8 @@ def running_sum(
         return result
 
     # The slice number is only stable once it is written: a lost task could otherwise cut the ranges anew.
-    sliced = hot.repartitionByRange(*_ascending([*keys, *order])).withColumn(SLICE, F.spark_partition_id())
+    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = hot.repartitionByRange(slices, *_ascending([*keys, *order])).withColumn(SLICE, F.spark_partition_id())
     sliced = materialise(sliced, "hot-slices")
     sums = sliced.groupBy(*keys, SLICE).agg(F.sum(value).alias("_sum"))
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)

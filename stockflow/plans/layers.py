@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -48,20 +49,19 @@ def load_bronze(
 ) -> None:
     """Exports from ``since`` on, into raw, rejected, Bronze and monitoring tables.
 
-    The text is parsed once, into the raw table; the later steps read that, pruned to the batch's exports and to
-    their columns. Rejected rows replace those of an earlier run of the same export, so a rerun changes nothing but
+    The text is parsed and checked once, into the raw table; the later steps read that, pruned to the batch's
+    exports and to their columns. Rejected rows replace those of an earlier run of the same export, so a rerun changes nothing but
     adds its monitoring rows, which come last: they tell of a load that succeeded.
     """
     exports = landing.list_exports(lake.spark, landing_dir, spec.name, since, same_day=same_day)
     batch = landing.read_landing(lake.spark, spec, exports)
     if batch is None:
         return
-    landing.write_raw(lake, spec, batch)
-    raw = lake.read(landing.raw_table(spec))
+    landing.write_raw(lake, spec, quality.check_raw(batch, spec))
     taken = [F.lit(e.taken.isoformat(" ")).cast("timestamp") for e in exports]
-    checked = quality.check_raw(raw.where(F.col(landing.RAW_PARTITION).isin(taken)), spec)
+    checked = lake.read(landing.raw_table(spec)).where(F.col(landing.RAW_PARTITION).isin(taken))
 
-    store_rejected(lake, spec, quality.rejected(checked))
+    store_rejected(lake, spec, quality.rejected(checked), exports)
     rows = add_load_columns(quality.accepted(checked, spec), processed_at, source_system)
     merge.upsert(
         lake, bronze_table(spec), spec.schema, rows, spec.keys, spec.date_key, on_duplicate, spec.latest_by, grain
@@ -70,8 +70,10 @@ def load_bronze(
     lake.append(MONITORING_TABLE, quality.monitoring_rows(checked, spec))
 
 
-def store_rejected(lake: Lake, spec: TableSpec, rows: DataFrame) -> None:
+def store_rejected(lake: Lake, spec: TableSpec, rows: DataFrame, exports: Sequence[landing.Export]) -> None:
+    """Rejected rows by export time. An export that is landed again loses its former rejects, also if it has none now."""
     lake.ensure(rejected_table(spec), rows.schema, partition_by=landing.RAW_PARTITION)
+    lake.drop_partitions(rejected_table(spec), landing.RAW_PARTITION, [e.taken for e in exports])
     lake.replace_partitions(rejected_table(spec), rows, landing.RAW_PARTITION)
 
 

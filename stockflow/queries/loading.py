@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from stockflow.lake import PERIOD, Lake
 from stockflow.model import MOVEMENTS, SALES, TableSpec
-from stockflow.operators import merge
-from stockflow.plans import layers
+from stockflow.operators import merge, quality
+from stockflow.plans import job, layers
 from stockflow.queries import sql
 from stockflow.queries.common import as_doubles, as_plain_time, grain_for
 from stockflow.sources import landing
@@ -101,7 +101,7 @@ def csv_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def land_twice(spark: SparkSession, sf_dir: str, label: str) -> Lake:
     lake, landing_dir = export_sales(spark, sf_dir, label)
     for since in (None, SINCE):
-        landing.write_raw(lake, SALES, landed(spark, landing_dir, SALES, since))
+        landing.write_raw(lake, SALES, quality.check_raw(landed(spark, landing_dir, SALES, since), SALES))
     return lake
 
 
@@ -148,6 +148,16 @@ def silver_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(as_doubles(lake.read(layers.silver_table(SALES)), *SALES.money))
 
 
+def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both feeds from landing to Silver in one run, then daily sales over Silver."""
+    d = Domain(spark, sf_dir)
+    lake, landing_dir = export_sales(spark, sf_dir, "job")
+    landing.export_csv(movement_feed(spark, sf_dir), landing_dir, MOVEMENTS.name, export_time(F.col("movement_date")))
+    job.run_batch(lake, landing_dir, FIRST_RUN, grain=grain_for(d, "orders", "o_orderdate"))
+    sales = job.sales_by_day(lake.read(layers.silver_table(SALES)))
+    return as_doubles(sales, "total_qty_sold", "total_revenue_eur")
+
+
 # Merge operators: orders as a table, keyed by order and date.
 ORDER_SCHEMA = T.StructType(
     [
@@ -301,6 +311,14 @@ FROM sales_feed WHERE {_YEARLY} = (SELECT MAX({_YEARLY}) FROM sales_feed)""",
         + f"""SELECT *, 'ERP' AS source_system, CASE WHEN {_YEARLY} >= TIMESTAMP '{SINCE}'
     THEN TIMESTAMP '{SECOND_RUN}' ELSE TIMESTAMP '{FIRST_RUN}' END AS processed_date
 FROM latest_sales""",
+    ),
+    "batch_job": (
+        batch_job,
+        sql.with_(sql.LATEST_SALES)
+        + """SELECT order_date, location_code, product_id, sku,
+    CAST(SUM(CAST(qty_fulfilled AS DECIMAL(12,2))) AS DOUBLE) AS total_qty_sold,
+    CAST(SUM(CAST(line_total_eur AS DECIMAL(12,2))) AS DOUBLE) AS total_revenue_eur, COUNT(*) AS n_lines
+FROM latest_sales GROUP BY 1, 2, 3, 4""",
     ),
     "upsert_merge": (upsert_merge, _MERGED),
     "upsert_idempotent": (upsert_idempotent, _MERGED),

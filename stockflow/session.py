@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key's partition also where the next step then has to shuffle again.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -24,6 +26,13 @@ def build_session(app_name: str = "stockflow", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Give a session that was made elsewhere the settings the library relies on."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **conf: str):
     """Set runtime settings for a block (``a__b`` stands for ``a.b``) and put the old values back."""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.lake import Lake, glob_paths
-from stockflow.model import TableSpec
+from stockflow.model import MALFORMED, TableSpec
 
 # Landing files are named <feed>_<yyyyMMdd>_<HHmmss>.csv.
 STAMP_FORMAT, STAMP_PARSE, STAMP_LENGTH = "yyyyMMdd_HHmmss", "%Y%m%d_%H%M%S", 15
@@ -25,8 +25,8 @@ SUFFIX = ".csv"
 
 # Doubled quotes inside quoted fields, as spreadsheet and data-frame tools write them.
 CSV_OPTIONS = {"header": "true", "escape": '"'}
-MALFORMED = "malformed_row"
 RAW_PARTITION = "ingestion_date"
+REASONS = "reasons"
 
 
 class SchemaMismatch(ValueError):
@@ -134,9 +134,14 @@ def raw_table(spec: TableSpec) -> str:
 
 
 def write_raw(lake: Lake, spec: TableSpec, batch: DataFrame) -> None:
-    """Keep the batch as landed, by export time. Landing an export again replaces its partition."""
+    """Keep the checked batch as landed, with its ``reasons``, by export time.
+
+    Landing an export again replaces its partition. The checks run once, in this write; later steps that only need
+    keys and verdicts read those columns.
+    """
     text = [T.StructField(c, T.StringType()) for c in [*spec.landing_columns, MALFORMED, "source_file"]]
-    schema = T.StructType([*text, T.StructField(RAW_PARTITION, T.TimestampType())])
+    verdict = T.StructField(REASONS, T.ArrayType(T.StringType()))
+    schema = T.StructType([*text, verdict, T.StructField(RAW_PARTITION, T.TimestampType())])
     lake.ensure(raw_table(spec), schema, partition_by=RAW_PARTITION)
     lake.replace_partitions(raw_table(spec), batch, RAW_PARTITION)
 

@@ -1,0 +1,143 @@
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from stockflow.operators import marts
+from stockflow.plans import gold, serving
+from stockflow.sources import oltp
+from stockflow.functions import expressions as fx
+
+
+def day(n, month=1):
+    return dt.date(2024, month, n)
+
+
+def test_stock_status_buckets_in_order(spark):
+    df = spark.createDataFrame([(0.0,), (5.0,), (10.0,), (10.5,), (30.0,), (31.0,), (None,), (-1.0,)], "q double")
+    got = [r[0] for r in df.select(fx.stock_status(F.col("q"), F.lit(10), F.lit(30))).collect()]
+    assert got == ["RUPTURED", "BELOW_MIN", "BELOW_MIN", "REORDER", "REORDER", "OK", "OK", "BELOW_MIN"]
+
+
+def test_supplier_performance(spark):
+    orders = spark.createDataFrame(
+        [
+            (1, day(1), day(6), day(6)),
+            (1, day(1), day(6), day(7)),
+            (1, day(1), None, day(4)),
+            (2, day(1), day(9), None),
+            (3, day(1), day(9), day(1)),
+        ],
+        "supplier_id long, created_on date, expected_delivery date, actual_delivery date",
+    )
+    suppliers = spark.createDataFrame(
+        [(i, f"s{i}", "BE", 5.0) for i in (1, 2, 3, 4)],
+        "supplier_id long, supplier_name string, country string, avg_lead_time_days double",
+    )
+    rows = {r["supplier_id"]: r for r in marts.supplier_performance(orders, suppliers).collect()}
+    assert set(rows) == {1, 3}
+    # An unknown due date counts as late: one of three on time.
+    assert (rows[1]["total_pos"], rows[1]["on_time_rate"]) == (3, Decimal("0.33"))
+    assert rows[1]["avg_actual_lead_days"] == pytest.approx(14 / 3)
+    assert (rows[3]["avg_actual_lead_days"], rows[3]["on_time_rate"]) == (0.0, Decimal("1.00"))
+
+
+def test_available_stock_and_open_lines(spark):
+    stock = spark.createDataFrame(
+        [(1, 1, 5.0, 2.0), (2, 1, 5.0, 5.0), (3, 1, 0.0, -1.0), (4, 2, 9.0, 0.0)],
+        "product_id int, location_id int, qty_on_hand double, qty_reserved double",
+    )
+    places = spark.createDataFrame([(1, "shop", "sanicenter"), (2, "store", "regional_warehouse")], "location_id int, location_name string, location_type string")
+    assert [r["product_id"] for r in oltp.available_stock(stock, places).collect()] == [1]
+    orders = spark.createDataFrame([(1, "sent"), (2, "confirmed"), (3, "received")], "po_id int, status string")
+    lines = spark.createDataFrame([(1, 5, 5), (1, 5, 4), (2, 5, None), (3, 5, 0)], "po_id int, qty_ordered int, qty_received int")
+    assert [tuple(r) for r in oltp.open_purchase_lines(orders, lines).collect()] == [(1, "sent", 5, 4)]
+
+
+def test_lookup_falls_back_to_default(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    names = spark.createDataFrame([(1, "one")], "k int, name string")
+    assert {r["k"]: r["name"] for r in marts.lookup_with_default(df, names, "k", {"name": "?"}).collect()} == {1: "one", 2: "?", None: "?"}
+
+
+@pytest.fixture(scope="module")
+def ledger(spark):
+    stock = spark.sql("SELECT 1L product_id, 1L location_id, CAST(10 AS DECIMAL(12,2)) qty_on_hand")
+    sales = spark.sql(
+        "SELECT * FROM VALUES (7L, 1L, 1L, 9L, 1L, 4.0BD, TIMESTAMP_NTZ'2024-01-02 10:00:00'), (7L, 2L, 1L, 9L, 1L, 0.0BD, TIMESTAMP_NTZ'2024-01-02 10:00:00') "
+        "AS t(order_id, line_no, product_id, supplier_id, location_id, qty_fulfilled, order_ts)"
+    )
+    bought = spark.sql(
+        "SELECT * FROM VALUES (8L, 1L, 1L, 9L, 1L, 6.0BD, DATE'2024-01-03'), (8L, 2L, 1L, 9L, 1L, 6.0BD, NULL), (8L, 3L, 1L, 9L, 1L, 0.0BD, DATE'2024-01-03') "
+        "AS t(po_id, line_no, product_id, supplier_id, location_id, qty_received, actual_delivery)"
+    )
+    return marts.movement_ledger(stock, sales, bought, "2023-12-31 07:00:00")
+
+
+def test_ledger_holds_opening_sales_and_receipts(ledger):
+    assert ledger.columns == marts.LEDGER_COLUMNS
+    rows = {r["movement_type"]: r for r in ledger.collect()}
+    assert set(rows) == {"initial_stock", "sale", "po_receipt"} and ledger.count() == 3
+    assert rows["sale"]["qty_delta"] == -4 and rows["sale"]["notes"] == "Fulfilled from sales order 7"
+    assert rows["po_receipt"]["movement_ts"] == dt.datetime(2024, 1, 3, 8)
+    assert rows["po_receipt"]["notes"] == "Received from PO 8 — supplier 9"
+    assert rows["initial_stock"]["ref_order_id"] is None
+
+
+def test_transfers_are_kept_apart(ledger, spark):
+    moved = ledger.unionByName(ledger.limit(1).withColumns({"movement_type": F.lit("transfer"), "qty_delta": F.lit(3).cast("decimal(12,2)")}))
+    (row,) = gold.stock_on_hand(moved).collect()
+    assert (row["qty_on_hand"], row["qty_transferred"], row["n_movements"]) == (12, 3, 4)
+
+
+def test_calendar_has_no_gap_and_ends_with_the_last_sale(spark):
+    sales = spark.createDataFrame(
+        [("a", day(28, 2), 2), ("a", day(28, 2), 3), ("a", day(2, 3), 1), ("b", day(5), 7)], "k string, order_date date, qty_ordered int"
+    )
+    dense = gold.demand_daily_dense(sales, ["k"])
+    assert [tuple(r) for r in dense.orderBy("k", "demand_date").collect()] == [
+        ("a", day(28, 2), 5),
+        ("a", day(29, 2), 0),
+        ("a", day(1, 3), 0),
+        ("a", day(2, 3), 1),
+        ("b", day(5), 7),
+    ]
+    forecast = gold.forecast_moving_average(dense, ["k"], 2).orderBy("k", "demand_date").collect()
+    assert [r["forecast_qty"] for r in forecast] == [None, 5.0, 2.5, 0.0, None]
+    weekday = {(r["k"], r["weekday"]): r["forecast_qty"] for r in gold.forecast_weekday(dense, ["k"]).collect()}
+    assert weekday == {("a", 4): 5.0, ("a", 5): 0.0, ("a", 6): 0.0, ("a", 7): 1.0, ("b", 6): 7.0}
+
+
+def test_reorder_plan(spark):
+    demand = spark.sql("SELECT 1L product_id, 1L location_id, 100.0BD total_qty")
+    stock = spark.sql(
+        "SELECT * FROM VALUES (1L, 1L, 60.0BD, 5.0BD, 10.0BD, 30.0BD, 200.0BD), (2L, 1L, 60.0BD, 0.0BD, 10.0BD, 30.0BD, 200.0BD), (3L, 1L, 5.0BD, -300.0BD, 10.0BD, 30.0BD, 200.0BD) "
+        "AS t(product_id, location_id, qty_on_hand, qty_reserved, min_stock_level, reorder_point, max_stock_level)"
+    )
+    products = spark.sql("SELECT id product_id, 5L lead_time_days FROM range(5)")
+    rows = {r["product_id"]: r for r in gold.reorder_plan(demand, stock, products, 10).collect()}
+    assert (rows[1]["avg_daily_demand"], rows[1]["reorder_point"], rows[1]["qty_to_order"]) == (10.0, 60.0, 145)
+    assert (rows[2]["avg_daily_demand"], rows[2]["reorder_point"], rows[2]["qty_to_order"]) == (0.0, 10.0, 0)
+    assert rows[3]["qty_to_order"] == 0
+
+
+def test_kpis_keep_days_of_either_side(spark):
+    sales = spark.sql("SELECT DATE'2024-01-01' order_date, 10.0BD line_total_eur, 4.0BD qty_ordered, 3.0BD qty_fulfilled")
+    bought = spark.sql(
+        "SELECT * FROM VALUES (DATE'2024-01-02', DATE'2024-01-02'), (DATE'2024-01-02', DATE'2024-01-01'), (NULL, DATE'2024-01-01') AS t(actual_delivery, expected_delivery)"
+    )
+    rows = [tuple(r) for r in gold.kpi_daily(sales, bought).orderBy("kpi_date").collect()]
+    assert rows == [(day(1), Decimal("10.0"), 1, 0.75, None, None), (day(2), None, None, None, 2, 0.5)]
+
+
+def test_serving_view_splits_at_the_cut_off(spark):
+    batch = spark.createDataFrame([(day(1), 1), (day(2), 2)], "d date, n int")
+    speed = spark.createDataFrame([(day(1), 10), (day(2), 20), (day(3), 30)], "d date, n int")
+    rows = serving.serving_view(batch, speed, "d", "2024-01-02").collect()
+    assert sorted(tuple(r) for r in rows) == [(day(1), 1, "batch"), (day(2), 20, "speed"), (day(3), 30, "speed")]
+
+
+def test_preview_is_ordered(spark):
+    df = spark.range(100).selectExpr("99 - id AS id", "id AS other")
+    assert [r["id"] for r in marts.preview(df, ["id"], ["id"]).collect()] == [0, 1, 2, 3, 4]
