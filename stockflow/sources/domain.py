@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow.functions.expressions import fulfilment_status, money
+from stockflow.lake import path_bytes
 
 # Fixed values of this mapping.
 WAREHOUSE_REGIONS = ("ASIA", "MIDDLE EAST")
@@ -34,6 +35,9 @@ MIN_STOCK, REORDER_POINT, MAX_STOCK = 10, 30, 200
 DUE_DAYS = 30
 # End of fixed values.
 
+# Source files of a dimension up to this size are broadcast; beyond it the planner shuffles and splits skew.
+BROADCAST_BYTES = 8 * 1024 * 1024
+
 
 def relabel(column: Column, labels: dict[str, str], default: str | None = None) -> Column:
     (first, *rest) = labels.items()
@@ -46,8 +50,8 @@ def relabel(column: Column, labels: dict[str, str], default: str | None = None)
 class Domain:
     """Lazy DataFrames of the domain; each method reads only the columns its consumers keep."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, broadcast_bytes: int = BROADCAST_BYTES):
+        self.spark, self.sf_dir, self.broadcast_bytes = spark, sf_dir, broadcast_bytes
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
@@ -55,6 +59,15 @@ class Domain:
     def path(self, name: str) -> str:
         return f"{self.sf_dir}/{name}.parquet"
 
+    def dimension(self, df: DataFrame, *tables: str) -> DataFrame:
+        """Broadcast a dimension joined from several tables, if the size of their files allows it.
+
+        The planner's estimate for a join is the product of its sides, so it would shuffle the facts on the few
+        keys of a tiny dimension. Dimensions over one table need no hint: their estimate is the file's size.
+        """
+        size = sum(path_bytes(self.spark, self.path(t)) for t in tables)
+        return df.hint("broadcast") if size <= self.broadcast_bytes else df
+
     def products(self) -> DataFrame:
         return self.table("part").select(
             F.col("p_partkey").alias("product_id"),
@@ -68,13 +81,14 @@ class Domain:
     def locations(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
         kind = F.when(F.col("r_name").isin(*WAREHOUSE_REGIONS), "regional_warehouse").otherwise("sanicenter")
-        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        placed = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
             F.col("n_nationkey").cast("bigint").alias("location_id"),
             F.format_string("LOC-%02d", "n_nationkey").alias("location_code"),
             F.col("n_name").alias("location_name"),
             kind.alias("location_type"),
             F.col("r_name").alias("region"),
         )
+        return self.dimension(placed, "nation", "region")
 
     def customers(self) -> DataFrame:
         return self.table("customer").select(
@@ -88,7 +102,7 @@ class Domain:
 
     def suppliers(self) -> DataFrame:
         nation = self.table("nation").select("n_nationkey", F.col("n_name").alias("country"))
-        return (
+        placed = (
             self.table("supplier")
             .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
             .select(
@@ -99,6 +113,7 @@ class Domain:
                 F.lit(float(DUE_DAYS)).alias("avg_lead_time_days"),
             )
         )
+        return self.dimension(placed, "supplier", "nation")
 
     def order_lines(self) -> DataFrame:
         ordered = F.col("l_quantity")

@@ -35,14 +35,23 @@ def test_scans_read_only_needed_columns(spark):
         assert unused not in text
 
 
-def test_flagship_shuffles_the_lines_once_per_join(spark):
-    """Dimensions of checked size are broadcast by the planner itself; no hint forces it."""
-    df = mart_queries.daily_sales(spark, SF_DIR)
-    logical = df._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in logical
+def test_dimensions_are_broadcast_only_within_their_size(spark):
+    small, large = Domain(spark, SF_DIR), Domain(spark, SF_DIR, broadcast_bytes=0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "SortMergeJoin" in plan(mart_queries.daily_sales(spark, SF_DIR))
+        for d, joins in ((small, "BroadcastHashJoin"), (large, "SortMergeJoin")):
+            text = plan(d.order_lines().join(d.suppliers(), "supplier_id"))
+            assert text.index(joins) < text.index("l_orderkey")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_facts_are_not_shuffled_on_locations(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        for query in (mart_queries.daily_sales, mart_queries.dense_demand, mart_queries.ledger):
+            text = plan(query(spark, SF_DIR))
+            assert "hashpartitioning(location_id" not in text and "hashpartitioning(supplier_id" not in text
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
