@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.functions.expressions import period_start
+from stockflow.session import session_conf
 
 PERIOD = "period"
 GRAINS = ("day", "month", "year")
@@ -135,7 +136,8 @@ class Lake:
         ``rebalance`` sizes the output files and splits a partition that holds much more than the rest.
         """
         columns = self.read(table).columns
-        df.select(*columns).hint("rebalance", partition_by).write.mode("overwrite").insertInto(self.name(table))
+        with session_conf(self.spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
+            df.select(*columns).hint("rebalance", partition_by).write.mode("overwrite").insertInto(self.name(table))
 
     def append(self, table: str, df: DataFrame) -> None:
         df.select(*self.read(table).columns).write.mode("append").insertInto(self.name(table))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockflow.functions.expressions import fulfilment_status, lead_days, line_total, on_day
+from stockflow.lake import materialise
 from stockflow.operators import marts, merge, running
 from stockflow.plans import gold
 from stockflow.plans.layers import add_load_columns
@@ -154,7 +155,9 @@ def stock_on_hand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stock_running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger is written once: looking for hot keys and adding up would otherwise repeat its joins."""
     moves = ledger(spark, sf_dir).select("product_id", "location_id", "movement_ts", "movement_id", "qty_delta")
+    moves = materialise(moves, "ledger")
     balance = running.running_sum(moves, ["product_id", "location_id"], ["movement_ts", "movement_id"], "qty_delta", "balance")
     return as_doubles(balance, "qty_delta", "balance")
 

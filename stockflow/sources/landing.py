@@ -93,17 +93,18 @@ def list_exports(
 
 
 def read_landing(spark: SparkSession, spec: TableSpec, exports: Sequence[Export]) -> DataFrame | None:
-    """Rows of the exports as strings, with ``source_file`` and ``ingestion_date``; None without exports.
+    """Rows of the exports as strings, with ``source_file`` and ``ingestion_date``; None if there is no header.
 
     Every header is checked against the first; a column the table needs but the exports lack fails the batch,
     a column the table does not know is ignored. A line with too few or too many fields keeps its text in
     ``malformed_row``.
     """
-    if not exports:
-        return None
     paths = [e.path for e in exports]
     reader = spark.read.options(**CSV_OPTIONS).option("recursiveFileLookup", "true")
-    header = reader.csv(paths[0]).columns
+    # The first export has a header, unless it is an empty file.
+    header = next((columns for path in paths if (columns := reader.csv(path).columns)), None)
+    if header is None:
+        return None
     missing = [c for c in spec.landing_columns if c not in header]
     if missing:
         raise SchemaMismatch(f"{spec.name}: columns missing from the export: {', '.join(missing)}")

@@ -68,6 +68,21 @@ def test_header_only_gives_nothing_and_one_row_counts(spark, tmp_path):
     assert row["ingestion_date"] == dt.datetime(2026, 1, 5, 18, 6)
 
 
+def test_empty_files_give_nothing(spark, tmp_path):
+    (tmp_path / f"{FEED}_20260105_180400.csv").write_text("")
+    assert read(spark, tmp_path) is None
+    drop(tmp_path, "20260105_180500", line())
+    assert read(spark, tmp_path).count() == 1
+
+
+def test_headers_of_a_batch_must_agree(spark, tmp_path):
+    drop(tmp_path, "20260105_180400", line())
+    first, *rest = HEADER.split(",")
+    drop(tmp_path, "20260105_180500", line(), header=",".join([*rest, first]))
+    with pytest.raises(Exception, match="header"):
+        read(spark, tmp_path).collect()
+
+
 def test_quoted_text_survives(spark, tmp_path):
     drop(tmp_path, "20260105_180500", line(notes='"a ""b"", c"'))
     assert read(spark, tmp_path).first()["notes"] == 'a "b", c'

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from stockflow.operators import marts
 from stockflow.plans import gold, serving
+from stockflow.plans.job import show_preview
 from stockflow.sources import oltp
 from stockflow.functions import expressions as fx
 
@@ -138,6 +139,12 @@ def test_serving_view_splits_at_the_cut_off(spark):
     assert sorted(tuple(r) for r in rows) == [(day(1), 1, "batch"), (day(2), 20, "speed"), (day(3), 30, "speed")]
 
 
+def test_preview_prints_rows_and_schema(spark, capsys):
+    show_preview(spark.range(9).selectExpr("id", "id + 1 AS a", "id + 2 AS b"), ["id"], 2, width=2)
+    printed = capsys.readouterr().out
+    assert "|id |a  |" in printed and "|b  |" in printed and "root" in printed and "|5 " not in printed
+
+
 def test_preview_is_ordered(spark):
     df = spark.range(100).selectExpr("99 - id AS id", "id AS other")
     assert [r["id"] for r in marts.preview(df, ["id"], ["id"]).collect()] == [0, 1, 2, 3, 4]
