@@ -20,7 +20,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm.common import map_texts, prepare, table, text_of, vocabulary
+from stockflow.llm.common import map_texts, prepare, share, table, text_of, vocabulary
 
 #: Encoded pieces of text and tested pairs kept by a worker; when there are more, it starts anew.
 MEMO_ENTRIES = 900_000
@@ -187,7 +187,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizer
     Gives doc_id, n_tokens, the SHA-256 of the ids (decimal, joined by commas) and of the decoded bytes, and with ``with_ids``
     the ids. A null text is empty and has no tokens; rows are independent of each other, so repeated rows repeat; other columns are not read.
     """
-    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary(load_ranks(ranks_path)))  # a fixed file
+    vocabulary = share(docs.sparkSession, Vocabulary(load_ranks(ranks_path)))  # a fixed file
 
     def make(vocabulary: Vocabulary):
         encoder = Encoder(vocabulary, pattern)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +30,15 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def share(spark: SparkSession, value: object) -> Broadcast:
+    """Broadcast a value of bounded size; ``opened`` gives it back in a task. Its classes travel with it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def opened(shared: Broadcast) -> object:
+    return cloudpickle.loads(shared.value)
+
+
 def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
@@ -63,7 +72,7 @@ def map_texts(
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = make(*[b.value for b in broadcasts])
+        step = make(*[opened(b) for b in broadcasts])
         for batch in slices(batches, "text"):
             yield pa.RecordBatch.from_pydict(step(batch))
 
@@ -73,3 +82,18 @@ def map_texts(
 def text_of(docs: DataFrame, text_col: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(docs[text_col], F.lit("")).alias("text")
+
+
+def keep_rows(docs: DataFrame, text_col: str, make: Callable[..., Callable[[list[str]], list[bool]]], *broadcasts: Broadcast) -> DataFrame:
+    """The rows whose text ``make(*values)(texts)`` says yes to, with all their columns as they are, also columns of equal names."""
+    names = docs.columns
+    at = f"c{names.index(text_col)}"
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(names))])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = make(*[opened(b) for b in broadcasts])
+        for batch in slices(batches, at):
+            texts = [t or "" for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(wanted(texts), pa.bool_()))
+
+    return numbered.mapInArrow(run, numbered.schema).toDF(*names)

@@ -1,8 +1,11 @@
 """Registered queries of the operators: name -> (DataFrame function of (spark, sf_dir), SQL twin or None)."""
 
-from stockflow.llm import bpe, records
+from stockflow.llm import bpe, chat, decontaminate, records, topk
 
 QUERIES = {
+    "op2_exact_top_k": (topk.op2_exact_top_k, topk.OP2_SQL),
+    "op4_chat_examples": (chat.op4_chat_examples, chat.OP4_SQL),
+    "op6_decontaminate": (decontaminate.op6_decontaminate, decontaminate.OP6_SQL),
     "op8_byte_bpe": (bpe.op8_byte_bpe, None),
     "op10_token_records": (records.op10_token_records, None),
 }

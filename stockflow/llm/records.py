@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stockflow.lake import run_dir
-from stockflow.llm.common import prepare, slices, table, text_of, vocabulary
+from stockflow.llm.common import opened, prepare, share, slices, table, text_of, vocabulary
 
 MASK_DELTA = 0xA282EAD8
 HEADER = struct.Struct("<QI")
@@ -187,10 +187,10 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:  # a fixed file of a few MB
-        model = spark.sparkContext.broadcast(f.read())
+        model = share(spark, f.read())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(model.value, end_id)
+        encoder = PieceEncoder(opened(model), end_id)
         writer = None
         for batch in slices(batches, "text"):
             parts = batch.column("part").to_pylist()
