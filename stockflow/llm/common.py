@@ -18,6 +18,15 @@ SLICE_BYTES = 8 * 1024 * 1024
 ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4000", "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024)}
 
 
+WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+BESIDE_SPACE = list(dict.fromkeys(pair for c in WHITE for pair in (c + " ", " " + c)))
+
+
+def single_spaced(text: str) -> bool:
+    """Whether every space of a text stands alone between two characters that are not white space. An empty text is not."""
+    return bool(text) and not (text[0].isspace() or text[-1].isspace()) and not any(pair in text for pair in BESIDE_SPACE)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -36,7 +45,10 @@ def share(spark: SparkSession, value: object) -> Broadcast:
 
 
 def opened(shared: Broadcast) -> object:
-    return cloudpickle.loads(shared.value)
+    """A worker opens a broadcast once, so what a task leaves in it (memos) is there for the worker's next tasks."""
+    if not hasattr(shared, "opened"):
+        shared.opened = cloudpickle.loads(shared.value)
+    return shared.opened
 
 
 def vocabulary(name: str) -> str:
@@ -68,7 +80,7 @@ def map_texts(
 ) -> DataFrame:
     """Apply ``make(*values)(batch) -> columns`` to slices of ``columns``; the text column is called ``text``.
 
-    ``make`` runs once for each task, so what it builds (memos, tables) is shared by the task's batches.
+    ``make`` runs once for each task. Memos that it finds in the broadcast values are shared by a worker's tasks.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,3 +109,11 @@ def keep_rows(docs: DataFrame, text_col: str, make: Callable[..., Callable[[list
             yield batch.filter(pa.array(wanted(texts), pa.bool_()))
 
     return numbered.mapInArrow(run, numbered.schema).toDF(*names)
+
+
+def one_row_per_id(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id and text; rows without id are left out, and of different texts under one id the greatest stands for it."""
+    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).where("doc_id IS NOT NULL")
+    if rows.groupBy("doc_id").count().where("count > 1").isEmpty():
+        return rows
+    return rows.groupBy("doc_id").agg(F.max("text").alias("text"))
