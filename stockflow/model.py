@@ -22,7 +22,8 @@ class TableSpec:
     """One feed or table.
 
     ``schema`` is the lakehouse schema; ``added`` names its columns that the load fills in and a landing
-    file does not carry. ``latest_by`` orders versions of one key, newest first, and must decide every tie.
+    file does not carry. ``latest_by`` orders versions of one key, newest first, and must decide every tie. Dates outside
+    ``dates`` (both days included) are refused while landing, so a table has no more periods than that range.
     """
 
     name: str
@@ -32,6 +33,7 @@ class TableSpec:
     latest_by: tuple[str, ...] = ()
     added: tuple[str, ...] = ()
     money: tuple[str, ...] = ()
+    dates: tuple[str, str] = ("1900-01-01", "2199-12-31")
     domains: dict[str, tuple[str, ...]] = field(default_factory=dict)
     ranges: dict[str, tuple[float, float]] = field(default_factory=dict)
     max_lengths: dict[str, int] = field(default_factory=dict)
@@ -102,6 +104,17 @@ MONITORING = T.StructType(
         T.StructField("incompatible", T.LongType()),
     ]
 )
+ACCOUNTING = T.StructType(
+    [
+        T.StructField("date", _TIME),
+        T.StructField("source_file", _TEXT),
+        T.StructField("landed", T.LongType()),
+        T.StructField("accepted", T.LongType()),
+        T.StructField("rejected", T.LongType()),
+        T.StructField("superseded", T.LongType()),
+    ]
+)
+CHANGES = T.StructType([T.StructField("load_id", _TEXT), T.StructField("period", _DATE)])
 LOCATION_TYPES = ("sanicenter", "regional_warehouse")
 CUSTOMER_TYPES = ("plumber", "contractor", "architect", "retailer", "individual")
 ORDER_STATUSES = ("pending", "fulfilled", "partial", "cancelled")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,11 +65,13 @@ def daily_sales(sale_lines: DataFrame, products: DataFrame, locations: DataFrame
     )
 
 
+def ordered_sales(daily: DataFrame) -> DataFrame:
+    """Newest day first, and largest quantity first within a day; names decide ties."""
+    return daily.orderBy(F.desc("sale_date"), F.desc("total_qty_sold"), "location_name", "category", "product_name")
+
+
 def top_sales(daily: DataFrame, n: int) -> DataFrame:
-    """The first ``n`` rows, newest day first and largest quantity first within a day; names decide ties."""
-    return daily.orderBy(
-        F.desc("sale_date"), F.desc("total_qty_sold"), "location_name", "category", "product_name"
-    ).limit(n)
+    return ordered_sales(daily).limit(n)
 
 
 def supplier_performance(purchase_orders: DataFrame, suppliers: DataFrame) -> DataFrame:
@@ -101,10 +103,13 @@ def supplier_performance(purchase_orders: DataFrame, suppliers: DataFrame) -> Da
 def lookup_with_default(
     df: DataFrame, dimension: DataFrame, key: str, columns: dict[str, object]
 ) -> DataFrame:
-    """Left lookup by key; ``columns`` maps the dimension's columns to the value used when nothing matches."""
-    found = dimension.select(key, *columns)
-    filled = {c: F.coalesce(F.col(c), F.lit(default)) for c, default in columns.items()}
-    return df.join(found, key, "left").withColumns(filled)
+    """Left lookup by key; ``columns`` maps the dimension's columns to the value used when nothing matches.
+
+    A match keeps its values, also NULLs. Of several dimension rows with one key the smallest counts, so no row of ``df`` is multiplied.
+    """
+    found = dimension.groupBy(key).agg(F.min(F.struct(*columns)).alias("_found"))
+    values = {c: F.when(F.col("_found").isNotNull(), F.col(f"_found.{c}")).otherwise(F.lit(default)) for c, default in columns.items()}
+    return df.join(found, key, "left").withColumns(values).drop("_found")
 
 
 def priced_lines(values: DataFrame, orders: DataFrame, lines: DataFrame, products: DataFrame) -> DataFrame:
@@ -132,8 +137,11 @@ def inline_values(spark, rows: list[tuple], schema: str | T.StructType) -> DataF
     return spark.createDataFrame(rows, schema)
 
 
-def movement_ledger(inventory: DataFrame, sale_lines: DataFrame, purchase_lines: DataFrame, opened_at: str) -> DataFrame:
-    """All stock movements: opening stock, sales (out) and purchase receipts (in)."""
+def movement_ledger(inventory: DataFrame, lines: DataFrame, opened_at: str) -> DataFrame:
+    """All stock movements: opening stock, sales (out) and purchase receipts (in).
+
+    ``lines`` are order lines with their order and both locations (``Domain.traded_lines``): each gives its sale and its receipt in one pass.
+    """
     nothing = F.lit(None).cast("bigint")
     opening = inventory.select(
         F.concat_ws("-", F.lit("open"), "product_id", "location_id").alias("movement_id"),
@@ -146,36 +154,39 @@ def movement_ledger(inventory: DataFrame, sale_lines: DataFrame, purchase_lines:
         F.lit(opened_at).cast("timestamp_ntz").alias("movement_ts"),
         F.lit("Opening stock balance").alias("notes"),
     )
-    line = ["line_no", "product_id", "supplier_id"]
-    sales = sale_lines.where(F.col("qty_fulfilled") > 0).select(
-        F.concat_ws("-", F.lit("sale"), "order_id", *line).alias("movement_id"),
-        "product_id",
-        "location_id",
-        F.lit("sale").alias("movement_type"),
-        (-F.col("qty_fulfilled")).alias("qty_delta"),
-        F.col("order_id").alias("ref_order_id"),
-        F.lit("sales_order").alias("ref_order_type"),
-        F.col("order_ts").alias("movement_ts"),
-        F.concat(F.lit("Fulfilled from sales order "), F.col("order_id").cast("string")).alias("notes"),
+    order = F.col("order_id").cast("string")
+    sale = movement(
+        "sale", "location_id", -F.col("qty_fulfilled"), "sales_order", F.col("order_ts"), F.concat(F.lit("Fulfilled from sales order "), order)
     )
-    arrived = (F.col("qty_received") > 0) & F.col("actual_delivery").isNotNull()
-    receipts = purchase_lines.where(arrived).select(
-        F.concat_ws("-", F.lit("receipt"), "po_id", *line).alias("movement_id"),
-        "product_id",
-        "location_id",
-        F.lit("po_receipt").alias("movement_type"),
-        F.col("qty_received").alias("qty_delta"),
-        F.col("po_id").alias("ref_order_id"),
-        F.lit("purchase_order").alias("ref_order_type"),
-        receipt_time(F.col("actual_delivery")).alias("movement_ts"),
-        F.concat(
-            F.lit("Received from PO "),
-            F.col("po_id").cast("string"),
-            F.lit(" — supplier "),
-            F.col("supplier_id").cast("string"),
-        ).alias("notes"),
+    supplier = F.col("supplier_id").cast("string")
+    receipt = movement(
+        "receipt",
+        "supplier_location_id",
+        F.col("qty_fulfilled"),
+        "purchase_order",
+        receipt_time(F.col("actual_delivery")),
+        F.concat(F.lit("Received from PO "), order, F.lit(" — supplier "), supplier),
+    )
+    moved = F.array(
+        F.when(F.col("location_id").isNotNull(), sale),
+        F.when(F.col("supplier_location_id").isNotNull() & F.col("actual_delivery").isNotNull(), receipt),
+    )
+    return opening.unionByName(lines.where(F.col("qty_fulfilled") > 0).select(F.inline(F.array_compact(moved))))
+
+
+def movement(kind: str, location: str, qty: Column, order_type: str, at: Column, notes: Column) -> Column:
+    """One ledger row of an order line."""
+    return F.struct(
+        F.concat_ws("-", F.lit(kind), "order_id", "line_no", "product_id", "supplier_id").alias("movement_id"),
+        F.col("product_id"),
+        F.col(location).alias("location_id"),
+        F.lit("po_receipt" if kind == "receipt" else kind).alias("movement_type"),
+        qty.cast("decimal(13,2)").alias("qty_delta"),
+        F.col("order_id").alias("ref_order_id"),
+        F.lit(order_type).alias("ref_order_type"),
+        at.cast("timestamp_ntz").alias("movement_ts"),
+        notes.alias("notes"),
     )
-    return opening.unionByName(sales).unionByName(receipts)
 
 
 def preview(df: DataFrame, columns: list[str], order: list[str], n: int = 5) -> DataFrame:

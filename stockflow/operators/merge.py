@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockflow.lake import PERIOD, Lake, cast_to
+from stockflow.lake import PERIOD, Lake
 from stockflow.functions.expressions import period_start
 
 
@@ -69,6 +70,7 @@ def upsert(
     on_duplicate: str = "error",
     latest_by: Sequence[str | Column] = (),
     grain: str = "day",
+    before_write: Callable[[list[date]], None] | None = None,
 ) -> None:
     """Merge ``source`` into a table partitioned by the period of its date key.
 
@@ -76,7 +78,7 @@ def upsert(
     "insert" lets repeated keys in as long as they match no row of the target, as SQL MERGE does.
 
     The date is part of the key, so a match lies in the same period: only the periods of the batch are read and
-    rewritten. One writer at a time; readers may see some partitions before others. A rerun gives the same rows.
+    rewritten; ``before_write`` is told which, before any is. One writer at a time; readers may see some partitions before others. A rerun gives the same rows.
     """
     if date_key not in keys:
         raise ValueError("the date key must be one of the merge keys")
@@ -119,9 +121,6 @@ def upsert(
     # the table does not have yet there is nothing to join.
     known = lake.partitions(table, PERIOD).where(F.col(PERIOD).isin([str(p) for p in periods]))
     merged = rows if known.isEmpty() else merge_rows(target, rows, keys, landed)
+    if before_write:
+        before_write(periods)
     lake.replace_partitions(table, merged)
-
-
-def project_to(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """A source in the target's columns, order and types; columns the target lacks are left out."""
-    return cast_to(df, schema)

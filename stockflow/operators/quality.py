@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.functions.expressions import all_not_null, reasons
 from stockflow.model import MALFORMED, TableSpec
 
+REPEATED = "duplicate_key"
+
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows whose keys are all present, and the NULL count of each key."""
@@ -40,21 +42,66 @@ def try_typed(df: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) ->
     return df.select(*typed, *[F.col(c) for c in keep])
 
 
-def row_reasons(schema: T.StructType, keys: Sequence[str], malformed: str | None = None):
-    """Why a text row is not acceptable: malformed line, NULL key, value that does not fit its type."""
+def row_reasons(
+    schema: T.StructType,
+    keys: Sequence[str],
+    malformed: str | None = None,
+    strict: Mapping[str, T.DataType] | None = None,
+    dates: tuple[str, str] | None = None,
+):
+    """Why a text row is not acceptable: malformed line, NULL key, value that does not fit its type, date out of range.
+
+    ``strict`` names narrower types that values of some columns will have later; what does not fit them (too many digits, NaN, infinities)
+    is refused here, where it can be isolated.
+    """
+    strict = strict or {}
     checks = [(F.col(malformed).isNotNull(), "malformed_row")] if malformed else []
     checks += [(F.col(k).isNull(), f"null_key:{k}") for k in keys]
     checks += [
-        (F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(), f"type:{f.name}")
+        (F.col(f.name).isNotNull() & F.col(f.name).try_cast(strict.get(f.name, f.dataType)).isNull(), f"type:{f.name}")
         for f in schema
         if f.dataType != T.StringType()
     ]
+    if dates:
+        low, high = (F.lit(d).cast("date") for d in dates)
+        checks += [(~F.col(f.name).try_cast("date").between(low, high), f"range:{f.name}") for f in schema if f.dataType == T.DateType()]
     return reasons(*checks)
 
 
 def check_raw(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Landed rows with their ``reasons``; accepted and rejected rows are filters on that column."""
-    return raw.withColumn("reasons", row_reasons(spec.landing_schema(), spec.keys, MALFORMED))
+    strict = {f.name: f.dataType for f in spec.silver_schema() if f.name in spec.money}
+    return raw.withColumn("reasons", row_reasons(spec.landing_schema(), spec.keys, MALFORMED, strict, spec.dates))
+
+
+def repeated_in_export(checked: DataFrame, spec: TableSpec, export: str = "source_file") -> DataFrame:
+    """Keys, in their types, that acceptable rows of one export hold more than once. Only key columns are shuffled."""
+    keys = [F.col(k).try_cast(spec.schema[k].dataType).alias(k) for k in spec.keys]
+    return checked.where(F.size("reasons") == 0).groupBy(export, *keys).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+
+
+def with_repeats(checked: DataFrame, spec: TableSpec, repeated: DataFrame, export: str = "source_file") -> DataFrame:
+    """Refuse all rows of a key that its export repeats: which of them is right cannot be told. Versions are chosen between exports only."""
+    known = repeated.select(export, *[F.col(k).alias(f"_{k}") for k in spec.keys])
+    same = checked[export] == known[export]
+    for k in spec.keys:
+        same &= checked[k].try_cast(spec.schema[k].dataType) == known[f"_{k}"]
+    joined = checked.join(known, same, "left").drop(known[export])
+    again = F.col(f"_{spec.keys[0]}").isNotNull() & (F.size("reasons") == 0)
+    marked = joined.withColumn("reasons", F.when(again, F.array(F.lit(REPEATED))).otherwise(F.col("reasons")))
+    return marked.select(*checked.columns)
+
+
+def accounting(checked: DataFrame, spec: TableSpec, when: str = "ingestion_date") -> DataFrame:
+    """Per export: rows landed, rejected, superseded by a newer version in the same batch, and accepted."""
+    keys = [F.col(k).try_cast(spec.schema[k].dataType) for k in spec.keys]
+    order = [F.col(c).try_cast(spec.schema[c].dataType).desc_nulls_last() for c in spec.latest_by]
+    good = F.size("reasons") == 0
+    newest = F.row_number().over(Window.partitionBy(good, *keys).orderBy(*order)) == 1
+    placed = checked.where(good).withColumn("newest", newest).select(when, "source_file", F.lit(0).alias("bad"), F.col("newest").cast("int").alias("new"))
+    refused = checked.where(~good).select(when, "source_file", F.lit(1).alias("bad"), F.lit(0).alias("new"))
+    counted = placed.unionByName(refused).groupBy(F.col(when).alias("date"), "source_file")
+    return counted.agg(F.count(F.lit(1)).alias("landed"), F.sum("new").alias("accepted"), F.sum("bad").alias("rejected"), F.sum(1 - F.col("bad") - F.col("new")).alias("superseded"))
 
 
 def accepted(checked: DataFrame, spec: TableSpec) -> DataFrame:

@@ -8,7 +8,7 @@ above ``hot_rows`` take a second, exact way:
 * each slice's sum per key is small; a window over those gives what every slice starts from;
 * the rows add up within their slice, starting from there.
 
-No more than ``rows / hot_rows`` keys can be hot, so the list of them is small by construction and is broadcast.
+No more than ``rows / hot_rows`` keys can be hot, so the list of them is small; the adaptive planner picks the join.
 """
 
 from __future__ import annotations
@@ -40,8 +40,7 @@ def split_hot(df: DataFrame, keys: Sequence[str], hot_rows: int) -> tuple[DataFr
     same = F.lit(True)
     for k in keys:
         same &= F.col(k).eqNullSafe(F.col(f"_hot_{k}"))
-    listed = F.broadcast(hot)  # at most rows / hot_rows keys
-    return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
 
 
 def _ascending(order: Sequence[str]) -> list[Column]:
@@ -101,7 +100,7 @@ def group_total(
 ) -> DataFrame:
     """``out`` = sum of ``value`` over all rows of the key, on every row.
 
-    Hot keys are summed with partial aggregation and their few totals are broadcast back to the rows.
+    Hot keys are summed with partial aggregation and their few totals are joined back to the rows.
     """
     ordinary, hot = split_hot(df, keys, hot_rows)
     result = ordinary.withColumn(out, F.sum(value).over(Window.partitionBy(*keys)))
@@ -111,5 +110,5 @@ def group_total(
     same = F.lit(True)
     for k in keys:
         same &= F.col(k).eqNullSafe(F.col(f"_total_{k}"))
-    summed = hot.join(F.broadcast(totals), same)  # one row per hot key
+    summed = hot.join(totals, same)  # one row per hot key
     return result.unionByName(summed.select(*result.columns))

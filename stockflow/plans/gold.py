@@ -94,21 +94,26 @@ def forecast_weekday(dense: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def kpi_daily(sale_lines: DataFrame, purchase_lines: DataFrame) -> DataFrame:
-    """Revenue and fill rate per sale day, on-time rate per delivery day. Both sides are one row per day."""
-    sales = sale_lines.groupBy(F.col("order_date").alias("kpi_date")).agg(
-        F.sum("line_total_eur").alias("revenue_eur"),
-        F.sum("qty_ordered").alias("qty_ordered"),
-        F.sum("qty_fulfilled").alias("qty_fulfilled"),
-        F.count(F.lit(1)).alias("n_lines"),
-    )
-    on_time = F.when(F.col("actual_delivery") <= F.col("expected_delivery"), 1).otherwise(0)
-    deliveries = (
-        purchase_lines.where(F.col("actual_delivery").isNotNull())
-        .groupBy(F.col("actual_delivery").alias("kpi_date"))
-        .agg(F.count(F.lit(1)).alias("n_deliveries"), F.sum(on_time).alias("n_on_time"))
-    )
-    return sales.join(deliveries, "kpi_date", "full").select(
+def kpi_daily(lines: DataFrame) -> DataFrame:
+    """Revenue and fill rate per sale day, on-time rate per delivery day.
+
+    Each line of ``Domain.traded_lines`` counts on its order's day and on its delivery's day, in one pass and one aggregate by day.
+    """
+    none, zero = F.lit(None).cast("decimal(12,2)"), F.lit(0).cast("bigint")
+    one = F.lit(1).cast("bigint")
+    on_time = F.when(F.col("actual_delivery") <= F.col("expected_delivery"), one).otherwise(zero)
+
+    def counters(day: str, revenue, ordered, fulfilled, n_lines, n_deliveries, n_on_time):
+        values = zip(("revenue_eur", "qty_ordered", "qty_fulfilled", "n_lines", "n_deliveries", "n_on_time"), (revenue, ordered, fulfilled, n_lines, n_deliveries, n_on_time), strict=True)
+        return F.struct(F.col(day).alias("kpi_date"), *[v.alias(n) for n, v in values])
+
+    missing = F.lit(None).cast("bigint")
+    sale = counters("order_date", F.col("line_total_eur"), F.col("qty_ordered"), F.col("qty_fulfilled"), one, missing, missing)
+    delivery = counters("actual_delivery", none, none, none, missing, one, on_time)
+    both = F.array(F.when(F.col("location_id").isNotNull(), sale), F.when(F.col("actual_delivery").isNotNull(), delivery))
+    rows = lines.select(F.inline(F.array_compact(both)))
+    per_day = rows.groupBy("kpi_date").agg(*[F.sum(c).alias(c) for c in rows.columns if c != "kpi_date"])
+    return per_day.select(
         "kpi_date",
         "revenue_eur",
         "n_lines",

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockflow.functions.expressions import on_day
-from stockflow.lake import Lake
-from stockflow.model import MONITORING, TableSpec
+from stockflow.lake import PERIOD, Lake, materialise
+from stockflow.model import ACCOUNTING, CHANGES, MONITORING, TableSpec
 from stockflow.operators import merge, quality
 from stockflow.sources import landing
 
 MONITORING_TABLE = "bronze_table_monitoring"
+ACCOUNTING_TABLE = "load_accounting"
 Moment = datetime | str
 
 
@@ -30,6 +32,14 @@ def rejected_table(spec: TableSpec) -> str:
     return f"rejected_{spec.name}"
 
 
+def changes_table(spec: TableSpec) -> str:
+    return f"changes_{spec.name}"
+
+
+def promoted_table(spec: TableSpec) -> str:
+    return f"promoted_{spec.name}"
+
+
 def add_load_columns(df: DataFrame, processed_at: Moment, source_system: str) -> DataFrame:
     return df.withColumns(
         {"processed_date": F.lit(processed_at).cast("timestamp"), "source_system": F.lit(source_system)}
@@ -50,7 +60,7 @@ def load_bronze(
     """Exports from ``since`` on, into raw, rejected, Bronze and monitoring tables.
 
     The text is parsed and checked once, into the raw table; the later steps read that, pruned to the batch's
-    exports and to their columns. Rejected rows replace those of an earlier run of the same export, so a rerun changes nothing but
+    exports and to their columns. A key that one export repeats is rejected; of versions in several exports the newest stays. Rejected rows replace those of an earlier run of the same export, so a rerun changes nothing but
     adds its monitoring rows, which come last: they tell of a load that succeeded.
     """
     exports = landing.list_exports(lake.spark, landing_dir, spec.name, since, same_day=same_day)
@@ -60,14 +70,28 @@ def load_bronze(
     landing.write_raw(lake, spec, quality.check_raw(batch, spec))
     taken = [F.lit(e.taken.isoformat(" ")).cast("timestamp") for e in exports]
     checked = lake.read(landing.raw_table(spec)).where(F.col(landing.RAW_PARTITION).isin(taken))
+    repeated = materialise(quality.repeated_in_export(checked, spec), "repeated")
+    if not repeated.isEmpty():
+        checked = quality.with_repeats(checked, spec, repeated)
 
     store_rejected(lake, spec, quality.rejected(checked), exports)
     rows = add_load_columns(quality.accepted(checked, spec), processed_at, source_system)
     merge.upsert(
-        lake, bronze_table(spec), spec.schema, rows, spec.keys, spec.date_key, on_duplicate, spec.latest_by, grain
+        lake,
+        bronze_table(spec),
+        spec.schema,
+        rows,
+        spec.keys,
+        spec.date_key,
+        on_duplicate,
+        spec.latest_by,
+        grain,
+        before_write=lambda periods: note_changes(lake, changes_table(spec), periods),
     )
     lake.ensure(MONITORING_TABLE, MONITORING)
     lake.append(MONITORING_TABLE, quality.monitoring_rows(checked, spec))
+    lake.ensure(ACCOUNTING_TABLE, ACCOUNTING)
+    lake.append(ACCOUNTING_TABLE, quality.accounting(checked, spec))
 
 
 def store_rejected(lake: Lake, spec: TableSpec, rows: DataFrame, exports: Sequence[landing.Export]) -> None:
@@ -77,6 +101,13 @@ def store_rejected(lake: Lake, spec: TableSpec, rows: DataFrame, exports: Sequen
     lake.replace_partitions(rejected_table(spec), rows, landing.RAW_PARTITION)
 
 
+def note_changes(lake: Lake, table: str, periods: Sequence[date]) -> None:
+    """Which periods a load is about to rewrite: at most as many rows as the calendar has periods."""
+    load_id = uuid.uuid4().hex
+    lake.ensure(table, CHANGES)
+    lake.append(table, lake.spark.createDataFrame([(load_id, p) for p in periods], CHANGES))
+
+
 def promote_silver(
     lake: Lake,
     spec: TableSpec,
@@ -84,18 +115,26 @@ def promote_silver(
     on_duplicate: str = "latest",
     grain: str = "day",
 ) -> None:
-    """Bronze rows newer than Silver's high-water mark, with exact decimals, merged by key.
+    """The Bronze periods that loads have changed since they were last promoted, with exact decimals, merged by key.
 
-    ``day`` takes the rows processed on that day instead. A missed run is caught up by the next one; an error of
-    the merge is raised, not hidden.
+    Loads note their periods before they write, and promotions are noted after they have written. So a load of an older or an equal moment
+    is promoted as well, a missed run is caught up, and one that broke off is done again; only partitions of these periods are read.
+    ``day`` takes the rows processed on that day instead. An error of the merge is raised, not hidden.
     """
     lake.ensure_by_date(silver_table(spec), spec.silver_schema(), grain)
     bronze = lake.read(bronze_table(spec))
+    pending = None
     if day is not None:
         fresh = bronze.where(on_day(F.col("processed_date"), F.lit(day)))
     else:
-        mark = lake.read(silver_table(spec)).agg(F.max("processed_date").alias("mark")).first()["mark"]
-        fresh = bronze if mark is None else bronze.where(F.col("processed_date") > F.lit(mark))
+        for table in (changes_table(spec), promoted_table(spec)):
+            lake.ensure(table, CHANGES)
+        done = lake.read(promoted_table(spec))
+        pending = materialise(lake.read(changes_table(spec)).join(done, ["load_id", "period"], "left_anti"), "pending")
+        periods = [row["period"] for row in pending.select("period").distinct().toLocalIterator()]
+        if not periods:
+            return
+        fresh = bronze.where(F.col(PERIOD).isin(periods))
     merge.upsert(
         lake,
         silver_table(spec),
@@ -107,3 +146,5 @@ def promote_silver(
         spec.latest_by,
         grain,
     )
+    if pending is not None:
+        lake.append(promoted_table(spec), pending)

@@ -39,9 +39,10 @@ def landed(spark: SparkSession, landing_dir: str, spec: TableSpec, since: str |
 
 
 def movement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The movement export, from sales: one flat row per fulfilled order line."""
+    """The movement export, from sales: one flat row per movement id, so lines that agree in all parts of it are one movement."""
     d = Domain(spark, sf_dir)
-    lines = d.sale_lines().where(F.col("qty_fulfilled") > 0)
+    moved = ["order_id", "line_no", "product_id", "supplier_id", "location_id", "order_ts", "order_date"]
+    lines = d.sale_lines().where(F.col("qty_fulfilled") > 0).groupBy(*moved).agg(F.sum("qty_fulfilled").alias("qty_fulfilled"))
     placed = lines.join(d.locations().select("location_id", "location_code"), "location_id")
     stamp = "yyyy-MM-dd HH:mm:ss"
     return placed.select(
@@ -139,7 +140,7 @@ def bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze to Silver by high-water mark; a second run of Bronze over part of the exports is caught up."""
+    """Bronze to Silver by changed periods; a second run of Bronze over part of the exports is caught up."""
     lake, landing_dir = export_sales(spark, sf_dir, "silver")
     grain = grain_for(Domain(spark, sf_dir), "orders", "o_orderdate")
     for moment, since in ((FIRST_RUN, None), (SECOND_RUN, SINCE)):
@@ -148,6 +149,66 @@ def silver_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(as_doubles(lake.read(layers.silver_table(SALES)), *SALES.money))
 
 
+def repeated_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales feed with faults: orders whose number ends in 0 come twice in their export, with another total the second time, and some values do not fit."""
+    feed = Domain(spark, sf_dir).sales_feed()
+    last = F.col("order_id").cast("long") % 10
+    again = feed.where(last == 0).withColumn("line_total_eur", F.col("line_total_eur") + 1)
+    total = F.when(last == 1, "99999999999").when(last == 2, "NaN").otherwise(F.col("order_total_eur").cast("string"))
+    return feed.unionByName(again).withColumn("order_total_eur", total)
+
+
+def corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later versions of orders whose number ends in 3, as another export of their year."""
+    feed = Domain(spark, sf_dir).sales_feed().where(F.col("order_id").cast("long") % 10 == 3)
+    later = F.date_format(F.col("erp_export_ts").cast("timestamp") + F.expr("INTERVAL 1 DAY"), "yyyy-MM-dd HH:mm:ss")
+    return feed.withColumns({"line_total_eur": F.col("line_total_eur") + 2, "erp_export_ts": later})
+
+
+def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per export: landed = accepted + rejected + superseded, with repeated keys, values that do not fit and two versions of some orders."""
+    lake, landing_dir = export_sales(spark, sf_dir, "reconcile", repeated_feed(spark, sf_dir))
+    landing.export_csv(corrected(spark, sf_dir), landing_dir, SALES.name, export_time(F.col("order_date")) + F.expr("INTERVAL 1 HOUR"))
+    layers.load_bronze(lake, SALES, landing_dir, FIRST_RUN, grain=grain_for(Domain(spark, sf_dir), "orders", "o_orderdate"))
+    return lake.read(layers.ACCOUNTING_TABLE).drop("date")
+
+
+def silver_unfit_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What Silver cannot hold is rejected while landing, with the reason, and blocks nothing: rejected keys, and the keys in Silver."""
+    lake, landing_dir = export_sales(spark, sf_dir, "unfit", repeated_feed(spark, sf_dir))
+    grain = grain_for(Domain(spark, sf_dir), "orders", "o_orderdate")
+    layers.load_bronze(lake, SALES, landing_dir, FIRST_RUN, grain=grain)
+    layers.promote_silver(lake, SALES, grain=grain)
+    rejected = lake.read(layers.rejected_table(SALES)).select("order_id", "product_id", F.array_join("reasons", ",").alias("reason"))
+    return lake.read(layers.silver_table(SALES)).select("order_id", "product_id", F.lit("").alias("reason")).unionByName(rejected)
+
+
+def silver_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads of the same and of an older moment after a promotion, and a promotion that broke off before it was noted: nothing is left behind."""
+    lake, landing_dir = export_sales(spark, sf_dir, "backfill")
+    grain = grain_for(Domain(spark, sf_dir), "orders", "o_orderdate")
+    layers.load_bronze(lake, SALES, landing_dir, SECOND_RUN, SINCE, grain=grain)
+    layers.promote_silver(lake, SALES, grain=grain)
+    layers.load_bronze(lake, SALES, landing_dir, SECOND_RUN, "1996-06-01 00:00:00", grain=grain)
+    lake.spark.sql(f"DROP TABLE {lake.name(layers.promoted_table(SALES))}")  # as if the note had not been written
+    layers.promote_silver(lake, SALES, grain=grain)
+    layers.load_bronze(lake, SALES, landing_dir, FIRST_RUN, grain=grain)
+    layers.promote_silver(lake, SALES, grain=grain)
+    return as_doubles(lake.read(layers.silver_table(SALES)).select("order_id", "product_id", "order_date", "line_total_eur"), "line_total_eur")
+
+
+def silver_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The movement feed from landing to Silver."""
+    lake = Lake.scratch(spark, "movements")
+    landing_dir = f"{lake.root}-landing"
+    landing.export_csv(movement_feed(spark, sf_dir), landing_dir, MOVEMENTS.name, export_time(F.col("movement_date")))
+    grain = grain_for(Domain(spark, sf_dir), "orders", "o_orderdate")
+    layers.load_bronze(lake, MOVEMENTS, landing_dir, FIRST_RUN, grain=grain)
+    layers.promote_silver(lake, MOVEMENTS, grain=grain)
+    rows = as_doubles(lake.read(layers.silver_table(MOVEMENTS)).drop(PERIOD), "qty_delta")
+    return as_plain_time(rows, "movement_ts", "erp_export_ts", "processed_date")
+
+
 def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both feeds from landing to Silver in one run, then daily sales over Silver."""
     d = Domain(spark, sf_dir)
@@ -251,9 +312,9 @@ moves AS (
     SELECT concat_ws('-', 'sale', order_id, line_no, product_id, supplier_id) AS movement_id, order_ts AS movement_ts,
         order_date AS movement_date, 'sale' AS movement_type, CAST(product_id AS VARCHAR) AS product_id,
         printf('SKU-%05d', product_id) AS sku, CAST(location_id AS VARCHAR) AS location_id, location_code,
-        CAST(-qty_fulfilled AS DOUBLE) AS qty_delta, CAST(order_id AS VARCHAR) AS ref_order_id,
+        CAST(-SUM(qty_fulfilled) AS DOUBLE) AS qty_delta, CAST(order_id AS VARCHAR) AS ref_order_id,
         'sales_order' AS ref_order_type, 'Sale, "as fulfilled"' AS notes, order_ts + INTERVAL 18 HOURS AS erp_export_ts
-    FROM sale_lines JOIN locations USING (location_id) WHERE qty_fulfilled > 0)"""
+    FROM sale_lines JOIN locations USING (location_id) WHERE qty_fulfilled > 0 GROUP BY ALL)"""
 _MERGED = """WITH known AS (
     SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS status,
         o_orderpriority AS priority, CAST(o_totalprice AS DECIMAL(14,2)) AS total_eur
@@ -280,7 +341,7 @@ FROM sales_feed WHERE {_YEARLY} >= TIMESTAMP '{SINCE}'""",
         feed_routing,
         sql.with_(_MOVES)
         + f""", named AS (
-    SELECT 'sales' AS feed, order_date FROM sale_lines
+    SELECT 'sales' AS feed, order_date FROM (SELECT DISTINCT order_id, product_id, order_date FROM sale_lines)
     UNION ALL SELECT 'inventory_movements', movement_date FROM moves)
 SELECT feed, feed || '_' || strftime({_YEARLY}, '%Y%m%d_%H%M%S') || '.csv' AS source_file, COUNT(*) AS n_rows
 FROM named GROUP BY 1, 2""",
@@ -302,23 +363,51 @@ FROM sales_feed WHERE {_YEARLY} = (SELECT MAX({_YEARLY}) FROM sales_feed)""",
     ),
     "bronze_load": (
         bronze_load,
-        sql.with_(sql.LATEST_SALES)
-        + f"SELECT *, 'ERP' AS source_system, TIMESTAMP '{SECOND_RUN}' AS processed_date FROM latest_sales",
+        sql.with_(sql.SALES_FEED)
+        + f"SELECT *, 'ERP' AS source_system, TIMESTAMP '{SECOND_RUN}' AS processed_date FROM sales_feed",
     ),
     "silver_promote": (
         silver_promote,
-        sql.with_(sql.LATEST_SALES)
+        sql.with_(sql.SALES_FEED)
         + f"""SELECT *, 'ERP' AS source_system, CASE WHEN {_YEARLY} >= TIMESTAMP '{SINCE}'
     THEN TIMESTAMP '{SECOND_RUN}' ELSE TIMESTAMP '{FIRST_RUN}' END AS processed_date
-FROM latest_sales""",
+FROM sales_feed""",
+    ),
+    "load_reconciliation": (
+        load_reconciliation,
+        sql.with_(sql.SALES_FEED)
+        + f"""SELECT source_file, CAST(SUM(landed) AS BIGINT) AS landed, CAST(SUM(accepted) AS BIGINT) AS accepted,
+    CAST(SUM(rejected) AS BIGINT) AS rejected, CAST(SUM(superseded) AS BIGINT) AS superseded
+FROM (
+    SELECT {_FILE} AS source_file, CASE WHEN d = 0 THEN 2 ELSE 1 END AS landed, CASE WHEN d > 3 THEN 1 ELSE 0 END AS accepted,
+        CASE WHEN d = 0 THEN 2 WHEN d < 3 THEN 1 ELSE 0 END AS rejected, CASE WHEN d = 3 THEN 1 ELSE 0 END AS superseded
+    FROM (SELECT *, CAST(order_id AS BIGINT) % 10 AS d FROM sales_feed)
+    UNION ALL
+    SELECT replace({_FILE}, '_180000', '_190000'), 1, 1, 0, 0 FROM sales_feed WHERE CAST(order_id AS BIGINT) % 10 = 3)
+GROUP BY 1""",
+    ),
+    "silver_unfit_values": (
+        silver_unfit_values,
+        sql.with_(sql.SALES_FEED)
+        + """SELECT order_id, product_id, CASE d WHEN 0 THEN 'duplicate_key' WHEN 1 THEN 'type:order_total_eur'
+    WHEN 2 THEN 'type:order_total_eur' ELSE '' END AS reason
+FROM (SELECT *, CAST(order_id AS BIGINT) % 10 AS d FROM sales_feed), range(2) t(k) WHERE k = 0 OR d = 0""",
+    ),
+    "silver_backfill": (
+        silver_backfill,
+        sql.with_(sql.SALES_FEED) + "SELECT order_id, product_id, order_date, line_total_eur FROM sales_feed",
+    ),
+    "silver_movements": (
+        silver_movements,
+        sql.with_(_MOVES) + f"SELECT *, 'ERP' AS source_system, TIMESTAMP '{FIRST_RUN}' AS processed_date FROM moves",
     ),
     "batch_job": (
         batch_job,
-        sql.with_(sql.LATEST_SALES)
+        sql.with_(sql.SALES_FEED)
         + """SELECT order_date, location_code, product_id, sku,
     CAST(SUM(CAST(qty_fulfilled AS DECIMAL(12,2))) AS DOUBLE) AS total_qty_sold,
     CAST(SUM(CAST(line_total_eur AS DECIMAL(12,2))) AS DOUBLE) AS total_revenue_eur, COUNT(*) AS n_lines
-FROM latest_sales GROUP BY 1, 2, 3, 4""",
+FROM sales_feed GROUP BY 1, 2, 3, 4""",
     ),
     "upsert_merge": (upsert_merge, _MERGED),
     "upsert_idempotent": (upsert_idempotent, _MERGED),

@@ -136,14 +136,13 @@ def values_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain(spark, sf_dir)
     values = marts.inline_values(spark, SOURCE_QTY, "source string, qty double")
     values = values.withColumn("qty", F.col("qty").cast("decimal(10,2)"))
-    made = marts.priced_lines(values, d.orders(), d.order_lines(), d.products())
+    made = marts.priced_lines(values, d.order_sources(), d.order_lines(), d.products())
     return as_doubles(made, "qty_ordered", "qty_fulfilled", "unit_price_eur", "line_total_eur")
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain(spark, sf_dir)
-    bought = d.purchase_lines().join(d.suppliers().select("supplier_id", "location_id"), "supplier_id")
-    return marts.movement_ledger(d.inventory(), d.sale_lines(), bought, OPENING_TIME)
+    return marts.movement_ledger(d.inventory(), d.traded_lines(), OPENING_TIME)
 
 
 def movement_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,7 +157,7 @@ def stock_running_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger is written once: looking for hot keys and adding up would otherwise repeat its joins."""
     moves = ledger(spark, sf_dir).select("product_id", "location_id", "movement_ts", "movement_id", "qty_delta")
     moves = materialise(moves, "ledger")
-    balance = running.running_sum(moves, ["product_id", "location_id"], ["movement_ts", "movement_id"], "qty_delta", "balance")
+    balance = running.running_sum(moves, ["product_id", "location_id"], ["movement_ts", "movement_id", "qty_delta"], "qty_delta", "balance")
     return as_doubles(balance, "qty_delta", "balance")
 
 
@@ -218,7 +217,7 @@ def reorder_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kpi_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain(spark, sf_dir)
-    return as_doubles(gold.kpi_daily(d.sale_lines(), d.purchase_lines()), "revenue_eur")
+    return as_doubles(gold.kpi_daily(d.traded_lines()), "revenue_eur")
 
 
 _DAILY = (
@@ -343,8 +342,8 @@ FROM purchase_lines WHERE status IN ('sent', 'confirmed') AND qty_received < qty
     "lookup_default": (
         lookup_default,
         sql.with_(sql.CUSTOMERS)
-        + """SELECT o_orderkey AS order_id, o_custkey AS customer_id, COALESCE(customer_name, 'unknown') AS customer_name,
-    COALESCE(customer_type, 'individual') AS customer_type
+        + """SELECT o_orderkey AS order_id, o_custkey AS customer_id, CASE WHEN customer_id IS NULL THEN 'unknown' ELSE customer_name END AS customer_name,
+    CASE WHEN customer_id IS NULL THEN 'individual' ELSE customer_type END AS customer_type
 FROM orders LEFT JOIN (SELECT * FROM customers WHERE is_active) ON customer_id = o_custkey""",
     ),
     "values_join": (
@@ -374,7 +373,7 @@ FROM ledger GROUP BY 1, 2""",
         stock_running_balance,
         _LEDGER
         + """SELECT product_id, location_id, movement_ts, movement_id, CAST(qty_delta AS DOUBLE) AS qty_delta,
-    CAST(SUM(qty_delta) OVER (PARTITION BY product_id, location_id ORDER BY movement_ts, movement_id
+    CAST(SUM(qty_delta) OVER (PARTITION BY product_id, location_id ORDER BY movement_ts, movement_id, qty_delta
         ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS balance
 FROM ledger""",
     ),

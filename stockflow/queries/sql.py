@@ -87,7 +87,12 @@ ledger AS (
     FROM purchase_lines JOIN suppliers s USING (supplier_id)
     WHERE qty_received > 0 AND actual_delivery IS NOT NULL)"""
 
+# One row per order and product, straight from the lines.
 SALES_FEED = f"""{SALE_LINES}, {LOCATIONS}, {PRODUCTS}, {CUSTOMERS},
+sale_products AS (
+    SELECT order_id, product_id, customer_id, location_id, order_ts, order_date, source, order_total_eur,
+        SUM(qty_ordered) AS qty_ordered, SUM(qty_fulfilled) AS qty_fulfilled, SUM(line_total_eur) AS line_total_eur
+    FROM sale_lines GROUP BY ALL),
 sales_feed AS (
     SELECT CAST(s.order_id AS VARCHAR) AS order_id, s.order_ts, s.order_date,
         CASE WHEN qty_fulfilled >= qty_ordered THEN 'fulfilled' ELSE 'partial' END AS status, s.source,
@@ -96,19 +101,10 @@ sales_feed AS (
         CAST(qty_ordered AS DOUBLE) AS qty_ordered, CAST(qty_fulfilled AS DOUBLE) AS qty_fulfilled,
         CAST(unit_price_eur AS DOUBLE) AS unit_price_eur, CAST(line_total_eur AS DOUBLE) AS line_total_eur,
         CAST(order_total_eur AS DOUBLE) AS order_total_eur, s.order_ts + INTERVAL 18 HOURS AS erp_export_ts
-    FROM sale_lines s
+    FROM sale_products s
     JOIN customers c ON c.customer_id = s.customer_id
     JOIN locations l ON l.location_id = s.location_id
     JOIN products p ON p.product_id = s.product_id)"""
 
-# Latest row per sales key, in the order of the feed's specification.
-LATEST_SALES = f"""{SALES_FEED},
-latest_sales AS (
-    SELECT * FROM sales_feed
-    QUALIFY row_number() OVER (
-        PARTITION BY order_id, order_date, product_id
-        ORDER BY erp_export_ts DESC, order_ts DESC, line_total_eur DESC, qty_ordered DESC, qty_fulfilled DESC) = 1)"""
-
-
 def with_(*parts: str) -> str:
     return "WITH " + ", ".join(part.strip() for part in parts) + "\n"

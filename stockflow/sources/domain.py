@@ -149,6 +149,26 @@ class Domain:
         """Order lines with order date and location: the lines are shuffled once, on the order."""
         return self.order_lines().join(self.orders(), "order_id")
 
+    def traded_lines(self) -> DataFrame:
+        """Order lines as sale and as purchase: with order, customer's and supplier's location and delivery, shuffled once, on the order.
+
+        A location is NULL where the customer or the supplier is unknown.
+        """
+        customers = self.customers().select("customer_id", "location_id")
+        suppliers = self.suppliers().select("supplier_id", F.col("location_id").alias("supplier_location_id"))
+        orders = self.table("orders").select(
+            F.col("o_orderkey").alias("order_id"),
+            F.col("o_custkey").alias("customer_id"),
+            F.col("o_orderdate").alias("order_ts"),
+            F.col("o_orderdate").cast("date").alias("order_date"),
+        )
+        delivered = F.when(F.col("ship_date") >= F.col("order_date"), F.col("ship_date"))
+        lines = self.order_lines().join(orders.join(customers, "customer_id", "left"), "order_id").join(suppliers, "supplier_id", "left")
+        return lines.withColumns({"actual_delivery": delivered, "expected_delivery": F.date_add("order_date", DUE_DAYS)})
+
+    def order_sources(self) -> DataFrame:
+        return self.table("orders").select(F.col("o_orderkey").alias("order_id"), relabel(F.col("o_orderpriority"), PRIORITY_TO_SOURCE).alias("source"))
+
     def inventory(self) -> DataFrame:
         """Stock per product and supplier location: lines shipped are on hand, lines still open are reserved."""
         located = self.suppliers().select("supplier_id", F.col("location_id"))
@@ -163,8 +183,8 @@ class Domain:
             lines.join(located, "supplier_id")
             .groupBy("product_id", "location_id")
             .agg(
-                money(F.sum(money(F.col("on_hand")))).alias("qty_on_hand"),
-                money(F.sum(money(F.col("reserved")))).alias("qty_reserved"),
+                F.sum(money(F.col("on_hand"))).alias("qty_on_hand"),
+                F.sum(money(F.col("reserved"))).alias("qty_reserved"),
             )
             .withColumns(
                 {
@@ -192,12 +212,14 @@ class Domain:
         )
 
     def sales_feed(self) -> DataFrame:
-        """The sales export: one flat row per order line. Times are text, as an export writes them."""
+        """The sales export: one flat row per order and product. Times are text, as an export writes them."""
         customers = self.customers().select("customer_id", "customer_code", "customer_name", "customer_type")
         locations = self.locations().select("location_id", "location_code")
         products = self.products().select("product_id", "sku", "unit_price_eur")
         orders = self.orders().join(customers, "customer_id").join(locations, "location_id")
-        lines = self.order_lines().join(orders, "order_id").join(products, "product_id")
+        # Lines are shuffled once, on the order; their sums per product need no other shuffle.
+        sums = [F.sum(c).alias(c) for c in ("qty_ordered", "qty_fulfilled", "line_total_eur")]
+        lines = self.order_lines().join(orders, "order_id").groupBy(*orders.columns, "product_id").agg(*sums).join(products, "product_id")
         stamp = "yyyy-MM-dd HH:mm:ss"
         return lines.select(
             F.col("order_id").cast("string").alias("order_id"),

@@ -201,3 +201,26 @@ def test_silver_can_take_one_day(spark, tmp_path):
         layers.load_bronze(lake, MOVEMENTS, str(tmp_path), f"2026-01-{day} 19:00:00", f"2026-01-{day}")
     layers.promote_silver(lake, MOVEMENTS, day="2026-01-05")
     assert [r["movement_id"] for r in lake.read(layers.silver_table(MOVEMENTS)).collect()] == ["m05"]
+
+
+def test_key_repeated_in_one_export_is_rejected_and_accounted_for(spark, tmp_path):
+    lake = Lake.scratch(spark, "repeat")
+    drop(tmp_path, "20260105_180500", line("m1", qty="1"), line("m1", qty="2"), line("m2"), line("m3", qty="99999999999"), line("m4", qty="NaN"), line("m5", day="0001-01-01"))
+    drop(tmp_path, "20260106_180500", line("m2", qty="7", exported="2026-01-06T18:05:00+00:00"))
+    layers.load_bronze(lake, MOVEMENTS, str(tmp_path), "2026-01-06 19:00:00")
+    layers.promote_silver(lake, MOVEMENTS)
+    rejected = sorted((r["movement_id"], r["reasons"][0]) for r in lake.read(layers.rejected_table(MOVEMENTS)).collect())
+    assert rejected == [("m1", "duplicate_key"), ("m1", "duplicate_key"), ("m3", "type:qty_delta"), ("m4", "type:qty_delta"), ("m5", "range:movement_date")]
+    assert [(r["movement_id"], float(r["qty_delta"])) for r in lake.read(layers.silver_table(MOVEMENTS)).collect()] == [("m2", 7.0)]
+    accounts = {r["source_file"][-19:-4]: (r["landed"], r["accepted"], r["rejected"], r["superseded"]) for r in lake.read(layers.ACCOUNTING_TABLE).collect()}
+    assert accounts == {"20260105_180500": (6, 0, 5, 1), "20260106_180500": (1, 1, 0, 0)}
+
+
+def test_silver_takes_loads_of_an_equal_and_of_an_older_moment(spark, tmp_path):
+    lake = Lake.scratch(spark, "moments")
+    for k, moment in (("05", "2026-01-09 19:00:00"), ("06", "2026-01-09 19:00:00"), ("07", "2026-01-01 00:00:00")):
+        drop(tmp_path, f"202601{k}_180500", line(f"m{k}", day=f"2026-01-{k}"))
+        layers.load_bronze(lake, MOVEMENTS, str(tmp_path), moment, f"2026-01-{k}")
+        layers.promote_silver(lake, MOVEMENTS)
+    assert sorted(r["movement_id"] for r in lake.read(layers.silver_table(MOVEMENTS)).collect()) == ["m05", "m06", "m07"]
+    assert lake.read(layers.promoted_table(MOVEMENTS)).count() == 3

@@ -60,20 +60,19 @@ def test_lookup_falls_back_to_default(spark):
     df = spark.createDataFrame([(1,), (2,), (None,)], "k int")
     names = spark.createDataFrame([(1, "one")], "k int, name string")
     assert {r["k"]: r["name"] for r in marts.lookup_with_default(df, names, "k", {"name": "?"}).collect()} == {1: "one", 2: "?", None: "?"}
+    repeated = spark.createDataFrame([(1, None), (2, "b"), (2, "a")], "k int, name string")
+    assert sorted((r["k"] or 0, r["name"]) for r in marts.lookup_with_default(df, repeated, "k", {"name": "?"}).collect()) == [(0, "?"), (1, None), (2, "a")]
 
 
 @pytest.fixture(scope="module")
 def ledger(spark):
     stock = spark.sql("SELECT 1L product_id, 1L location_id, CAST(10 AS DECIMAL(12,2)) qty_on_hand")
-    sales = spark.sql(
-        "SELECT * FROM VALUES (7L, 1L, 1L, 9L, 1L, 4.0BD, TIMESTAMP_NTZ'2024-01-02 10:00:00'), (7L, 2L, 1L, 9L, 1L, 0.0BD, TIMESTAMP_NTZ'2024-01-02 10:00:00') "
-        "AS t(order_id, line_no, product_id, supplier_id, location_id, qty_fulfilled, order_ts)"
-    )
-    bought = spark.sql(
-        "SELECT * FROM VALUES (8L, 1L, 1L, 9L, 1L, 6.0BD, DATE'2024-01-03'), (8L, 2L, 1L, 9L, 1L, 6.0BD, NULL), (8L, 3L, 1L, 9L, 1L, 0.0BD, DATE'2024-01-03') "
-        "AS t(po_id, line_no, product_id, supplier_id, location_id, qty_received, actual_delivery)"
-    )
-    return marts.movement_ledger(stock, sales, bought, "2023-12-31 07:00:00")
+    lines = spark.sql(
+        "SELECT * FROM VALUES (7L, 1L, 1L, 9L, 1L, NULL, 4.0BD, NULL), (7L, 2L, 1L, 9L, 1L, 1L, 0.0BD, DATE'2024-01-03'), "
+        "(8L, 1L, 1L, 9L, NULL, 1L, 6.0BD, DATE'2024-01-03'), (8L, 2L, 1L, 9L, NULL, 1L, 6.0BD, NULL) "
+        "AS t(order_id, line_no, product_id, supplier_id, location_id, supplier_location_id, qty_fulfilled, actual_delivery)"
+    ).withColumn("order_ts", F.expr("TIMESTAMP_NTZ'2024-01-02 10:00:00'"))
+    return marts.movement_ledger(stock, lines, "2023-12-31 07:00:00")
 
 
 def test_ledger_holds_opening_sales_and_receipts(ledger):
@@ -124,11 +123,12 @@ def test_reorder_plan(spark):
 
 
 def test_kpis_keep_days_of_either_side(spark):
-    sales = spark.sql("SELECT DATE'2024-01-01' order_date, 10.0BD line_total_eur, 4.0BD qty_ordered, 3.0BD qty_fulfilled")
-    bought = spark.sql(
-        "SELECT * FROM VALUES (DATE'2024-01-02', DATE'2024-01-02'), (DATE'2024-01-02', DATE'2024-01-01'), (NULL, DATE'2024-01-01') AS t(actual_delivery, expected_delivery)"
+    lines = spark.sql(
+        "SELECT * FROM VALUES (DATE'2024-01-01', 1L, 10.0BD, 4.0BD, 3.0BD, NULL, DATE'2024-01-01'), "
+        "(DATE'2024-01-09', NULL, 1.0BD, 1.0BD, 1.0BD, DATE'2024-01-02', DATE'2024-01-02'), (DATE'2024-01-09', NULL, 1.0BD, 1.0BD, 1.0BD, DATE'2024-01-02', DATE'2024-01-01') "
+        "AS t(order_date, location_id, line_total_eur, qty_ordered, qty_fulfilled, actual_delivery, expected_delivery)"
     )
-    rows = [tuple(r) for r in gold.kpi_daily(sales, bought).orderBy("kpi_date").collect()]
+    rows = [tuple(r) for r in gold.kpi_daily(lines).orderBy("kpi_date").collect()]
     assert rows == [(day(1), Decimal("10.0"), 1, 0.75, None, None), (day(2), None, None, None, 2, 0.5)]
 
 
