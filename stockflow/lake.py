@@ -130,19 +130,23 @@ class Lake:
     def period(self, table: str, date_key: str) -> Column:
         return period_start(F.col(date_key), self.grain(table))
 
-    def replace_partitions(self, table: str, df: DataFrame, partition_by: str = PERIOD) -> None:
+    def replace_partitions(self, table: str, df: DataFrame, partition_by: str = PERIOD, rebalance: bool = True) -> None:
         """Overwrite the partitions present in ``df`` and leave the others alone.
 
-        ``rebalance`` sizes the output files and splits a partition that holds much more than the rest.
+        ``rebalance`` shuffles to size the output files and to split a partition that holds much more than the rest. Without it each
+        task writes what it has, which is right where a task's rows already belong to one partition or few.
         """
         columns = self.read(table).columns
         with session_conf(self.spark, spark__sql__sources__partitionOverwriteMode="dynamic"):
-            df.select(*columns).hint("rebalance", partition_by).write.mode("overwrite").insertInto(self.name(table))
+            rows = df.select(*columns)
+            (rows.hint("rebalance", partition_by) if rebalance else rows).write.mode("overwrite").insertInto(self.name(table))
 
     def append(self, table: str, df: DataFrame) -> None:
         df.select(*self.read(table).columns).write.mode("append").insertInto(self.name(table))
 
     def drop_partitions(self, table: str, column: str, times: Sequence[datetime]) -> None:
+        if not times:
+            return
         listed = ", ".join(f"PARTITION ({column} = TIMESTAMP '{t.isoformat(' ')}')" for t in times)
         self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {listed}")
 

@@ -125,6 +125,8 @@ MOVEMENT_TYPES = ("sale", "po_receipt", "adjustment", "transfer", "initial_stock
 
 # A landed line that does not split into the header's fields keeps its text in this column.
 MALFORMED = "malformed_row"
+# What is wrong with the export that a line comes from.
+SCHEMA_FAULT = "schema_fault"
 
 _ADDED = ("source_system", "processed_date")
 

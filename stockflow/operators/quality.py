@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.functions.expressions import all_not_null, reasons
-from stockflow.model import MALFORMED, TableSpec
+from stockflow.model import MALFORMED, SCHEMA_FAULT, TableSpec
 
 REPEATED = "duplicate_key"
 
@@ -71,7 +71,9 @@ def row_reasons(
 def check_raw(raw: DataFrame, spec: TableSpec) -> DataFrame:
     """Landed rows with their ``reasons``; accepted and rejected rows are filters on that column."""
     strict = {f.name: f.dataType for f in spec.silver_schema() if f.name in spec.money}
-    return raw.withColumn("reasons", row_reasons(spec.landing_schema(), spec.keys, MALFORMED, strict, spec.dates))
+    row = row_reasons(spec.landing_schema(), spec.keys, MALFORMED, strict, spec.dates)
+    whole = F.array(F.col(SCHEMA_FAULT))
+    return raw.withColumn("reasons", F.when(F.col(SCHEMA_FAULT).isNotNull(), whole).otherwise(row)).drop(SCHEMA_FAULT)
 
 
 def repeated_in_export(checked: DataFrame, spec: TableSpec, export: str = "source_file") -> DataFrame:
@@ -117,7 +119,7 @@ def monitoring_rows(checked: DataFrame, spec: TableSpec, when: str = "ingestion_
 
     Only the counters of each file leave the executors, however large a file is.
     """
-    unfit = F.exists("reasons", lambda r: r.startswith("type:") | (r == "malformed_row"))
+    unfit = F.exists("reasons", lambda r: r.startswith("type:") | r.startswith("schema:") | (r == "malformed_row"))
     counted = checked.groupBy(F.col(when).alias("date"), "source_file").agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(unfit).alias("incompatible"),

@@ -97,8 +97,10 @@ def load_bronze(
 def store_rejected(lake: Lake, spec: TableSpec, rows: DataFrame, exports: Sequence[landing.Export]) -> None:
     """Rejected rows by export time. An export that is landed again loses its former rejects, also if it has none now."""
     lake.ensure(rejected_table(spec), rows.schema, partition_by=landing.RAW_PARTITION)
-    lake.drop_partitions(rejected_table(spec), landing.RAW_PARTITION, [e.taken for e in exports])
-    lake.replace_partitions(rejected_table(spec), rows, landing.RAW_PARTITION)
+    lake.replace_partitions(rejected_table(spec), rows, landing.RAW_PARTITION, rebalance=False)
+    # Written first: a run that breaks off here leaves former rejects, never none.
+    found = {row[0] for row in rows.select(landing.RAW_PARTITION).distinct().toLocalIterator()}
+    lake.drop_partitions(rejected_table(spec), landing.RAW_PARTITION, [e.taken for e in exports if e.taken not in found])
 
 
 def note_changes(lake: Lake, table: str, periods: Sequence[date]) -> None:

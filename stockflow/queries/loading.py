@@ -173,6 +173,15 @@ def load_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read(layers.ACCOUNTING_TABLE).drop("date")
 
 
+def incompatible_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exports without a column that the table needs are rejected as a whole; the others of the batch land."""
+    lake, landing_dir = export_sales(spark, sf_dir, "headers")
+    lacking = Domain(spark, sf_dir).sales_feed().drop("sku")
+    landing.export_csv(lacking, landing_dir, SALES.name, export_time(F.col("order_date")) + F.expr("INTERVAL 1 HOUR"))
+    layers.load_bronze(lake, SALES, landing_dir, FIRST_RUN, grain=grain_for(Domain(spark, sf_dir), "orders", "o_orderdate"))
+    return lake.read(layers.ACCOUNTING_TABLE).drop("date")
+
+
 def silver_unfit_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What Silver cannot hold is rejected while landing, with the reason, and blocks nothing: rejected keys, and the keys in Silver."""
     lake, landing_dir = export_sales(spark, sf_dir, "unfit", repeated_feed(spark, sf_dir))
@@ -384,6 +393,14 @@ FROM (
     FROM (SELECT *, CAST(order_id AS BIGINT) % 10 AS d FROM sales_feed)
     UNION ALL
     SELECT replace({_FILE}, '_180000', '_190000'), 1, 1, 0, 0 FROM sales_feed WHERE CAST(order_id AS BIGINT) % 10 = 3)
+GROUP BY 1""",
+    ),
+    "incompatible_exports": (
+        incompatible_exports,
+        sql.with_(sql.SALES_FEED)
+        + f"""SELECT source_file, COUNT(*) AS landed, CAST(SUM(ok) AS BIGINT) AS accepted, CAST(SUM(1 - ok) AS BIGINT) AS rejected,
+    CAST(0 AS BIGINT) AS superseded
+FROM (SELECT {_FILE} AS source_file, 1 AS ok FROM sales_feed UNION ALL SELECT replace({_FILE}, '_180000', '_190000'), 0 FROM sales_feed)
 GROUP BY 1""",
     ),
     "silver_unfit_values": (

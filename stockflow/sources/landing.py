@@ -6,16 +6,18 @@ An export is either one file ``sales_20260105_180500.csv`` or, at scale, a folde
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.lake import Lake, glob_paths
-from stockflow.model import MALFORMED, TableSpec
+from stockflow.model import MALFORMED, SCHEMA_FAULT, TableSpec
 
 # Landing files are named <feed>_<yyyyMMdd>_<HHmmss>.csv.
 STAMP_FORMAT, STAMP_PARSE, STAMP_LENGTH = "yyyyMMdd_HHmmss", "%Y%m%d_%H%M%S", 15
@@ -29,10 +31,6 @@ RAW_PARTITION = "ingestion_date"
 REASONS = "reasons"
 
 
-class SchemaMismatch(ValueError):
-    """A landed batch lacks columns that its table needs."""
-
-
 @dataclass(frozen=True)
 class Export:
     """One export: where it lies, its plain name, and the time in that name (UTC)."""
@@ -92,41 +90,69 @@ def list_exports(
     return sorted(found, key=lambda e: (e.taken, e.path))
 
 
+def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+    """Column names of an export, from the first line of its first file that has one; empty if none has. No Spark job runs."""
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = fs.listFiles(top, True)
+    found = []
+    while files.hasNext():
+        status = files.next()
+        name = status.getPath().getName()
+        if status.getLen() > 0 and not name.startswith(("_", ".")):
+            found.append((name, status.getPath()))
+    if not found:
+        return ()
+    stream = fs.open(min(found, key=lambda f: f[0])[1])
+    try:
+        text = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([text or ""]), ()))
+
+
 def read_landing(spark: SparkSession, spec: TableSpec, exports: Sequence[Export]) -> DataFrame | None:
     """Rows of the exports as strings, with ``source_file`` and ``ingestion_date``; None if there is no header.
 
-    Every header is checked against the first; a column the table needs but the exports lack fails the batch,
-    a column the table does not know is ignored. A line with too few or too many fields keeps its text in
-    ``malformed_row``.
+    Each export is read by its own header, so columns may stand in any order, and a column the table does not know is ignored. An export
+    that lacks a column is kept line by line in ``malformed_row``, with the fault in ``schema_fault``: it is rejected as a whole,
+    and the others of the batch go on. A line with too few or too many fields keeps its text in ``malformed_row``.
     """
-    paths = [e.path for e in exports]
-    reader = spark.read.options(**CSV_OPTIONS).option("recursiveFileLookup", "true")
-    # The first export has a header, unless it is an empty file.
-    header = next((columns for path in paths if (columns := reader.csv(path).columns)), None)
-    if header is None:
-        return None
-    missing = [c for c in spec.landing_columns if c not in header]
-    if missing:
-        raise SchemaMismatch(f"{spec.name}: columns missing from the export: {', '.join(missing)}")
-    as_text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, MALFORMED]])
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for export in exports:
+        header = header_of(spark, export.path)
+        if header:
+            by_header.setdefault(header, []).append(export.path)
+    read = [_read_alike(spark, spec, header, paths) for header, paths in by_header.items()]
+    return reduce(DataFrame.unionByName, read) if read else None
+
+
+def _read_alike(spark: SparkSession, spec: TableSpec, header: tuple[str, ...], paths: list[str]) -> DataFrame:
     # The file itself carries the export's name, or else the folder it lies in does.
     path = F.col("_metadata.file_path")
     file, folder = F.substring_index(path, "/", -1), F.substring_index(F.substring_index(path, "/", -2), "/", 1)
     prefix = f"{spec.name}_"
     name = F.when(file.startswith(prefix), file).otherwise(F.substring_index(folder, "=", -1))
     stamp = F.substring(name, len(prefix) + 1, STAMP_LENGTH)
+    origin = [name.alias("source_file"), F.to_timestamp(stamp, STAMP_FORMAT).alias(RAW_PARTITION)]
+    missing = [c for c in spec.landing_columns if c not in header]
+    if missing:
+        lines = spark.read.option("recursiveFileLookup", "true").text(paths)
+        nothing = [F.lit(None).cast("string").alias(c) for c in spec.landing_columns]
+        fault = F.lit(f"schema:missing {' '.join(missing)}").alias(SCHEMA_FAULT)
+        kept = lines.select("value", *origin).where(F.col("value") != ",".join(header))
+        return kept.select(*nothing, F.col("value").alias(MALFORMED), "source_file", RAW_PARTITION, fault)
+    as_text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, MALFORMED]])
     return (
-        reader.schema(as_text)
+        spark.read.options(**CSV_OPTIONS)
+        .option("recursiveFileLookup", "true")
+        .schema(as_text)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", MALFORMED)
         .option("enforceSchema", "false")
         .csv(paths)
-        .select(
-            *spec.landing_columns,
-            MALFORMED,
-            name.alias("source_file"),
-            F.to_timestamp(stamp, STAMP_FORMAT).alias(RAW_PARTITION),
-        )
+        .select(*spec.landing_columns, MALFORMED, *origin, F.lit(None).cast("string").alias(SCHEMA_FAULT))
     )
 
 
@@ -144,7 +170,7 @@ def write_raw(lake: Lake, spec: TableSpec, batch: DataFrame) -> None:
     verdict = T.StructField(REASONS, T.ArrayType(T.StringType()))
     schema = T.StructType([*text, verdict, T.StructField(RAW_PARTITION, T.TimestampType())])
     lake.ensure(raw_table(spec), schema, partition_by=RAW_PARTITION)
-    lake.replace_partitions(raw_table(spec), batch, RAW_PARTITION)
+    lake.replace_partitions(raw_table(spec), batch, RAW_PARTITION, rebalance=False)
 
 
 def read_raw(lake: Lake, spec: TableSpec, since: datetime | str | None = None) -> DataFrame:
