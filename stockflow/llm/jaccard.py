@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stockflow.lake import materialise
-from stockflow.llm.common import prepare, slices, table
+from stockflow.llm.common import one_row_per_id, opened, prepare, share, slices, table
 from stockflow.llm.components import components
 
 WORDS = 5
@@ -41,7 +41,7 @@ class Shingler:
     """Distinct shingles of texts as sorted 64-bit hashes; hashes of words are kept in a memo."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.memo = words, {}
+        self.words, self.memo = words, {}  # type: int, dict[bytes, int]
 
     def of(self, text: str) -> np.ndarray:
         words = text.encode().translate(LOWER).split()  # bytes split at 0x20 and 0x09 to 0x0D
@@ -50,8 +50,9 @@ class Shingler:
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
         memo = self.memo
-        for word in set(words) - memo.keys():
-            memo[word] = xxhash.xxh64_intdigest(word)
+        for word in set(words):
+            if word not in memo:
+                memo[word] = xxhash.xxh64_intdigest(word)
         hashes = np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
         size = min(self.words, len(words))
         last = len(hashes) - size + 1
@@ -61,14 +62,6 @@ class Shingler:
         return np.unique((out ^ (out >> np.uint64(32))) * MIX)
 
 
-def one_row_per_id(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id and text; rows without id are left out, and of different texts under one id the greatest stands for it."""
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")).where("doc_id IS NOT NULL")
-    if rows.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return rows
-    return rows.groupBy("doc_id").agg(F.max("text").alias("text"))
-
-
 def shingle_rows(docs: DataFrame, words: int, counted: float) -> DataFrame:
     """Rows of two kinds.
 
@@ -76,7 +69,8 @@ def shingle_rows(docs: DataFrame, words: int, counted: float) -> DataFrame:
     token (spread evenly), doc, n, n_counted, copy_of: a document, its number of shingles and of those that are counted, and the first
     document of the pack with the same shingles; that one's shingles stand for both.
     """
-    limit = np.uint64(int(counted * 2**64))
+    shared = share(docs.sparkSession, Shingler(words))
+    limit = np.uint64(counted_limit(counted))
     schema = pa.schema([("token", pa.int64()), ("doc", pa.int64()), ("more", pa.list_(pa.int64())), ("n", pa.int64()), ("n_counted", pa.int64()), ("copy_of", pa.int64())])
 
     def pack(docs: list[tuple[int, np.ndarray]]) -> Iterator[pa.RecordBatch]:
@@ -114,7 +108,7 @@ def shingle_rows(docs: DataFrame, words: int, counted: float) -> DataFrame:
             yield whole.slice(at, 50_000)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, waiting, size = Shingler(words), [], 0
+        shingler, waiting, size = opened(shared), [], 0
         for batch in slices(batches, "text"):
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 waiting.append((doc_id, shingler.of(text or "")))
@@ -128,9 +122,13 @@ def shingle_rows(docs: DataFrame, words: int, counted: float) -> DataFrame:
     return docs.mapInArrow(run, "token long, doc long, more array<long>, n long, n_counted long, copy_of long")
 
 
+def counted_limit(counted: float) -> int:
+    return min(int(counted * 2**64), 2**64 - 1)
+
+
 def is_counted(token: Column, counted: float) -> Column:
     """Whether a hash, which Spark holds as a signed number, is among the counted ones."""
-    limit = int(counted * 2**64)
+    limit = counted_limit(counted)
     return (token >= 0) & (token < limit) if limit <= 2**63 else (token >= 0) | (token < limit - 2**64)
 
 
@@ -151,9 +149,10 @@ def prefixes(rows: DataFrame, counted: float) -> DataFrame:
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """doc and tokens for the documents in ``wanted``."""
+    shared = share(docs.sparkSession, Shingler(words))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
+        shingler = opened(shared)
         for batch in slices(batches, "text", 2 * 1024 * 1024):
             sets = [shingler.of(text or "").view(np.int64) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(sets, pa.list_(pa.int64()))], names=["doc", "tokens"])
@@ -166,12 +165,13 @@ def fits(n_a: Column, n_b: Column) -> Column:
     return 4 * F.least(n_a, n_b) >= 3 * F.greatest(n_a, n_b)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough: 100 * intersection >= 75 * union."""
+def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with ``both``, the size of the intersection of their sets, and ``linked``: 100 * intersection >= 75 * union."""
     left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("s"))
     right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("t"))
-    both = F.size(F.array_intersect("s", "t"))
-    return pairs.join(left, "a").join(right, "b").where(100 * both >= 75 * (F.size("s") + F.size("t") - both)).select("a", "b")
+    found = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("s", "t")))
+    linked = 100 * F.col("both") >= 75 * (F.size("s") + F.size("t") - F.col("both"))
+    return found.select("a", "b", "both", linked.alias("linked"))
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, counted: float = COUNTED) -> DataFrame:
@@ -192,29 +192,74 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # Two sizes that fit are in the same or in neighbouring bands.
     band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(4 / 3)) + 1e-9)
     postings = materialise(groups.select(F.explode("prefix").alias("token"), "g", "n", (F.col("n") - F.col("n_alone")).alias("most"), band.alias("band")), "postings")
-    anchors = postings.groupBy("token", "band").agg(F.min(F.struct("g", "n", "most")).alias("anchor"))
+    # The document with the fewest shingles of its own is likely the one that the others were made from.
+    anchors = postings.groupBy("token", "band").agg(F.min(F.struct(F.col("n") - F.col("most"), "g", "n", "most")).alias("anchor"))
     near = anchors.unionByName(anchors.withColumn("band", F.col("band") + 1))
     stars = postings.join(near, ["token", "band"]).where(F.col("g") != F.col("anchor.g")).where(can_link("n", "most", "anchor.n", "anchor.most"))
-    pairs = members.unionByName(stars.select(F.least("g", "anchor.g").alias("a"), F.greatest("g", "anchor.g").alias("b"))).distinct()
-    links = materialise(verified(pairs, sets), "links")
+    pairs = members.unionByName(stars.select(F.col("anchor.g").alias("a"), F.col("g").alias("b"))).distinct()
+    compared = materialise(measured(pairs, sets), "compared")
+    links = compared.where("linked").select("a", "b")
 
     # What is not yet connected meets in full; a member that is unlike its group's name is a group of its own from here on.
     joined = components(links)
-    own = nodes.join(groups.select("n", "prefix", "g"), ["n", "prefix"]).join(joined.withColumnRenamed("node", "doc"), "doc", "left")
-    own = own.withColumn("c", F.coalesce("component", "doc"))
-    everywhere = own.select("doc", "n", (F.col("n") - F.col("n_alone")).alias("most"), "c", F.explode("prefix").alias("token"))
-    mixed = everywhere.groupBy("token").agg(F.min("c").alias("least"), F.max("c").alias("most_c")).where("least <> most_c").select("token")
-    rest = materialise(everywhere.join(mixed, "token", "left_semi"), "rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    crossing = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c"))).where(can_link("x.n", "x.most", "y.n", "y.most"))
-    others = crossing.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct().join(links, ["a", "b"], "left_anti")
+    own = nodes.join(joined.withColumnRenamed("node", "doc"), "doc", "left")
+    own = materialise(own.select("doc", "n", "prefix", F.coalesce("component", "doc").alias("c")), "own")
+    open_ones = across(own.select("doc", "n", "c", F.explode("prefix").alias("token")))
+    bounds = materialise(common_bounds(open_ones.select("doc").distinct(), own.select("doc", "c"), sets, compared), "bounds")
+    open_ones = open_ones.join(bounds.select("doc", "anchor", "core", F.size("extras").alias("extra")), "doc").where("4 * (core + extra) >= 3 * n")
+    rest = materialise(across(open_ones), "rest")
+    whole = F.least(F.col("x.core") + F.col("x.extra"), F.col("y.core") + F.col("y.extra"))
+    core = F.least("x.core", "y.core")
+    crossing = meeting(rest, F.when(F.col("x.anchor") == F.col("y.anchor"), core).otherwise(whole))
+    # Documents of one anchor that have too little of it in common need some extras as well, and meet by the prefixes of these.
+    needed = F.greatest(F.ceil(F.col("n") * 3 / 4) - F.col("core"), F.lit(1)).cast("int")
+    first = F.slice(F.sort_array("extras"), F.lit(1), F.greatest(F.col("extra") - needed + 1, F.lit(0)))
+    extras = rest.select("doc", "n", "c", "anchor", "core", "extra").distinct().join(bounds.select("doc", "extras"), "doc")
+    extras = extras.select("doc", "n", "c", "anchor", "core", "extra", F.explode(first).alias("token"))
+    apart = meeting(across(extras), F.when(F.col("x.anchor") == F.col("y.anchor"), core + F.least("x.extra", "y.extra")).otherwise(0))
+    others = crossing.unionByName(apart).distinct()
+    more = measured(others, sets).where("linked").select("a", "b")
     copies = found.where("copy_of IS NOT NULL").select(F.col("copy_of").alias("a"), F.col("doc").alias("b"))
-    whole = components(links.unionByName(verified(others, sets)).unionByName(copies))
+    whole = components(links.unionByName(more).unionByName(copies))
     return found.join(whole.withColumnRenamed("node", "doc"), "doc", "left").select(
         F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")
     )
 
 
+def common_bounds(docs: DataFrame, component_of: DataFrame, sets: DataFrame, compared: DataFrame) -> DataFrame:
+    """doc, anchor, core, extras: what a document can have in common with one of another component.
+
+    Only shingles count that another component has as well. ``core`` of them are in the set of the document's anchor, the document that it and most others
+    were compared with; ``extras`` are not. So two documents of one anchor have at most the smaller core in common, unless they share an extra.
+    """
+    often = compared.groupBy(F.col("a").alias("anchor")).agg(F.count("*").alias("times"))
+    asked = compared.select(F.col("b").alias("doc"), F.col("a").alias("anchor")).unionByName(often.select(F.col("anchor").alias("doc"), "anchor"))
+    best = materialise(asked.join(often, "anchor").groupBy("doc").agg(F.max_by("anchor", F.struct("times", "anchor")).alias("anchor")), "anchors")
+    anchors, further = best, best.select(F.col("doc").alias("anchor"), F.col("anchor").alias("next"))
+    for _ in range(2):  # an anchor's own anchor is known to more documents yet
+        anchors = anchors.join(further, "anchor", "left").select("doc", F.coalesce("next", "anchor").alias("anchor"))
+    rows = docs.join(anchors, "doc", "left").select("doc", F.coalesce("anchor", "doc").alias("anchor")).join(component_of, "doc")
+    tokens = across(sets.join(rows, "doc").select("doc", "c", "anchor", F.explode("tokens").alias("token")))
+    inside = sets.join(rows.select(F.col("anchor").alias("doc")).distinct(), "doc").select(F.col("doc").alias("anchor"), F.explode("tokens").alias("token"), F.lit(True).alias("inside"))
+    counted = tokens.join(inside, ["anchor", "token"], "left").groupBy("doc", "anchor")
+    return counted.agg(F.count("inside").alias("core"), F.collect_list(F.when(F.col("inside").isNull(), F.col("token"))).alias("extras"))
+
+
+def meeting(rows: DataFrame, most: Column) -> DataFrame:
+    """Pairs (a, b) of documents of different components that share a token, fit in size, and can have enough in common, ``most`` at most."""
+    x, y = rows.alias("x"), rows.alias("y")
+    enough = 7 * most >= 3 * (F.col("x.n") + F.col("y.n"))
+    same = (F.col("x.token") == F.col("y.token")) & (F.col("x.c") < F.col("y.c"))
+    pairs = x.join(y, same & fits(F.col("x.n"), F.col("y.n")) & enough)
+    return pairs.select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b")).distinct()
+
+
+def across(tokens: DataFrame) -> DataFrame:
+    """The rows (token, c and others) whose token occurs in several components."""
+    spread = tokens.groupBy("token").agg(F.min("c").alias("least"), F.max("c").alias("greatest")).where("least <> greatest")
+    return tokens.join(spread.select("token"), "token", "left_semi")
+
+
 def can_link(n_a: str, most_a: str, n_b: str, most_b: str) -> Column:
     """By the sizes, and by the shingles that each shares with any other document at all: the common ones are 3/7 of both sizes at least."""
     a, b = F.col(n_a), F.col(n_b)
