@@ -20,7 +20,7 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from stockflow.llm.common import map_texts, prepare, share, table, text_of, vocabulary
+from stockflow.llm.common import map_texts, prepare, share, single_spaced, table, text_of, vocabulary
 
 #: Encoded pieces of text and tested pairs kept by a worker; when there are more, it starts anew.
 MEMO_ENTRIES = 900_000
@@ -140,6 +140,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         self.vocabulary, self.pattern = vocabulary, regex.compile(pattern)
+        self.decimal = {t: str(t) for t in vocabulary.tokens}
         self.memo: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[int, bool] = {}
 
@@ -161,13 +162,13 @@ class Encoder:
         return out
 
     def encode(self, text: str) -> list[int]:
-        words = text.split(" ")
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
         if len(self.pairs) > MEMO_ENTRIES:
             self.pairs.clear()
-        if "  " in text or any(not w or w[0].isspace() or w[-1].isspace() for w in words):
+        if not single_spaced(text):
             return [t for m in self.pattern.findall(text) for t in self.match(m)]
+        words = text.split(" ")
         out, memo = list(self.piece(words[0])), self.memo
         for word in words[1:]:
             key = " " + word
@@ -187,11 +188,10 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizer
     Gives doc_id, n_tokens, the SHA-256 of the ids (decimal, joined by commas) and of the decoded bytes, and with ``with_ids``
     the ids. A null text is empty and has no tokens; rows are independent of each other, so repeated rows repeat; other columns are not read.
     """
-    vocabulary = share(docs.sparkSession, Vocabulary(load_ranks(ranks_path)))  # a fixed file
+    encoder = share(docs.sparkSession, Encoder(Vocabulary(load_ranks(ranks_path)), pattern))  # a fixed file
 
-    def make(vocabulary: Vocabulary):
-        encoder = Encoder(vocabulary, pattern)
-        decimal = {t: str(t) for t in vocabulary.tokens}
+    def make(encoder: Encoder):
+        decimal = encoder.decimal
 
         def step(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {"doc_id": batch.column("doc_id").to_pylist(), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
@@ -210,7 +210,7 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str = public_tokenizer
         return step
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return map_texts(docs, [docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col)], schema, make, vocabulary)
+    return map_texts(docs, [docs[id_col].cast("long").alias("doc_id"), text_of(docs, text_col)], schema, make, encoder)
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

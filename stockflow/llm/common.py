@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from stockflow.session import tune
 
 #: Texts are taken from an Arrow batch in slices of about so many bytes, so that Python objects stay few.
-SLICE_BYTES = 8 * 1024 * 1024
+SLICE_BYTES = 2 * 1024 * 1024
 #: Arrow batches hold at most so many rows and about so many bytes.
-ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4000", "spark.sql.execution.arrow.maxBytesPerBatch": str(32 * 1024 * 1024)}
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 * 1024 * 1024)}
 
 
 WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]

@@ -29,16 +29,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stockflow.lake import run_dir
-from stockflow.llm.common import opened, prepare, share, slices, table, text_of, vocabulary
+from stockflow.llm.common import opened, prepare, share, single_spaced, slices, table, text_of, vocabulary
 
 MASK_DELTA = 0xA282EAD8
-HEADER = struct.Struct("<QI")
-CHECK = struct.Struct("<I")
-PAYLOAD = struct.Struct("<qBB")
+HEADER, CHECK, PAYLOAD = "<QI", "<I", "<qBB"
 #: A file is closed when it has passed so many bytes; a reader holds one file at a time.
 FILE_BYTES = 32 * 1024 * 1024
 #: Encoded pieces kept by a worker; when there are more, it starts anew.
-MEMO_ENTRIES = 900_000
+MEMO_ENTRIES = 1_000_000
 #: Pieces joined for one call of the library.
 PIECES_AT_ONCE = 2_000
 PARTS_IN_BLOCK = 1024
@@ -52,28 +50,28 @@ def masked(data: bytes) -> int:
 
 def frame(payload: bytes) -> bytes:
     length = struct.pack("<Q", len(payload))
-    return length + CHECK.pack(masked(length)) + payload + CHECK.pack(masked(payload))
+    return length + struct.pack(CHECK, masked(length)) + payload + struct.pack(CHECK, masked(payload))
 
 
 def pack(doc_id: int | None, ids: np.ndarray) -> bytes:
-    return PAYLOAD.pack(doc_id or 0, doc_id is not None, ids.dtype.itemsize) + ids.tobytes()
+    return struct.pack(PAYLOAD, doc_id or 0, doc_id is not None, ids.dtype.itemsize) + ids.tobytes()
 
 
 def unpack(payload: bytes) -> tuple[int | None, np.ndarray]:
-    doc_id, known, width = PAYLOAD.unpack_from(payload)
-    return (doc_id if known else None), np.frombuffer(payload, f"<u{width}", offset=PAYLOAD.size)
+    doc_id, known, width = struct.unpack_from(PAYLOAD, payload)
+    return (doc_id if known else None), np.frombuffer(payload, f"<u{width}", offset=struct.calcsize(PAYLOAD))
 
 
 def read_record(data: bytes, offset: int) -> tuple[bytes, int]:
     """The payload at an offset and the offset after it; a damaged record raises ValueError."""
-    length, check = HEADER.unpack_from(data, offset)
+    length, check = struct.unpack_from(HEADER, data, offset)
     if masked(data[offset : offset + 8]) != check:
         raise ValueError(f"damaged length at offset {offset}")
-    start = offset + HEADER.size
+    start = offset + struct.calcsize(HEADER)
     payload = data[start : start + length]
-    if len(payload) != length or masked(payload) != CHECK.unpack_from(data, start + length)[0]:
+    if len(payload) != length or masked(payload) != struct.unpack_from(CHECK, data, start + length)[0]:
         raise ValueError(f"damaged record at offset {offset}")
-    return payload, start + length + CHECK.size
+    return payload, start + length + struct.calcsize(CHECK)
 
 
 def read_records(data: bytes, order: Iterable[int] | None = None, index: bytes = b"") -> Iterator[tuple[int | None, np.ndarray]]:
@@ -133,6 +131,7 @@ class PieceEncoder:
     """
 
     def __init__(self, tokenizer_json: str, end_id: int):
+        self.tokenizer_json, self.end_id = tokenizer_json, end_id
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
         self.width = "<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
@@ -144,14 +143,22 @@ class PieceEncoder:
             self.lengths[i] = len(token)
         self.memo: dict[str, bytes] = {}
 
+    def __reduce__(self):
+        return PieceEncoder, (self.tokenizer_json, self.end_id)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(text) for text in texts]
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
-        new = list(set().union(*cut) - self.memo.keys())
-        for start in range(0, len(new), PIECES_AT_ONCE):
-            self.learn(new[start : start + PIECES_AT_ONCE])
+        self.memo["\n"] = np.array([self.newline], self.width).tobytes()
         get = self.memo.__getitem__
+        new = {piece: self.parts(piece) for piece in set().union(*cut) if piece not in self.memo}
+        unknown = [part for part in set().union(*new.values()) if part not in self.memo]
+        for start in range(0, len(unknown), PIECES_AT_ONCE):
+            self.learn(unknown[start : start + PIECES_AT_ONCE])
+        for piece, parts in new.items():
+            if len(parts) > 1:
+                self.memo[piece] = b"".join(map(get, parts))
         return [(b"".join(map(get, pieces)) if pieces else self.whole(text)) + self.end for pieces, text in zip(cut, texts, strict=True)]
 
     def whole(self, text: str) -> bytes:
@@ -170,12 +177,27 @@ class PieceEncoder:
         for piece, a, b in zip(new, first.tolist(), last.tolist(), strict=True):
             self.memo[piece] = ids[a:b].tobytes()
 
+    @staticmethod
+    def parts(piece: str) -> list[str]:
+        """Cut a piece further where matches always end: around a newline between other characters, and before a full stop or comma at the end of a word."""
+        out = []
+        for k, line in enumerate(piece.split("\n")):
+            if k:
+                out.append("\n")
+            if not line or line[0].isspace() and k or line[-1].isspace():
+                return [piece]
+            if line[-1] in ".," and line[-2:-1].isalnum():
+                out += [line[:-1], line[-1]]
+            else:
+                out.append(line)
+        return out
+
     @staticmethod
     def pieces(text: str) -> list[str]:
         """None at all if the text has to go to the library as a whole."""
-        words = text.split(" ")
-        if "  " in text or any(not w or w[0].isspace() or w[-1].isspace() for w in words):
+        if not single_spaced(text):
             return []
+        words = text.split(" ")
         return [words[0], *[" " + w for w in words[1:]]]
 
 
@@ -187,10 +209,10 @@ def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:  # a fixed file of a few MB
-        model = share(spark, f.read())
+        model = share(spark, PieceEncoder(f.read(), end_id))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(opened(model), end_id)
+        encoder = opened(model)
         writer = None
         for batch in slices(batches, "text"):
             parts = batch.column("part").to_pylist()

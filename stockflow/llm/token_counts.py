@@ -36,6 +36,7 @@ class Automaton:
     FIRST, NEXT = 0, 1
 
     def __init__(self, first: Iterable[str], following: Iterable[str]):
+        self.memo: dict[str, int] = {}
         self.child: list[dict[str, int]] = [{}, {}]
         is_piece = [False, False]
         for root, pieces in ((self.FIRST, first), (self.NEXT, following)):
@@ -93,7 +94,7 @@ def count_tokens(docs: DataFrame, first: Iterable[str], following: Iterable[str]
     """
 
     def make(automaton: Automaton):
-        memo: dict[str, int] = {}
+        memo = automaton.memo
 
         def step(batch: pa.RecordBatch) -> dict:
             n_words, n_tokens, n_unknown = [], [], []
