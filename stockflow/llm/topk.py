@@ -27,7 +27,9 @@ SEGMENTS = (4, 16)
 #: A block of queries holds about so many numbers.
 BLOCK_NUMBERS = 4_000_000
 #: Rows and queries bounded at once, and pairs computed at once.
-ROWS, QUERIES, PAIRS = 1024, 512, 65_536
+FIRST_ROWS, ROWS, QUERIES, PAIRS = 64, 1024, 512, 65_536
+#: Above this share of surviving pairs, a tile's products are computed as one product of matrices.
+DENSE = 1 / 16
 INT64 = np.iinfo(np.int64)
 
 
@@ -70,34 +72,37 @@ class Best:
         self.pairs = self.computed = 0
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        for r in range(0, len(ids), ROWS):
-            own_ids, own = ids[r : r + ROWS], vectors[r : r + ROWS]
-            real = own.astype(float)
+        begin = 0
+        while begin < len(ids):
+            end = begin + (ROWS if begin else FIRST_ROWS)  # a few rows first give limits for all others
+            own, real = vectors[begin:end], vectors[begin:end].astype(float)
             norms, features = np.linalg.norm(real, axis=1), [segment_features(real, s) for s in SEGMENTS]
             for q in range(0, len(self.ids), QUERIES):
-                self.tile(q, min(q + QUERIES, len(self.ids)), own_ids, own, norms, features)
+                self.tile(slice(q, q + QUERIES), ids[begin:end], own, real, norms, features)
+            begin = end
 
-    def tile(self, begin: int, end: int, ids: np.ndarray, vectors: np.ndarray, norms: np.ndarray, features: list[np.ndarray]) -> None:
-        # Rounding errors of the bounds stay far under this.
-        slack = 1e-9 * np.outer(self.norms[begin:end], norms) + 1e-6
-        bound = self.features[0][begin:end] @ features[0].T + slack
-        keep = (bound >= self.limit[begin:end, None]) & (self.ids[begin:end, None] != ids[None, :])
+    def tile(self, block: slice, ids: np.ndarray, vectors: np.ndarray, real: np.ndarray, norms: np.ndarray, features: list[np.ndarray]) -> None:
+        limit = self.limit[block, None]
+        slack = 1e-9 * np.outer(self.norms[block], norms) + 1e-6  # rounding errors of the bounds stay far under this
+        keep = self.ids[block, None] != ids[None, :]
         self.pairs += keep.size
-        # The rows with the highest bounds first: they raise the limits for the others.
-        order = np.argsort(-bound.max(axis=0), kind="stable")
-        for start in range(0, len(order), max(1, PAIRS // (end - begin))):
-            rows = order[start : start + max(1, PAIRS // (end - begin))]
-            q, r = np.nonzero(keep[:, rows])
-            r, q = rows[r], q + begin
-            near = bound[q - begin, r] >= self.limit[q]
-            q, r = q[near], r[near]
-            for level in range(1, len(SEGMENTS)):
-                finer = np.einsum("ij,ij->i", self.features[level][q], features[level][r]) + slack[q - begin, r]
-                near = finer >= self.limit[q]
-                q, r = q[near], r[near]
-            if len(q):
-                self.computed += len(q)
-                self.merge(q, ids[r], exact_products(self.vectors[q], vectors[r]))
+        for own, others in zip(self.features, features, strict=True):
+            keep &= own[block] @ others.T + slack >= limit
+            if not keep.any():
+                return
+        rows = np.nonzero(keep.any(axis=0))[0]
+        keep = keep[:, rows]
+        self.computed += int(keep.sum())
+        small = float(np.abs(self.real[block]).max(initial=0)) * float(np.abs(real).max(initial=0)) * real.shape[1] < 2**53
+        if small and keep.mean() > DENSE:
+            score = self.real[block] @ real[rows].T  # sums of products under 2^53 are exact
+            q, r = np.nonzero(keep & (score >= limit))
+            found = score[q, r].astype(np.int64)
+        else:
+            q, r = np.nonzero(keep)
+            found = np.concatenate([np.empty(0, np.int64), *[exact_products(self.vectors[block][q[i : i + PAIRS]], vectors[rows[r[i : i + PAIRS]]]) for i in range(0, len(q), PAIRS)]])
+        if len(q):
+            self.merge(q + block.start, ids[rows[r]], found)
 
     def merge(self, query: np.ndarray, row: np.ndarray, score: np.ndarray) -> None:
         query, row, score = (np.concatenate(x) for x in ((self.query, query), (self.row, row), (self.score, score)))
