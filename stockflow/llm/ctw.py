@@ -26,7 +26,7 @@ from stockflow.lake import materialise
 from stockflow.llm.common import fold, one_row_per_id, opened, prepare, share, slices, table
 
 DEPTH = 6
-SHARE = 1 / 100_000
+SHARE = 1 / 50_000
 #: Words that make up at least this share of all tokens are broadcast: at most 1 / HEAD_SHARE of them. The others are joined.
 HEAD_SHARE = 1 / 200_000
 ADDED = 0.1
@@ -144,12 +144,16 @@ class Level:
             for k in range(255, 0, -1):
                 both[:, k] = both[:, 2 * k] + both[:, 2 * k + 1]
             self.zeros[begin : begin + CHUNK], self.ones[begin : begin + CHUNK] = both[:, 2::2], both[:, 3::2]
-        self.rest_zeros, self.rest_ones = self.zeros, self.ones  # what no child of a node has
+        self.parents = np.empty(0, np.int64)
 
-    def give(self, parents: np.ndarray, children: Level) -> None:
-        self.rest_zeros, self.rest_ones = self.zeros.copy(), self.ones.copy()
-        np.subtract.at(self.rest_zeros, parents, children.zeros)
-        np.subtract.at(self.rest_ones, parents, children.ones)
+    def rest(self, children: Level | None) -> tuple[np.ndarray, np.ndarray]:
+        """Counts that no child of a node has."""
+        if children is None:
+            return self.zeros, self.ones
+        zeros, ones = self.zeros.copy(), self.ones.copy()
+        np.subtract.at(zeros, children.parents, children.zeros)
+        np.subtract.at(ones, children.parents, children.ones)
+        return zeros, ones
 
 
 class ContextTree:
@@ -163,22 +167,22 @@ class ContextTree:
         if not len(levels[0].contexts):  # nothing to learn from
             levels = [Level(np.zeros(1, np.int64), np.zeros(1))]
         self.depth = len(levels) - 1
-        parents = [np.zeros(0, np.int64)]
         for d in range(1, len(levels)):
-            parents.append(np.searchsorted(levels[d - 1].contexts, levels[d].contexts & ((1 << 8 * (d - 1)) - 1)))
-            levels[d - 1].give(parents[d], levels[d])
+            levels[d].parents = np.searchsorted(levels[d - 1].contexts, levels[d].contexts & ((1 << 8 * (d - 1)) - 1))
+        after = [*levels[1:], None]
 
         own_share: list[np.ndarray] = [np.empty(0)] * len(levels)  # how much of the weight is with the node itself
         below = np.empty(0)
         for d in range(self.depth, -1, -1):
             level, shares, sums = levels[d], np.ones((len(levels[d].contexts), 255), np.float32), np.zeros((len(levels[d].contexts), 255))
+            rest_zeros, rest_ones = level.rest(after[d])
             if d < self.depth:
-                np.add.at(sums, parents[d + 1], below)
+                np.add.at(sums, after[d].parents, below)
             for at in range(0, len(level.contexts), CHUNK):
                 part = slice(at, at + CHUNK)
                 own = log_block(level.zeros[part].astype(float), level.ones[part].astype(float))
                 if d < self.depth:
-                    children = sums[part] + log_block(level.rest_zeros[part].astype(float), level.rest_ones[part].astype(float))
+                    children = sums[part] + log_block(rest_zeros[part].astype(float), rest_ones[part].astype(float))
                     sums[part] = np.logaddexp(own, children) - np.log(2)
                     shares[part] = np.exp(own - np.log(2) - sums[part])
                 else:
@@ -193,14 +197,15 @@ class ContextTree:
         mixed, left = np.zeros((1, 255)), np.ones((1, 255))
         for d, level in enumerate(levels):
             if d:
-                mixed, left = mixed[parents[d]], left[parents[d]]
-                self.child[first[d - 1] + parents[d], level.contexts >> 8 * (d - 1)] = first[d] + np.arange(len(level.contexts))
+                mixed, left = mixed[level.parents], left[level.parents]
+                self.child[first[d - 1] + level.parents, level.contexts >> 8 * (d - 1)] = first[d] + np.arange(len(level.contexts))
+            rest_zeros, rest_ones = level.rest(after[d])
             for at in range(0, len(level.contexts), CHUNK):
                 part = slice(at, at + CHUNK)
                 zeros, ones = level.zeros[part].astype(float), level.ones[part].astype(float)
                 mixed[part] += left[part] * own_share[d][part] * (ones + 0.5) / (zeros + ones + 1)
                 left[part] *= 1 - own_share[d][part]
-                zeros, ones = level.rest_zeros[part].astype(float), level.rest_ones[part].astype(float)
+                zeros, ones = rest_zeros[part].astype(float), rest_ones[part].astype(float)
                 one = mixed[part] + left[part] * (ones + 0.5) / (zeros + ones + 1)
                 path = np.zeros((len(one), 512))
                 for k in range(1, 256):
