@@ -200,12 +200,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     compared = materialise(measured(pairs, sets), "compared")
     links = compared.where("linked").select("a", "b")
 
-    # What is not yet connected meets in full; a member that is unlike its group's name is a group of its own from here on.
-    joined = components(links)
-    own = nodes.join(joined.withColumnRenamed("node", "doc"), "doc", "left")
-    own = materialise(own.select("doc", "n", "prefix", F.coalesce("component", "doc").alias("c")), "own")
+    # Once more with the anchor that most of a document's neighbours were compared with; what links to one anchor is together.
+    anchors = voted(across(together(nodes, links).select("doc", "c", F.explode("prefix").alias("token"))), compared)
+    again = anchors.where("anchor <> doc").select(F.col("anchor").alias("a"), F.col("doc").alias("b")).join(compared, ["a", "b"], "left_anti")
+    links = materialise(links.unionByName(measured(again, sets).where("linked").select("a", "b")), "links")
+    own = materialise(together(nodes, links), "own")
+
+    # What is not yet together meets in full; a member that is unlike its group's name is a group of its own here.
     open_ones = across(own.select("doc", "n", "c", F.explode("prefix").alias("token")))
-    bounds = materialise(common_bounds(open_ones.select("doc").distinct(), own.select("doc", "c"), sets, compared), "bounds")
+    bounds = materialise(common_bounds(open_ones.select("doc").distinct(), anchors, own.select("doc", "c"), sets), "bounds")
     open_ones = open_ones.join(bounds.select("doc", "anchor", "core", F.size("extras").alias("extra")), "doc").where("4 * (core + extra) >= 3 * n")
     rest = materialise(across(open_ones), "rest")
     whole = F.least(F.col("x.core") + F.col("x.extra"), F.col("y.core") + F.col("y.extra"))
@@ -219,25 +222,50 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     apart = meeting(across(extras), F.when(F.col("x.anchor") == F.col("y.anchor"), core + F.least("x.extra", "y.extra")).otherwise(0))
     others = crossing.unionByName(apart).distinct()
     more = measured(others, sets).where("linked").select("a", "b")
-    copies = found.where("copy_of IS NOT NULL").select(F.col("copy_of").alias("a"), F.col("doc").alias("b"))
-    whole = components(links.unionByName(more).unionByName(copies))
-    return found.join(whole.withColumnRenamed("node", "doc"), "doc", "left").select(
-        F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component_id")
-    )
+    # Links between what is together already connect to components; the smallest document gives the name.
+    cluster = own.select("doc", "c")
+    first, second = cluster.toDF("a", "u"), cluster.toDF("b", "v")
+    bridges = links.unionByName(more).join(first, "a").join(second, "b").where("u <> v").select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
+    whole = components(bridges).select(F.col("node").alias("c"), "component")
+    placed = found.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("copy_of", "doc").alias("doc"))
+    placed = placed.join(cluster, "doc", "left").withColumn("c", F.coalesce("c", "doc")).join(whole, "c", "left")
+    placed = materialise(placed.select("doc_id", "n_shingles", F.coalesce("component", "c").alias("root")), "placed")
+    names = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return placed.join(names, "root").select("doc_id", "n_shingles", "component_id")
+
+
+def popular(pairs: DataFrame) -> DataFrame:
+    """doc, anchor: of the documents a that b has a pair (a, b) with, itself included if it is an a, the one with the most pairs; and that one's own, twice over."""
+    often = pairs.groupBy(F.col("a").alias("anchor")).agg(F.count("*").alias("times"))
+    asked = pairs.select(F.col("b").alias("doc"), F.col("a").alias("anchor")).unionByName(often.select(F.col("anchor").alias("doc"), "anchor"))
+    best = materialise(asked.join(often, "anchor").groupBy("doc").agg(F.max_by("anchor", F.struct("times", "anchor")).alias("anchor")), "anchors")
+    found, further = best, best.select(F.col("doc").alias("anchor"), F.col("anchor").alias("next"))
+    for _ in range(2):
+        found = found.join(further, "anchor", "left").select("doc", F.coalesce("next", "anchor").alias("anchor"))
+    return found
+
+
+def together(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """doc, n, prefix, c: documents of one c are connected by links; c is one of them."""
+    own = nodes.join(popular(links).withColumnRenamed("anchor", "c"), "doc", "left")
+    return own.select("doc", "n", "prefix", F.coalesce("c", "doc").alias("c"))
 
 
-def common_bounds(docs: DataFrame, component_of: DataFrame, sets: DataFrame, compared: DataFrame) -> DataFrame:
+def voted(open_ones: DataFrame, compared: DataFrame) -> DataFrame:
+    """doc, anchor: the anchor that the documents with the same shingles (``open_ones``: doc, token) were compared with most often."""
+    known = open_ones.join(popular(compared.select("a", "b")), "doc", "left").withColumn("anchor", F.coalesce("anchor", "doc"))
+    times = known.groupBy("token", "anchor").agg(F.count("*").alias("times"))
+    lead = times.groupBy("token").agg(F.max_by("anchor", F.struct("times", "anchor")).alias("anchor"))
+    votes = open_ones.join(lead, "token").groupBy("doc", "anchor").agg(F.count("*").alias("times"))
+    return materialise(votes.groupBy("doc").agg(F.max_by("anchor", F.struct("times", "anchor")).alias("anchor")), "anchors")
+
+
+def common_bounds(docs: DataFrame, anchors: DataFrame, component_of: DataFrame, sets: DataFrame) -> DataFrame:
     """doc, anchor, core, extras: what a document can have in common with one of another component.
 
-    Only shingles count that another component has as well. ``core`` of them are in the set of the document's anchor, the document that it and most others
-    were compared with; ``extras`` are not. So two documents of one anchor have at most the smaller core in common, unless they share an extra.
+    Only shingles count that another component has as well. ``core`` of them are in the set of the document's anchor, ``extras`` are not. So two documents of
+    one anchor have at most the smaller core in common, unless they share an extra. Any document can be the anchor.
     """
-    often = compared.groupBy(F.col("a").alias("anchor")).agg(F.count("*").alias("times"))
-    asked = compared.select(F.col("b").alias("doc"), F.col("a").alias("anchor")).unionByName(often.select(F.col("anchor").alias("doc"), "anchor"))
-    best = materialise(asked.join(often, "anchor").groupBy("doc").agg(F.max_by("anchor", F.struct("times", "anchor")).alias("anchor")), "anchors")
-    anchors, further = best, best.select(F.col("doc").alias("anchor"), F.col("anchor").alias("next"))
-    for _ in range(2):  # an anchor's own anchor is known to more documents yet
-        anchors = anchors.join(further, "anchor", "left").select("doc", F.coalesce("next", "anchor").alias("anchor"))
     rows = docs.join(anchors, "doc", "left").select("doc", F.coalesce("anchor", "doc").alias("anchor")).join(component_of, "doc")
     tokens = across(sets.join(rows, "doc").select("doc", "c", "anchor", F.explode("tokens").alias("token")))
     inside = sets.join(rows.select(F.col("anchor").alias("doc")).distinct(), "doc").select(F.col("doc").alias("anchor"), F.explode("tokens").alias("token"), F.lit(True).alias("inside"))
