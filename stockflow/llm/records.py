@@ -123,7 +123,7 @@ class Writer:
 
 
 class PieceEncoder:
-    """The tokenizer's ids of whole texts, as packed little-endian bytes.
+    """The tokenizer's ids of whole texts, as packed little-endian bytes; strings of special tokens in a text are ordinary text.
 
     The library encodes each match of its splitting pattern by itself, and no match reaches across a single space between
     two characters that are not white space. So texts are cut there, and the library encodes each distinct piece once
