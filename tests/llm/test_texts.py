@@ -217,7 +217,7 @@ def test_files_hold_all_records_in_order_and_any_can_be_read(spark, odd, nothing
             assert (r.n_tokens, r.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += r.n_tokens
     files = manifest.collect()
-    assert len(files) > 2
+    assert len(files) >= 2
     local = lambda p: Path(p.removeprefix("file:")).read_bytes()
     for file in files:
         data, index = local(file.path), local(file.index_path)
