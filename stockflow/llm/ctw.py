@@ -135,7 +135,7 @@ class Level:
 
     def __init__(self, grams: np.ndarray, counts: np.ndarray):
         self.contexts, row = np.unique(grams >> 8, return_inverse=True)
-        self.zeros, self.ones = (np.zeros((len(self.contexts), 255), np.float32) for _ in range(2))
+        self.zeros, self.ones = (np.zeros((len(self.contexts), 255)) for _ in range(2))  # double: whole numbers stay exact when they are subtracted
         byte = grams & 255
         first = np.searchsorted(row, np.arange(0, len(self.contexts) + CHUNK, CHUNK))
         for begin, (at, end) in zip(range(0, len(self.contexts), CHUNK), zip(first[:-1], first[1:], strict=True), strict=False):

@@ -212,6 +212,17 @@ def test_probabilities_of_all_bytes_add_up_to_one():
     assert np.allclose((10.0 ** tree.log10.astype(float)).sum(axis=1), 1, atol=0.02)
 
 
+def test_counts_of_thousands_of_millions_stay_exact():
+    rng = random.Random(8)
+    grams, counts = ctw.grams_of([prose(rng, 60).lower().encode().split() for _ in range(20)], 3)
+    counts = counts * 10**9 + np.array([rng.randrange(10**6) for _ in counts])
+    entries = [ctw.added(grams & ((1 << 8 * (d + 1)) - 1), counts) for d in range(4)]
+    tree = ctw.ContextTree([(g, n.astype(float)) for g, n in entries])
+    assert np.isfinite(tree.log10).all()
+    assert np.allclose((10.0 ** tree.log10.astype(float)).sum(axis=1), 1, atol=0.02)
+    assert np.isfinite(tree.score([b"the end".split(), b"~~".split()])).all()
+
+
 def test_log_gamma():
     for x in (0.5, 1.0, 2.5, 6.9, 7.0, 30.5, 1e6 + 0.5):
         assert ctw.log_gamma(np.array([x]))[0] == pytest.approx(math.lgamma(x), rel=1e-9, abs=1e-9)
