@@ -123,17 +123,22 @@ class Writer:
 
 
 class PieceEncoder:
-    """The tokenizer's ids of whole texts, as packed little-endian bytes; strings of special tokens in a text are ordinary text.
+    """The tokenizer's ids of whole texts, as packed little-endian bytes.
+
+    With ``added_tokens`` the string of an added token (such as <|endoftext|>) in a text is that token, as is the library's
+    default, and a text that holds one goes to the library as a whole; without, it is ordinary text.
 
     The library encodes each match of its splitting pattern by itself, and no match reaches across a single space between
     two characters that are not white space. So texts are cut there, and the library encodes each distinct piece once
     for as long as the memo keeps it. A text with other white space around a space goes to the library as a whole.
     """
 
-    def __init__(self, tokenizer_json: str, end_id: int):
-        self.tokenizer_json, self.end_id = tokenizer_json, end_id
+    def __init__(self, tokenizer_json: str, end_id: int, added_tokens: bool = False):
+        self.tokenizer_json, self.end_id, self.added_tokens = tokenizer_json, end_id, added_tokens
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
+        self.default = Tokenizer.from_str(tokenizer_json)
+        self.added = [t.content for t in self.default.get_added_tokens_decoder().values()] if added_tokens else []
         self.width = "<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         self.end = np.array([end_id], self.width).tobytes()
         self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
@@ -144,10 +149,10 @@ class PieceEncoder:
         self.memo: dict[str, bytes] = {}
 
     def __reduce__(self):
-        return PieceEncoder, (self.tokenizer_json, self.end_id)
+        return PieceEncoder, (self.tokenizer_json, self.end_id, self.added_tokens)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.pieces(text) for text in texts]
+        cut = [[] if self.has_added(text) else self.pieces(text) for text in texts]
         if len(self.memo) > MEMO_ENTRIES:
             self.memo.clear()
         self.memo["\n"] = np.array([self.newline], self.width).tobytes()
@@ -161,8 +166,12 @@ class PieceEncoder:
                 self.memo[piece] = b"".join(map(get, parts))
         return [(b"".join(map(get, pieces)) if pieces else self.whole(text)) + self.end for pieces, text in zip(cut, texts, strict=True)]
 
+    def has_added(self, text: str) -> bool:
+        return any(content in text for content in self.added)
+
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width).tobytes()
+        tokenizer = self.default if self.has_added(text) else self.tokenizer
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.width).tobytes()
 
     def learn(self, new: list[str]) -> None:
         """Encode pieces in one call: each follows a newline, which is always a match of its own, and ends before the next."""
@@ -201,15 +210,17 @@ class PieceEncoder:
         return [words[0], *[" " + w for w in words[1:]]]
 
 
-def write_records(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = FILE_BYTES) -> DataFrame:
+def write_records(
+    docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = FILE_BYTES, added_tokens: bool = False
+) -> DataFrame:
     """Encode whole texts, write them in ascending id, and return the manifest: one row for each data file.
 
     Null ids come first; equal ids stay together, in the order of their texts; a null text is empty and gives the end
-    id alone. Columns other than the two are not read. The manifest is written to ``folder`` as well.
+    id alone. ``added_tokens``: see ``PieceEncoder``. Columns other than the two are not read. The manifest is written to ``folder`` as well.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:  # a fixed file of a few MB
-        model = share(spark, PieceEncoder(f.read(), end_id))
+        model = share(spark, PieceEncoder(f.read(), end_id, added_tokens))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = opened(model)
@@ -271,5 +282,5 @@ def read_back(manifest: DataFrame) -> DataFrame:
 
 def op10_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_dir(spark, "records")
-    manifest = write_records(table(prepare(spark), sf_dir, "documents"), folder, vocabulary("byte_bpe_50k.json"), end_id=2)
+    manifest = write_records(table(prepare(spark), sf_dir, "documents"), folder, vocabulary("byte_bpe_50k.json"), end_id=2, added_tokens=True)
     return read_back(manifest)

@@ -228,6 +228,16 @@ def test_files_hold_all_records_in_order_and_any_can_be_read(spark, odd, nothing
     assert records.read_back(empty).count() == 0
 
 
+def test_query_encodes_added_tokens_as_the_library_does(spark, tmp_path):
+    texts = ["a<|endoftext|>b", "one <|endoftext|> two", "<|endoftext|>", "end of text", "<|endoftext| >", "a\n <|endoftext|>\n b"]
+    documents(spark, rows_of(texts)).write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+    found = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in records.op10_token_records(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 2]
+        assert found[i] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), text
+
+
 def test_damage_is_found():
     record = records.frame(records.pack(7, np.array([1, 2, 3], "<u2")))
     assert [(i, ids.tolist()) for i, ids in records.read_records(record)] == [(7, [1, 2, 3])]
