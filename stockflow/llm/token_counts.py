@@ -22,12 +22,16 @@ MEMO_ENTRIES = 500_000
 WORD_START = "▁"
 
 
-def pieces_of_model(path: str) -> tuple[list[str], list[str]]:
-    """Pieces that begin a word and pieces that continue one, from a sentencepiece file; control and byte pieces are left out."""
+def pieces_of_model(path: str, bare_start: bool = False) -> tuple[list[str], list[str]]:
+    """Pieces that begin a word and pieces that continue one, from a sentencepiece file; control and byte pieces are left out.
+
+    With ``bare_start`` the piece that is the word start alone is the empty string among the first, if the file has it: a word can begin with it and go
+    on with continuation pieces.
+    """
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = [model.id_to_piece(i) for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
     first = [p[1:] for p in pieces if p.startswith(WORD_START)]
-    return [p for p in first if p and WORD_START not in p], [p for p in pieces if WORD_START not in p]
+    return [p for p in first if (p or bare_start) and WORD_START not in p], [p for p in pieces if WORD_START not in p]
 
 
 class Automaton:
@@ -50,6 +54,8 @@ class Automaton:
                 is_piece[node] = True
         self.fail, self.popped = [-1] * len(self.child), [0] * len(self.child)
         # The continuation trie lies behind every failure link, and shorter nodes behind longer ones: breadth first, it first.
+        if is_piece[self.FIRST]:  # the bare word start
+            self.fail[self.FIRST], self.popped[self.FIRST] = self.NEXT, 1
         queue = deque([self.NEXT, self.FIRST])
         while queue:
             parent = queue.popleft()
@@ -124,4 +130,4 @@ def count_tokens(docs: DataFrame, first: Iterable[str], following: Iterable[str]
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return count_tokens(table(spark, sf_dir, "documents"), *pieces_of_model(vocabulary("piece_bpe_32k.model")))
+    return count_tokens(table(spark, sf_dir, "documents"), *pieces_of_model(vocabulary("piece_bpe_32k.model"), bare_start=True))

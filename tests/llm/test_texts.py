@@ -68,6 +68,29 @@ def test_counts_of_odd_rows(odd, nothing):
     assert token_counts.count_tokens(nothing, first, following).count() == 0
 
 
+def test_words_may_begin_with_the_bare_start_piece():
+    rng = random.Random(11)
+    for _ in range(300):
+        first, following = ({"".join(rng.choice("abc") for _ in range(rng.randint(1, 5))) for _ in range(rng.randint(0, 12))} for _ in range(2))
+        automaton = token_counts.Automaton({"", *first}, following)
+        for _ in range(40):
+            word = "".join(rng.choice("abcd" if rng.random() < 0.1 else "abc") for _ in range(rng.randint(1, 12)))
+            want = greedy("▁" + word, {"▁", *("▁" + p for p in first)}, following)
+            assert automaton.count(word) == want, (word, first, following)
+
+
+def test_words_with_first_characters_that_have_no_start_piece(spark, tmp_path):
+    texts = ["123456 ñandú ça ßtraße", "2024", "the 7 ones", "中 \ue000x", None]
+    documents(spark, rows_of(texts)).write.parquet(f"{tmp_path}/documents.parquet")
+    first, following = token_counts.pieces_of_model(vocabulary("piece_bpe_32k.model"), bare_start=True)
+    starts, following = {"▁" + p for p in first}, set(following)
+    found = {r.doc_id: (r.n_words, r.n_tokens, r.n_unknown) for r in token_counts.op1_token_counts(spark, str(tmp_path)).collect()}
+    for i, text in enumerate(texts):
+        sizes = [greedy("▁" + w, starts, following) for w in (text or "").split()]
+        assert found[i] == (len(sizes), sum(max(1, n) for n in sizes), sizes.count(0)), text
+    assert found[0][2] == found[1][2] == 0 and found[1][1] > 1 and found[3][2] == 1
+
+
 # Byte-level BPE
 
 
