@@ -5,9 +5,13 @@ bytes. A node's own estimate is Krichevsky and Trofimov's, from its counts a and
 its data is half that of its own estimate plus half the product over its children, so all depths are mixed by what they earned on the training texts.
 A prediction goes down the path of the text's last bytes and mixes the estimates of its nodes with these weights.
 
-A context is a node if it makes up at least ``SHARE`` of all bytes, so each depth has at most 1 / SHARE of them, whatever the input. The rest of a node's data
+A context is a node if it occurs at least ``LEAST`` times in the training texts, whatever their size. The rest of a node's data
 counts as one more child, which has an estimate of its own. All counts are over all training texts.
 
+The tree is never held as a whole. Contexts are dealt to tasks by their last ``TOP`` bytes: a task has all longer contexts of such a root, sums their log
+weights upwards and hands the sums of the roots to the driver, which has the shorter contexts (at most 256^2 + 257). Then the tasks carry the driver's mixtures
+down again, to the log probability of every run of bytes that some text holds. That is a table: its frequent head is broadcast, the rest is joined.
+
 Texts are scored as their tokens: words in lower case (A-Z) with one space between, and a newline as the end. Before a text
 stand newlines. As a base line, each token also has its smoothed frequency among the training tokens.
 """
@@ -15,7 +19,7 @@ stand newlines. As a base line, each token also has its smoothed frequency among
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,14 @@ from stockflow.lake import materialise
 from stockflow.llm.common import fold, one_row_per_id, opened, prepare, share, slices, table
 
 DEPTH = 6
-SHARE = 1 / 50_000
+#: A context that occurs so often is a node.
+LEAST = 2
+#: Contexts of fewer bytes are worked on in the driver, the others in tasks.
+TOP = 3
+#: Runs of bytes that make up at least this share of all bytes are broadcast with their log probability: at most 1 / GRAM_HEAD_SHARE of them. The others are joined.
+GRAM_HEAD_SHARE = 1 / 4_000_000
+#: A task works on whole roots, of about so many runs together.
+GRAMS_AT_ONCE = 300_000
 #: Words that make up at least this share of all tokens are broadcast: at most 1 / HEAD_SHARE of them. The others are joined.
 HEAD_SHARE = 1 / 200_000
 ADDED = 0.1
@@ -51,8 +62,8 @@ def sequence(texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarr
     return data, ends - [len(body) for body in bodies], ends
 
 
-def grams_of(texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct runs of ``depth`` bytes and the byte after them, as numbers whose lowest byte is that byte, with their counts."""
+def grams_at(texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every byte of every text the run of ``depth`` bytes before it and itself, as a number whose lowest byte it is, and the number of its text."""
     data, begins, ends = sequence(texts, depth)
     gram = np.zeros(len(data) - depth, np.int64)
     for k in range(depth + 1):
@@ -60,7 +71,12 @@ def grams_of(texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarr
     inside = np.zeros(len(data) + 1, np.int8)
     inside[begins] += 1
     np.subtract.at(inside, ends, 1)
-    return np.unique(gram[np.cumsum(inside)[depth:-1] > 0], return_counts=True)
+    return gram[np.cumsum(inside)[depth:-1] > 0], np.repeat(np.arange(len(texts)), ends - begins)
+
+
+def grams_of(texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct runs of ``depth`` bytes with the byte after them, and their counts."""
+    return np.unique(grams_at(texts, depth)[0], return_counts=True)
 
 
 def added(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,25 +88,30 @@ def added(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def count_grams(rows: DataFrame, depth: int) -> DataFrame:
-    """gram, count over all rows, summed in each task before they are shuffled."""
+    """gram, count over the rows that are learned from (``learn``) and seen over all rows, summed in each task before they are shuffled."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts, fresh = np.empty(0, np.int64), np.empty(0, np.int64), []
+        grams, counts, fresh = np.empty(0, np.int64), np.empty((0, 2), np.int64), []
         for batch in slices(batches, "text", SLICE_BYTES):
-            fresh.append(grams_of([tokens_of(t) for t in batch.column("text").to_pylist()], depth))
+            texts, learn = [tokens_of(t) for t in batch.column("text").to_pylist()], batch.column("learn").to_pylist()
+            for flag in (True, False):
+                found, n = grams_of(own, depth) if (own := [t for t, x in zip(texts, learn, strict=True) if x == flag]) else (grams[:0], counts[:0, 0])
+                fresh.append((found, np.stack([n * flag, n], axis=1)))
             if sum(len(g) for g, _ in fresh) > GRAMS_KEPT:
                 grams, counts = added(np.concatenate([grams, *[g for g, _ in fresh]]), np.concatenate([counts, *[c for _, c in fresh]]))
                 fresh = []
                 if len(grams) > GRAMS_KEPT:
-                    yield pa.RecordBatch.from_pydict({"gram": grams, "count": counts})
+                    yield pa.RecordBatch.from_pydict({"gram": grams, "count": counts[:, 0], "seen": counts[:, 1]})
                     grams, counts = grams[:0], counts[:0]
         grams, counts = np.concatenate([grams, *[g for g, _ in fresh]]), np.concatenate([counts, *[c for _, c in fresh]])
         if len(grams):
             grams, counts = added(grams, counts)
             for at in range(0, len(grams), 100_000):
-                yield pa.RecordBatch.from_pydict({"gram": grams[at : at + 100_000], "count": counts[at : at + 100_000]})
+                part = slice(at, at + 100_000)
+                yield pa.RecordBatch.from_pydict({"gram": grams[part], "count": counts[part, 0], "seen": counts[part, 1]})
 
-    return rows.select("text").mapInArrow(run, "gram long, count long").groupBy("gram").agg(F.sum("count").alias("count"))
+    found = rows.select("text", "learn").mapInArrow(run, "gram long, count long, seen long")
+    return found.groupBy("gram").agg(F.sum("count").alias("count"), F.sum("seen").alias("seen"))
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -130,6 +151,229 @@ def log_block(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return log_gamma(a + 0.5) + log_gamma(b + 0.5) - np.log(np.pi) - log_gamma(a + b + 1.0)
 
 
+TABLE = 4096
+LOG_GAMMA = np.stack([log_gamma(np.arange(2 * TABLE) + 0.5), log_gamma(np.arange(2 * TABLE) + 1.0)])
+
+
+def log_counts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``log_block`` of whole numbers, small ones by a table."""
+    large = (a >= TABLE) | (b >= TABLE)
+    x, y = (np.where(large, 0, c).astype(np.int64) for c in (a, b))
+    out = LOG_GAMMA[0, x] + LOG_GAMMA[0, y] - np.log(np.pi) - LOG_GAMMA[1, x + y]
+    if large.any():
+        out[large] = log_block(a[large], b[large])
+    return out
+
+
+class Layer:
+    """One depth of some roots: grams (context and byte) in ascending order, their counts, whether their contexts are nodes, and the places of their shorter grams."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, depth: int, least: float):
+        self.grams, self.counts = grams, counts
+        at = starts(grams >> 8)
+        self.node = np.repeat((np.add.reduceat(counts, at) >= least) | (depth == 0), np.diff(at, append=len(grams)))
+        self.shorter, self.above = np.unique(grams & ((1 << 8 * depth) - 1), return_inverse=True)
+
+    def decisions(self, j: int) -> Decisions:
+        return Decisions(self, j)
+
+
+def starts(values: np.ndarray) -> np.ndarray:
+    """Where equal values, which stand together, begin."""
+    return np.nonzero(np.append(True, values[1:] != values[:-1]))[0]
+
+
+class Decisions:
+    """The decisions on bit ``j`` that a layer's grams come to: first gram, counts of zeros and ones."""
+
+    def __init__(self, layer: Layer, j: int):
+        self.at = starts(layer.grams >> 8 - j)
+        self.group = np.repeat(np.arange(len(self.at)), np.diff(self.at, append=len(layer.grams)))
+        self.ones = np.add.reduceat(layer.counts * (layer.grams >> 7 - j & 1), self.at)
+        self.zeros = np.add.reduceat(layer.counts, self.at) - self.ones
+        self.node = layer.node[self.at]
+        self.above = layer.above[self.at]
+
+    def weigh(self, sums: np.ndarray | None) -> None:
+        """Log weight, and the parts of it with the node itself and with its children. ``sums``: weights, zeros and ones of the children; none at the last depth."""
+        own = log_counts(self.zeros, self.ones)
+        if sums is None:
+            self.weight, self.own, self.below = own, np.ones(len(own)), np.zeros(len(own))
+            self.rest = np.zeros((2, len(own)))
+        else:
+            self.rest = np.stack([self.zeros - sums[1], self.ones - sums[2]])
+            below = sums[0] + log_counts(*self.rest)
+            self.weight = np.logaddexp(own, below) - np.log(2)
+            self.own, self.below = np.exp(own - np.log(2) - self.weight), np.exp(below - np.log(2) - self.weight)
+
+    def values(self) -> np.ndarray:
+        return np.stack([self.weight, self.zeros, self.ones])
+
+    def mix(self, state: np.ndarray) -> np.ndarray:
+        """From the states of the decisions above: probabilities of zero and one mixed so far, the weight left, and the two as they are if the path ends here."""
+        n = self.zeros + self.ones + 1
+        left = state[2] * self.below
+        share = state[2] * self.own / n
+        zero, one = state[0] + share * (self.zeros + 0.5), state[1] + share * (self.ones + 0.5)
+        rest = left / (self.rest.sum(axis=0) + 1)
+        mixed = np.stack([zero, one, left, zero + rest * (self.rest[0] + 0.5), one + rest * (self.rest[1] + 0.5)])
+        return np.where(self.node, mixed, state)
+
+
+def layers_of(grams: np.ndarray, counts: np.ndarray, top: int, depth: int, least: float) -> list[Layer]:
+    """Layers of the depths from ``top`` to ``depth``; ``grams``, in ascending order, are those of the last."""
+    layers = [Layer(grams, counts, depth, least)]
+    for d in range(depth - 1, top - 1, -1):
+        last = layers[-1]
+        layers.append(Layer(last.shorter, np.bincount(last.above, weights=last.counts), d, least))
+    return layers[::-1]
+
+
+def weighed(layers: list[Layer], j: int, sums: Callable[[Decisions], np.ndarray] | None = None) -> list[Decisions]:
+    """The decisions on bit ``j`` of all layers, weighed from the last one up; ``sums`` has those of children that are not among the layers."""
+    out: list[Decisions] = []
+    for layer in reversed(layers):
+        mine = layer.decisions(j)
+        if out:
+            parents = mine.group[out[-1].above][out[-1].node]
+            mine.weigh(np.stack([np.bincount(parents, weights=v[out[-1].node], minlength=len(mine.at)) for v in out[-1].values()]))
+        else:
+            mine.weigh(sums(mine) if sums else None)
+        out.append(mine)
+    return out[::-1]
+
+
+def decision_keys(grams: np.ndarray, j: int) -> np.ndarray:
+    """Context and decision of grams on bit ``j``: a one and the bits so far; a whole byte is 256 and its value."""
+    return grams >> 8 << 9 | 1 << j | (grams & 255) >> 8 - j
+
+
+def sums_of_roots(grams: np.ndarray, counts: np.ndarray, top: int, depth: int, least: float) -> dict[str, np.ndarray]:
+    """key, zeros, ones and weight: for each decision of contexts of ``top`` - 1 bytes what their children have, and for each byte after them its count (as zeros)."""
+    layers = layers_of(grams, counts, top, depth, least)
+    own = layers[0].shorter
+    n = np.bincount(layers[0].above, weights=layers[0].counts)
+    parts = [(decision_keys(own, 8), np.stack([np.zeros(len(own)), n, np.zeros(len(own))]))]
+    for j in range(8):
+        first = weighed(layers, j)[0]
+        parts.append((decision_keys(own[first.above[first.node]], j), first.values()[:, first.node]))
+    weight, zeros, ones = np.concatenate([v for _, v in parts], axis=1)
+    return {"key": np.concatenate([k for k, _ in parts]), "zeros": zeros, "ones": ones, "weight": weight}
+
+
+def states_of_top(key: np.ndarray, sums: np.ndarray, top: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, ascending, and states of the decisions of contexts of ``top`` - 1 bytes; ``sums``: weights, zeros and ones of each key's children, by ascending key."""
+    whole = key & 511 >= 256
+    if not whole.any():
+        return key[:0], np.zeros((5, 0))
+    grams, children, sums, counts = key[whole] >> 9 << 8 | key[whole] & 255, key[~whole], sums[:, ~whole], sums[1, whole]
+    layers = layers_of(grams, counts, 0, top - 1, least)
+    keys, states = [], []
+    for j in range(8):
+
+        def below(mine: Decisions, j: int = j) -> np.ndarray:
+            wanted = decision_keys(grams[mine.at], j)
+            if not len(children):
+                return np.zeros((3, len(wanted)))
+            at = np.minimum(np.searchsorted(children, wanted), len(children) - 1)
+            return np.where(children[at] == wanted, sums[:, at], 0)
+
+        path = weighed(layers, j, below)
+        state = np.tile(np.array([0.0, 0, 1, 0, 0])[:, None], len(path[0].at))
+        for d, mine in enumerate(path):
+            state = mine.mix(state if d == 0 else state[:, path[d - 1].group[mine.above]])
+        keys.append(decision_keys(grams[path[-1].at], j))
+        states.append(state)
+    key = np.concatenate(keys)
+    order = np.argsort(key)
+    return key[order], np.concatenate(states, axis=1)[:, order]
+
+
+def logs_of_roots(grams: np.ndarray, counts: np.ndarray, top: int, depth: int, least: float, keys: np.ndarray, states: np.ndarray) -> np.ndarray:
+    """log10 probability of each gram's byte after its context."""
+    layers = layers_of(grams, counts, top, depth, least)
+    logs = np.zeros(len(grams))
+    for j in range(8):
+        path = weighed(layers, j)
+        state = states[:, np.searchsorted(keys, decision_keys(layers[0].shorter[path[0].above], j))]
+        for d, mine in enumerate(path):
+            state = mine.mix(state if d == 0 else state[:, path[d - 1].group[mine.above]])
+        logs += np.log10(np.where(grams >> 7 - j & 1, state[4][mine.group], state[3][mine.group]))
+    return logs
+
+
+def by_root(grams: DataFrame, top: int, columns: list[str], run: Callable[..., dict], schema: str) -> DataFrame:
+    """Apply ``run`` to arrays of ``columns`` (gram first, ascending) that hold all grams of some roots, the last ``top`` bytes of contexts."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        n = 0
+        for batch in batches:
+            held.append(np.stack([np.asarray(c, np.int64) for c in batch.columns]))
+            n += batch.num_rows
+            if n >= GRAMS_AT_ONCE:
+                rows = np.concatenate(held, axis=1)
+                cut = starts(rows[0])[-1]  # the last root may go on
+                if cut:
+                    yield from done(rows[1:, :cut])
+                held, n = [rows[:, cut:]], rows.shape[1] - cut
+        if n:
+            yield from done(np.concatenate(held, axis=1)[1:])
+
+    def done(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        out = run(*rows[:, np.argsort(rows[0])])
+        for at in range(0, len(next(iter(out.values()))), 100_000):
+            yield pa.RecordBatch.from_pydict({name: values[at : at + 100_000] for name, values in out.items()})
+
+    root = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * top) - 1)).alias("root")
+    return grams.select(root, *columns).repartition("root").sortWithinPartitions("root").mapInArrow(work, schema)
+
+
+def gram_logs(grams: DataFrame, depth: int, least: float = LEAST) -> DataFrame:
+    """gram, seen and log10 probability of its byte, for all grams (gram, count, seen); contexts counted ``least`` times and more are nodes."""
+    top = min(TOP, depth)
+    up = by_root(grams, top, ["gram", "count"], lambda g, n: sums_of_roots(g, n.astype(float), top, depth, least), "key long, zeros double, ones double, weight double")
+    found = up.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("weight", "zeros", "ones")]).toArrow()  # bounded by the contexts of two bytes
+    key = np.asarray(found["key"], np.int64)
+    order = np.argsort(key)
+    shared = share(grams.sparkSession, states_of_top(key[order], np.stack([np.asarray(found[c], float)[order] for c in ("weight", "zeros", "ones")]), top, least))
+
+    def down(g: np.ndarray, n: np.ndarray, seen: np.ndarray) -> dict:
+        return {"gram": g, "seen": seen, "log": logs_of_roots(g, n.astype(float), top, depth, least, *opened(shared))}
+
+    return by_root(grams, top, ["gram", "count", "seen"], down, "gram long, seen long, log double")
+
+
+def byte_scores(rows: DataFrame, logs: DataFrame, depth: int, head_share: float) -> DataFrame:
+    """doc_id and parts of its score, which add up to it: what the broadcast head has, and each of the other grams."""
+    total = logs.agg(F.sum("seen")).first()[0] or 0
+    found = logs.where(F.col("seen") >= max(1.0, total * head_share)).select("gram", "log").toArrow()  # at most 1 / head_share
+    grams = np.append(np.asarray(found["gram"], np.int64), np.iinfo(np.int64).max)
+    order = np.argsort(grams)
+    shared = share(rows.sparkSession, (grams[order], np.append(np.asarray(found["log"], float), 0.0)[order]))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, head_logs = opened(shared)
+        for batch in slices(batches, "text", SLICE_BYTES):
+            ids = np.asarray(batch.column("doc_id"))
+            positions, owner = grams_at([tokens_of(t) for t in batch.column("text").to_pylist()], depth)
+            own, place = np.unique(positions, return_inverse=True)
+            at = np.searchsorted(head, own)
+            known = head[at] == own
+            sums = np.bincount(owner, weights=np.where(known, head_logs[at], 0.0)[place], minlength=len(ids))
+            rare = ~known[place]
+            pairs, times = np.unique(owner[rare] * len(own) + place[rare], return_counts=True)
+            # A document's own row goes under a gram that cannot be: a negative one.
+            out = [np.append(-1 - (ids & (1 << 62) - 1), own[pairs % len(own)]), np.append(ids, ids[pairs // len(own)]), np.append(np.zeros(len(ids), np.int64), times)]
+            out.append(np.append(sums, np.zeros(len(pairs))))
+            for start in range(0, len(out[0]), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[start : start + 100_000]) for x in out], names=["gram", "doc_id", "times", "score"])
+
+    parts = rows.select("doc_id", "text").mapInArrow(run, "gram long, doc_id long, times long, score double")
+    rest = logs.where(F.col("seen") < max(1.0, total * head_share)).select("gram", "log")
+    return parts.join(rest, "gram", "left").select("doc_id", (F.col("score") + F.col("times") * F.coalesce("log", F.lit(0.0))).alias("score"))
+
+
 class Level:
     """The nodes of one depth: contexts in ascending order, and counts of zeros and ones at each of the 255 decisions."""
 
@@ -157,7 +401,7 @@ class Level:
 
 
 class ContextTree:
-    """For each node the log10 probability of every byte, and its children by the byte before."""
+    """The tree as a whole in one process, for small inputs. For each node the log10 probability of every byte, and its children by the byte before."""
 
     def __init__(self, entries: list[tuple[np.ndarray, np.ndarray]]):
         """``entries``: for each depth, sorted grams (context and byte) of the contexts that are nodes, and their counts."""
@@ -230,35 +474,20 @@ class ContextTree:
         return upto[ends - depth] - upto[begins - depth]
 
 
-def learn_tree(grams: DataFrame, depth: int, share_of_bytes: float) -> ContextTree:
-    """Build the tree from counts of runs of ``depth`` bytes with the byte after them."""
-    total = grams.agg(F.sum("count")).first()[0] or 0
-    kept = []
-    for d in range(depth + 1):
-        level = grams.groupBy(F.col("gram").bitwiseAND(F.lit((1 << 8 * (d + 1)) - 1)).alias("gram")).agg(F.sum("count").alias("count"))
-        context = F.shiftright("gram", 8)
-        if d:
-            often = level.groupBy(context.alias("context")).agg(F.sum("count").alias("n")).where(F.col("n") >= max(2.0, total * share_of_bytes)).select("context")
-            level = level.withColumn("context", context).join(often, "context", "left_semi")
-        found = level.select("gram", "count").toArrow()  # at most 1 / share contexts
-        order = np.argsort(np.asarray(found["gram"]), kind="stable")
-        kept.append((np.asarray(found["gram"], np.int64)[order], np.asarray(found["count"], np.float64)[order]))
-    return ContextTree(kept)
-
-
 def score_texts(
-    docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, share_of_bytes: float = SHARE, head_share: float = HEAD_SHARE
+    docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH, least: int = LEAST, head_share: float = HEAD_SHARE, gram_head_share: float = GRAM_HEAD_SHARE
 ) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score for each document, one row an id.
 
     ``training`` is a condition on doc_id; all texts for which it holds are learned from. A null or empty text has the end as its only token. Rows without id
     are left out. Rows that repeat an id are one document; if their texts differ, the greatest stands for it. Without training texts
-    every byte has probability 1/256 and no token is known. Other columns are not read.
+    every byte has probability 1/256 and no token is known. Other columns are not read. ``depth`` is 1 to 6.
     """
     spark = docs.sparkSession
     rows = one_row_per_id(docs, id_col, text_col)
     learned = rows.where(training)
-    tree = learn_tree(materialise(count_grams(learned, depth), "grams"), depth, share_of_bytes)
+    grams = materialise(count_grams(rows.withColumn("learn", F.coalesce(training, F.lit(False))), depth), "grams")
+    logs = materialise(gram_logs(grams, depth, least), "logs")
     words = materialise(count_words(learned).where("c > 0"), "words")
     totals = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, kinds = int(totals[0]), int(totals[1])
@@ -266,10 +495,10 @@ def score_texts(
     frequent = F.col("c") >= max(1.0, n * head_share)
     head = {row["word"]: row["c"] for row in words.where(frequent).toLocalIterator()} if n else {}
     head = {bytes(w): float(np.log10((c + ADDED) / below)) for w, c in head.items()}
-    shared = share(spark, (tree, head))
+    shared = share(spark, head)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, head = opened(shared)
+        head = opened(shared)
         for batch in slices(batches, "text", SLICE_BYTES):
             ids = batch.column("doc_id").to_pylist()
             texts = [tokens_of(t) for t in batch.column("text").to_pylist()]
@@ -294,29 +523,34 @@ def score_texts(
                     pa.array([len(t) + 1 for t in texts], pa.int64()),
                     pa.array(known, pa.int64()),
                     pa.array(sums, pa.float64()),
-                    pa.array(tree.score(texts), pa.float64()),
                 ],
                 names=NAMES,
             )
             for at in range(0, len(rare), 50_000):
                 part = slice(at, at + 50_000)
                 k = len(rare[part])
-                empty = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64()), pa.nulls(k, pa.float64())]
+                empty = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64())]
                 yield pa.RecordBatch.from_arrays([pa.array(rare[part], pa.binary()), pa.array(owner[part], pa.int64()), pa.array(times[part], pa.int64()), *empty], names=NAMES)
 
-    found = rows.mapInArrow(run, "word binary, doc_id long, times long, n_tokens long, n_known long, base double, score double")
+    found = rows.mapInArrow(run, "word binary, doc_id long, times long, n_tokens long, n_known long, base double")
     c = F.coalesce("c", F.lit(0))
-    joined = found.join(words.where(~frequent), "word", "left")
-    return joined.groupBy("doc_id").agg(
+    joined = found.join(words.where(~frequent), "word", "left").select(
+        "doc_id",
+        "n_tokens",
+        F.coalesce("n_known", F.when(c > 0, F.col("times")).otherwise(0)).alias("n_known"),
+        F.coalesce("base", F.col("times") * F.log10((c + ADDED) / below)).alias("base"),
+    )
+    both = joined.unionByName(byte_scores(rows, logs, depth, gram_head_share), allowMissingColumns=True)
+    return both.groupBy("doc_id").agg(
         F.max("n_tokens").alias("n_tokens"),
-        F.sum(F.coalesce("n_known", F.when(c > 0, F.col("times")).otherwise(0))).alias("n_known"),
+        F.sum("n_known").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        F.sum(F.coalesce("base", F.col("times") * F.log10((c + ADDED) / below))).alias("base_score"),
-        F.max("score").alias("score"),
+        F.sum("base").alias("base_score"),
+        F.sum("score").alias("score"),
     )
 
 
-NAMES = ["word", "doc_id", "times", "n_tokens", "n_known", "base", "score"]
+NAMES = ["word", "doc_id", "times", "n_tokens", "n_known", "base"]
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -223,6 +223,20 @@ def test_counts_of_thousands_of_millions_stay_exact():
     assert np.isfinite(tree.score([b"the end".split(), b"~~".split()])).all()
 
 
+@pytest.mark.parametrize(("depth", "gram_head_share"), [(6, 1e-9), (6, 1e-4), (4, 1.0), (2, 1e-4)])
+def test_every_repeated_context_counts_at_any_size(spark, depth, gram_head_share):
+    rng = random.Random(12)
+    rare = "qzxjkv qzxjkv"
+    texts = [prose(rng, 400) for _ in range(150)] + [rare]
+    docs = documents(spark, rows_of(texts)).repartition(5)
+    learned = [ctw.tokens_of(t) for i, t in enumerate(texts) if fold(i, 10)]
+    assert fold(len(texts) - 1, 10)
+    tree = tree_of(learned, depth, 2)
+    found = {r.doc_id: r.score for r in ctw.score_texts(docs, ~fold_is(10, 0), depth=depth, gram_head_share=gram_head_share).collect()}
+    for i, want in enumerate(tree.score([ctw.tokens_of(t) for t in texts])):
+        assert found[i] == pytest.approx(want, rel=1e-3)
+
+
 def test_log_gamma():
     for x in (0.5, 1.0, 2.5, 6.9, 7.0, 30.5, 1e6 + 0.5):
         assert ctw.log_gamma(np.array([x]))[0] == pytest.approx(math.lgamma(x), rel=1e-9, abs=1e-9)
