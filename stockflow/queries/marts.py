@@ -97,6 +97,10 @@ def top_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_doubles(marts.top_sales(daily_sales_table(spark, sf_dir), TOP_N), "total_qty_sold", "total_revenue_eur")
 
 
+def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_doubles(marts.ordered_sales(daily_sales_table(spark, sf_dir)), "total_qty_sold", "total_revenue_eur")
+
+
 def supplier_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = Domain(spark, sf_dir)
     rated = marts.supplier_performance(d.purchase_lines(), d.suppliers())
@@ -313,6 +317,10 @@ ORDER BY location_name, category, product_name, sku""",
         f"SELECT * FROM ({_DAILY}) ORDER BY sale_date DESC, total_qty_sold DESC, location_name, category, "
         f"product_name LIMIT {TOP_N}",
     ),
+    "sales_view": (
+        sales_view,
+        f"SELECT * FROM ({_DAILY}) ORDER BY sale_date DESC, total_qty_sold DESC, location_name, category, product_name",
+    ),
     "supplier_performance": (
         supplier_performance,
         sql.with_(sql.ORDER_LINES, sql.PURCHASE_LINES, sql.SUPPLIERS)
