@@ -1,6 +1,6 @@
 """Registered queries of the operators: name -> (DataFrame function of (spark, sf_dir), SQL twin or None)."""
 
-from stockflow.llm import bpe, chat, ctw, decontaminate, jaccard, langid, quality, records, token_counts, topk
+from stockflow.llm import bpe, chat, ctw, decontaminate, jaccard, langid, merkle, packing, quality, records, token_counts, topk, whitening
 
 QUERIES = {
     "op1_token_counts": (token_counts.op1_token_counts, None),
@@ -13,4 +13,7 @@ QUERIES = {
     "op8_byte_bpe": (bpe.op8_byte_bpe, None),
     "op9_quality": (quality.op9_quality, None),
     "op10_token_records": (records.op10_token_records, None),
+    "op11_merkle_manifest": (merkle.op11_merkle_manifest, merkle.OP11_SQL),
+    "op12_packing": (packing.op12_packing, None),
+    "op13_whitening": (whitening.op13_whitening, None),
 }

@@ -20,7 +20,7 @@ def test_same_rows_as_sql(name, spark):
 
 def test_all_are_registered():
     registered = contract.queries()
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) <= set(registered) and "pipeline" in registered
 
 
