@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from stockflow.lake import materialise
 from stockflow.llm.common import opened, prepare, share, slices, table, text_of, vocabulary
-from stockflow.llm.words import WordEncoder, ragged
+from stockflow.llm.words import WordEncoder
 from stockflow.session import session_conf
 
 WINDOW = 4096
@@ -37,6 +37,7 @@ SLICE_BYTES = 8 * 1024 * 1024
 UNITS = "row long, doc_id long, doc_tokens long, windows array<binary>, rest binary, n_rest long, head long"
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 OCCURS, TOKENS, COUNT = 0, 1, 2
+INT32_MAX = 2**31 - 1
 
 
 class Index:
@@ -48,21 +49,25 @@ class Index:
         unit = np.repeat(np.arange(self.n), lengths)
         word = np.ones(len(ids), bool)
         word[np.cumsum(lengths) - 1] = False
-        pairs, counts = np.unique(unit[word] * n_terms + ids[word], return_counts=True)
+        pairs = unit[word] * n_terms + ids[word]
+        if self.n * n_terms <= INT32_MAX:  # sorted much faster
+            pairs = pairs.astype(np.int32)
+        pairs, counts = np.unique(pairs, return_counts=True)
         unit, self.terms = np.divmod(pairs, n_terms)
         self.begins = np.searchsorted(unit, np.arange(self.n + 1))
         rarity = np.log1p((n_units - occurs + 0.5) / (occurs + 0.5))
         weight = rarity[self.terms] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * lengths[unit] / mean_length))
         order = np.argsort(self.terms, kind="stable")
-        self.units, self.weights = unit[order], weight[order]
+        self.units, self.weights = unit[order].astype(np.int64), weight[order]
         self.postings = np.searchsorted(self.terms[order], np.arange(n_terms + 1))
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every unit for the distinct terms of ``seed``."""
         terms = self.terms[self.begins[seed] : self.begins[seed + 1]]
-        first = self.postings[terms]
-        at = ragged(first, self.postings[terms + 1] - first)
-        return np.bincount(self.units[at], self.weights[at], self.n)
+        if not len(terms):
+            return np.zeros(self.n)
+        ranges = list(zip(self.postings[terms].tolist(), self.postings[terms + 1].tolist(), strict=True))
+        return np.bincount(np.concatenate([self.units[a:b] for a, b in ranges]), np.concatenate([self.weights[a:b] for a, b in ranges]), self.n)
 
 
 def sizes(total: int, window: int) -> list[int]:
@@ -103,14 +108,15 @@ def units_of(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, tex
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = opened(model)
-        end = np.array([end_id], encoder.width)
+        end = np.array(end_id, encoder.width)
         row = TaskContext.get().partitionId() << 33
         for batch in slices(batches, "text", SLICE_BYTES):
             ids, ends = encoder.encode(batch.column("text"))
+            ids, ends = np.insert(ids, ends, end), ends + np.arange(1, len(ends) + 1)
             out: dict[str, list] = {name: [] for name in ("row", "doc_tokens", "windows", "rest", "n_rest", "head")}
             begin = 0
             for stop in ends.tolist():
-                own = np.concatenate([ids[begin:stop], end])
+                own = ids[begin:stop]
                 whole = len(own) - len(own) % window
                 out["row"].append(row)
                 out["doc_tokens"].append(len(own))

@@ -11,13 +11,13 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 #: A worker keeps the ids of so many words and of so many of their characters; beyond either it starts anew.
-MEMO_WORDS, MEMO_CHARS = 600_000, 16_000_000
+MEMO_WORDS, MEMO_CHARS = 800_000, 16_000_000
 #: Arrow cuts at these characters, which are no white space to the tokenizer's pattern.
 SEPARATORS = "[\x1c-\x1f]"
-#: A mark that ends a run of letters begins a match of its own.
-LETTER_MARK, APART = r"(\pL)([.,;:!?])", r"\1 \2"
-#: Words that the tokenizer's normalizer leaves as they are and its pattern takes whole.
-PLAIN = "^[a-zß-öø-ÿ]+$"
+#: A mark after a letter begins a match of its own, but for the apostrophe of a contraction.
+LETTER_MARK, APART = r"(\pL)([!-&(-/:-@\[-`{-~])", r"\1 \2"
+#: Words that the tokenizer's normalizer only turns to lower case, letter by letter, and its pattern takes whole.
+PLAIN = "^[a-zß-öø-ÿÀ-ÖØ-Þ]+$"
 END = "</w>"
 
 
@@ -69,7 +69,7 @@ class WordEncoder:
         plain = pc.match_substring_regex(own, PLAIN).to_numpy(zero_copy_only=False) if self.bare else np.zeros(len(words), bool)
         if plain.any():
             simple = own.filter(pa.array(plain)).to_pylist()
-            new = np.array(self.bare.encode_batch_fast([" ".join(simple)], add_special_tokens=False)[0].ids, self.width)
+            new = np.array(self.bare.encode_batch_fast([" ".join(simple).lower()], add_special_tokens=False)[0].ids, self.width)
             self.store(simple, new, np.diff(np.nonzero(self.last[new])[0], prepend=-1))
         rest = own.filter(pa.array(~plain)).to_pylist()
         if rest:
@@ -100,10 +100,12 @@ class WordEncoder:
             self.forget()
         coded = words.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        new = [word for word in distinct if word not in self.memo]
+        slots = np.array([self.memo.get(word, -1) for word in distinct], np.int64)
+        new = np.nonzero(slots < 0)[0].tolist()
         if new:
-            self.learn(new)
-        slot = np.fromiter(map(self.memo.__getitem__, distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+            self.learn([distinct[k] for k in new])
+            slots[new] = [self.memo[distinct[k]] for k in new]
+        slot = slots[coded.indices.to_numpy()]
         lengths = self.lengths[slot]
         ids = self.ids[ragged(self.starts[slot], lengths)]
         ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))]
