@@ -123,9 +123,16 @@ class Lake:
         """As ``ensure``, partitioned by the period of the table's date key."""
         return self.ensure(table, T.StructType([*schema, T.StructField(PERIOD, T.DateType())]), PERIOD, grain)
 
+    def property(self, table: str, key: str) -> str | None:
+        """A property that the table was given when it was made."""
+        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").where(F.col("key") == f"stockflow.{key}").first()
+        return found["value"] if found else None
+
+    def set_property(self, table: str, key: str, value: str) -> None:
+        self.spark.sql(f"ALTER TABLE {self.name(table)} SET TBLPROPERTIES ('stockflow.{key}' = '{value}')")
+
     def grain(self, table: str) -> str:
-        found = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(table)}").where("key = 'stockflow.grain'").first()
-        return found["value"] if found else "day"
+        return self.property(table, "grain") or "day"
 
     def period(self, table: str, date_key: str) -> Column:
         return period_start(F.col(date_key), self.grain(table))
@@ -150,6 +157,13 @@ class Lake:
         listed = ", ".join(f"PARTITION ({column} = TIMESTAMP '{t.isoformat(' ')}')" for t in times)
         self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {listed}")
 
+    def drop_labels(self, table: str, column: str, labels: Sequence[str]) -> None:
+        """Drop partitions by the text of their value; those that are not there are passed over."""
+        if not labels:
+            return
+        listed = ", ".join("PARTITION ({} = '{}')".format(column, label.replace("'", "\\'")) for label in labels)
+        self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {listed}")
+
     def partitions(self, table: str, column: str) -> DataFrame:
         """Partition values from the catalog only; no data file is opened."""
         listed = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}")

@@ -56,14 +56,15 @@ def load_bronze(
     on_duplicate: str = "latest",
     grain: str = "day",
     same_day: bool = False,
+    until: Moment | None = None,
 ) -> None:
-    """Exports from ``since`` on, into raw, rejected, Bronze and monitoring tables.
+    """Exports from ``since`` on (and before ``until``), into raw, rejected, Bronze and monitoring tables.
 
     The text is parsed and checked once, into the raw table; the later steps read that, pruned to the batch's
     exports and to their columns. A key that one export repeats is rejected; of versions in several exports the newest stays. Rejected rows replace those of an earlier run of the same export, so a rerun changes nothing but
     adds its monitoring rows, which come last: they tell of a load that succeeded.
     """
-    exports = landing.list_exports(lake.spark, landing_dir, spec.name, since, same_day=same_day)
+    exports = landing.list_exports(lake.spark, landing_dir, spec.name, since, until, same_day)
     batch = landing.read_landing(lake.spark, spec, exports)
     if batch is None:
         return
@@ -107,7 +108,7 @@ def note_changes(lake: Lake, table: str, periods: Sequence[date]) -> None:
     """Which periods a load is about to rewrite: at most as many rows as the calendar has periods."""
     load_id = uuid.uuid4().hex
     lake.ensure(table, CHANGES)
-    lake.append(table, lake.spark.createDataFrame([(load_id, p) for p in periods], CHANGES))
+    lake.append(table, lake.spark.createDataFrame([(load_id, p) for p in periods], CHANGES).coalesce(1))
 
 
 def promote_silver(

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockflow.lake import Lake, path_bytes, pick_grain
+from stockflow.lake import TARGET_PARTITION_BYTES, path_bytes, pick_grain
+from stockflow.plans.gold_tables import BUCKETS
 from stockflow.sources.domain import Domain
 
 
@@ -25,5 +26,6 @@ def grain_for(domain: Domain, table: str, date_column: str) -> str:
     return pick_grain(path_bytes(domain.spark, domain.path(table)), days)
 
 
-def scratch_lake(spark: SparkSession, label: str) -> Lake:
-    return Lake.scratch(spark, label)
+def buckets_for(domain: Domain, table: str) -> int:
+    """Buckets for a table of totals over the rows of ``table``: none smaller than a good file."""
+    return max(1, min(BUCKETS, path_bytes(domain.spark, domain.path(table)) // TARGET_PARTITION_BYTES))

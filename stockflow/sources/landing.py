@@ -128,20 +128,23 @@ def read_landing(spark: SparkSession, spec: TableSpec, exports: Sequence[Export]
     return reduce(DataFrame.unionByName, read) if read else None
 
 
-def _read_alike(spark: SparkSession, spec: TableSpec, header: tuple[str, ...], paths: list[str]) -> DataFrame:
-    # The file itself carries the export's name, or else the folder it lies in does.
+def origin(spec: TableSpec) -> list[Column]:
+    """Name and time of the export a row comes from: the file itself carries the name, or else the folder it lies in does."""
     path = F.col("_metadata.file_path")
     file, folder = F.substring_index(path, "/", -1), F.substring_index(F.substring_index(path, "/", -2), "/", 1)
     prefix = f"{spec.name}_"
     name = F.when(file.startswith(prefix), file).otherwise(F.substring_index(folder, "=", -1))
     stamp = F.substring(name, len(prefix) + 1, STAMP_LENGTH)
-    origin = [name.alias("source_file"), F.to_timestamp(stamp, STAMP_FORMAT).alias(RAW_PARTITION)]
+    return [name.alias("source_file"), F.to_timestamp(stamp, STAMP_FORMAT).alias(RAW_PARTITION)]
+
+
+def _read_alike(spark: SparkSession, spec: TableSpec, header: tuple[str, ...], paths: list[str]) -> DataFrame:
     missing = [c for c in spec.landing_columns if c not in header]
     if missing:
         lines = spark.read.option("recursiveFileLookup", "true").text(paths)
         nothing = [F.lit(None).cast("string").alias(c) for c in spec.landing_columns]
         fault = F.lit(f"schema:missing {' '.join(missing)}").alias(SCHEMA_FAULT)
-        kept = lines.select("value", *origin).where(F.col("value") != ",".join(header))
+        kept = lines.select("value", *origin(spec)).where(F.col("value") != ",".join(header))
         return kept.select(*nothing, F.col("value").alias(MALFORMED), "source_file", RAW_PARTITION, fault)
     as_text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, MALFORMED]])
     return (
@@ -152,7 +155,7 @@ def _read_alike(spark: SparkSession, spec: TableSpec, header: tuple[str, ...], p
         .option("columnNameOfCorruptRecord", MALFORMED)
         .option("enforceSchema", "false")
         .csv(paths)
-        .select(*spec.landing_columns, MALFORMED, *origin, F.lit(None).cast("string").alias(SCHEMA_FAULT))
+        .select(*spec.landing_columns, MALFORMED, *origin(spec), F.lit(None).cast("string").alias(SCHEMA_FAULT))
     )
 
 
