@@ -23,7 +23,8 @@ class TableSpec:
 
     ``schema`` is the lakehouse schema; ``added`` names its columns that the load fills in and a landing
     file does not carry. ``latest_by`` orders versions of one key, newest first, and must decide every tie. Dates outside
-    ``dates`` (both days included) are refused while landing, so a table has no more periods than that range.
+    ``dates`` (both days included) are refused while landing, so a table has no more periods than that range. ``aliases`` are other names that
+    exports give to columns. ``multiline`` says that quoted text may hold line breaks; files are then not split.
     """
 
     name: str
@@ -38,6 +39,8 @@ class TableSpec:
     ranges: dict[str, tuple[float, float]] = field(default_factory=dict)
     max_lengths: dict[str, int] = field(default_factory=dict)
     foreign_keys: tuple[ForeignKey, ...] = ()
+    aliases: dict[str, str] = field(default_factory=dict)
+    multiline: bool = False
     defaults: dict[str, object] = field(default_factory=dict)
 
     @property
@@ -138,6 +141,7 @@ MOVEMENTS = TableSpec(
     latest_by=("erp_export_ts", "movement_ts", "qty_delta"),
     added=_ADDED,
     money=("qty_delta",),
+    multiline=True,
     domains={"movement_type": MOVEMENT_TYPES},
     max_lengths={"ref_order_type": 20},
     foreign_keys=(

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from stockflow.functions.expressions import all_not_null, reasons
 from stockflow.model import MALFORMED, SCHEMA_FAULT, TableSpec
 
 REPEATED = "duplicate_key"
+UNKNOWN = "unknown:"
 
 
 def drop_null_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
@@ -69,9 +70,15 @@ def row_reasons(
 
 
 def check_raw(raw: DataFrame, spec: TableSpec) -> DataFrame:
-    """Landed rows with their ``reasons``; accepted and rejected rows are filters on that column."""
+    """Landed rows with their ``reasons``; accepted and rejected rows are filters on that column.
+
+    The rules of the specification (allowed values, ranges, lengths) are checked with the types, in the same pass.
+    """
     strict = {f.name: f.dataType for f in spec.silver_schema() if f.name in spec.money}
     row = row_reasons(spec.landing_schema(), spec.keys, MALFORMED, strict, spec.dates)
+    rules = rule_checks(spec.domains, spec.ranges, spec.max_lengths, value=lambda c: F.col(c).try_cast("double"))
+    if rules:
+        row = F.concat(row, reasons(*rules))
     whole = F.array(F.col(SCHEMA_FAULT))
     return raw.withColumn("reasons", F.when(F.col(SCHEMA_FAULT).isNotNull(), whole).otherwise(row)).drop(SCHEMA_FAULT)
 
@@ -143,10 +150,33 @@ def with_violations(
 ) -> DataFrame:
     """Add ``reasons`` for broken row rules. As in SQL CHECK constraints, NULL passes all but ``required``."""
     checks = [(F.col(c).isNull(), f"required:{c}") for c in required]
-    checks += [(~F.col(c).isin(*allowed), f"domain:{c}") for c, allowed in (domains or {}).items()]
-    checks += [(~F.col(c).between(low, high), f"range:{c}") for c, (low, high) in (ranges or {}).items()]
-    checks += [(F.length(c) > n, f"length:{c}") for c, n in (max_lengths or {}).items()]
-    return df.withColumn("reasons", reasons(*checks))
+    return df.withColumn("reasons", reasons(*checks, *rule_checks(domains, ranges, max_lengths)))
+
+
+def rule_checks(
+    domains: Mapping[str, Sequence[str]] | None = None,
+    ranges: Mapping[str, tuple[float, float]] | None = None,
+    max_lengths: Mapping[str, int] | None = None,
+    value: Callable[[str], Column] = F.col,
+) -> list[tuple[Column, str]]:
+    """Conditions under which a row breaks a rule, each with its label. ``value`` reads a number, which may still be text."""
+    checks = [(~F.col(c).isin(*allowed), f"domain:{c}") for c, allowed in (domains or {}).items()]
+    checks += [(~value(c).between(low, high), f"range:{c}") for c, (low, high) in (ranges or {}).items()]
+    return checks + [(F.length(c) > n, f"length:{c}") for c, n in (max_lengths or {}).items()]
+
+
+def with_unknown(df: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Add ``reasons``: the references that are set but have no parent. References to parents that are not given are not checked.
+
+    Parents are joined by their distinct keys, so a row is never repeated; the adaptive planner broadcasts small ones and splits a reference that most rows share.
+    """
+    checks = []
+    for fk in (fk for fk in spec.foreign_keys if fk.parent in parents):
+        key, mark = f"_key_{fk.column}", f"_known_{fk.column}"
+        known = parents[fk.parent].select(F.col(fk.parent_column).cast(df.schema[fk.column].dataType).alias(key)).distinct()
+        df = df.join(known.withColumn(mark, F.lit(True)), F.col(fk.column) == F.col(key), "left").drop(key)
+        checks.append((F.col(fk.column).isNotNull() & F.col(mark).isNull(), f"{UNKNOWN}{fk.column}"))
+    return df.withColumn("reasons", reasons(*checks) if checks else F.array().cast("array<string>")).drop(*[f"_known_{fk.column}" for fk in spec.foreign_keys])
 
 
 def violations(df: DataFrame, spec: TableSpec) -> DataFrame:

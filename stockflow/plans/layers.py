@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stockflow.functions.expressions import on_day
-from stockflow.lake import PERIOD, Lake, materialise
+from stockflow.lake import PERIOD, Lake, cast_to, materialise
 from stockflow.model import ACCOUNTING, CHANGES, MONITORING, TableSpec
 from stockflow.operators import merge, quality
 from stockflow.sources import landing
@@ -28,6 +29,10 @@ def silver_table(spec: TableSpec) -> str:
     return f"silver_{spec.name}"
 
 
+def quarantine_table(spec: TableSpec) -> str:
+    return f"quarantine_{spec.name}"
+
+
 def rejected_table(spec: TableSpec) -> str:
     return f"rejected_{spec.name}"
 
@@ -117,12 +122,16 @@ def promote_silver(
     day: Moment | None = None,
     on_duplicate: str = "latest",
     grain: str = "day",
+    parents: Mapping[str, DataFrame] | None = None,
 ) -> None:
     """The Bronze periods that loads have changed since they were last promoted, with exact decimals, merged by key.
 
     Loads note their periods before they write, and promotions are noted after they have written. So a load of an older or an equal moment
     is promoted as well, a missed run is caught up, and one that broke off is done again; only partitions of these periods are read.
     ``day`` takes the rows processed on that day instead. An error of the merge is raised, not hidden.
+
+    With ``parents`` (dimensions by name) rows that refer to an unknown one stay in quarantine; ``release_quarantine`` lets them in later. Silver keeps the last version of a
+    key that passed.
     """
     lake.ensure_by_date(silver_table(spec), spec.silver_schema(), grain)
     bronze = lake.read(bronze_table(spec))
@@ -138,6 +147,8 @@ def promote_silver(
         if not periods:
             return
         fresh = bronze.where(F.col(PERIOD).isin(periods))
+    if parents is not None:
+        fresh = keep_apart(lake, spec, fresh, parents, None if pending is None else periods)
     merge.upsert(
         lake,
         silver_table(spec),
@@ -151,3 +162,46 @@ def promote_silver(
     )
     if pending is not None:
         lake.append(promoted_table(spec), pending)
+
+
+def keep_apart(lake: Lake, spec: TableSpec, rows: DataFrame, parents: Mapping[str, DataFrame], periods: Sequence[date] | None) -> DataFrame:
+    """Put rows with an unknown reference into quarantine, in place of what whole ``periods`` had there, and return the others.
+
+    The quarantine is written first and then joined by key, so the rows are checked once; a run that breaks off here is done again.
+    """
+    schema = T.StructType([*spec.silver_schema(), T.StructField("reasons", T.ArrayType(T.StringType())), T.StructField(PERIOD, T.DateType())])
+    table = quarantine_table(spec)
+    lake.ensure(table, schema, PERIOD, lake.grain(bronze_table(spec)))
+    unknown = quality.with_unknown(rows, spec, parents).where(F.size("reasons") > 0)
+    found = materialise(cast_to(unknown, schema), "unknown")
+    touched = [row[PERIOD] for row in found.select(PERIOD).distinct().toLocalIterator()]
+    if periods is None:  # single rows of periods: what else waits there goes on waiting
+        waiting = lake.read(table).where(F.col(PERIOD).isin(touched)).join(found.select(*spec.keys), list(spec.keys), "left_anti")
+        lake.replace_partitions(table, found.unionByName(waiting))
+    else:
+        lake.replace_partitions(table, found)
+        lake.drop_labels(table, PERIOD, sorted(str(p) for p in set(periods) - set(touched)))
+    return rows.join(found.select(*spec.keys), list(spec.keys), "left_anti")
+
+
+def release_quarantine(lake: Lake, spec: TableSpec, parents: Mapping[str, DataFrame], grain: str = "day") -> int:
+    """Let the rows into Silver whose references have become known, and only read those that wait; the number of rows let in.
+
+    They enter Silver first and leave the quarantine then, and their periods are noted as promoted for what is kept by changes. A run that breaks off is done again.
+    """
+    table = quarantine_table(spec)
+    if not lake.exists(table):
+        return 0
+    waiting = lake.read(table)
+    checked = quality.with_unknown(waiting.drop("reasons"), spec, parents)
+    free = materialise(checked.where(F.size("reasons") == 0).select(*waiting.drop("reasons").columns), "released")
+    periods = [row[PERIOD] for row in free.select(PERIOD).distinct().toLocalIterator()]
+    if not periods:
+        return 0
+    merge.upsert(lake, silver_table(spec), spec.silver_schema(), free, spec.keys, spec.date_key, "latest", spec.latest_by, grain)
+    note_changes(lake, promoted_table(spec), periods)
+    left = materialise(waiting.where(F.col(PERIOD).isin(periods)).join(free.select(*spec.keys), list(spec.keys), "left_anti").select(*waiting.columns), "still-waiting")
+    lake.replace_partitions(table, left)
+    kept = {row[PERIOD] for row in left.select(PERIOD).distinct().toLocalIterator()}
+    lake.drop_labels(table, PERIOD, sorted(str(p) for p in set(periods) - kept))
+    return free.count()

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockflow.lake import PERIOD, Lake
+from stockflow.lake import PERIOD, Lake, materialise
 from stockflow.model import MOVEMENTS, SALES, TableSpec
-from stockflow.operators import merge, quality
+from stockflow.operators import marts, merge, quality
 from stockflow.plans import gold_tables, job, layers
 from stockflow.queries import sql
 from stockflow.queries.common import as_doubles, as_plain_time, buckets_for, grain_for
 from stockflow.sources import landing
-from stockflow.sources.domain import Domain
+from stockflow.sources.domain import OPENING_TIME, Domain
 
 SINCE = "1998-01-01 18:00:00"
 FIRST_RUN, SECOND_RUN = "2025-01-06 18:05:00", "2025-01-07 18:05:00"
@@ -57,11 +59,56 @@ def movement_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         (-F.col("qty_fulfilled")).alias("qty_delta"),
         F.col("order_id").cast("string").alias("ref_order_id"),
         F.lit("sales_order").alias("ref_order_type"),
-        F.lit('Sale, "as fulfilled"').alias("notes"),
+        F.lit('Sale, "as fulfilled"\nby line').alias("notes"),
         F.date_format(F.col("order_ts") + F.expr("INTERVAL 18 HOURS"), stamp).alias("erp_export_ts"),
     )
 
 
+def all_movements_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The movement export with all types: the ledger's opening stock, sales and receipts, and counts and transfers derived from the stock."""
+    d = Domain(spark, sf_dir)
+    stock = d.inventory()
+    place = (F.col("product_id") + F.col("location_id")) % 10
+    counted = F.array(
+        F.when(place == 0, derived_movement("adjustment", -1, "Cycle count correction", "1998-06-30 12:00:00")),
+        F.when(place == 5, derived_movement("transfer", 5, "Transfer to the next location", "1998-09-30 12:00:00")),
+    )
+    moved = marts.movement_ledger(stock, d.traded_lines(), OPENING_TIME).unionByName(stock.select(F.inline(F.array_compact(counted))))
+    whole = [c for c in marts.LEDGER_COLUMNS if c != "qty_delta"]
+    summed = moved.groupBy(*whole).agg(F.sum("qty_delta").alias("qty_delta"))  # equal lines of an order are one movement
+    placed = summed.join(d.locations().select("location_id", "location_code"), "location_id")
+    stamp = "yyyy-MM-dd HH:mm:ss"
+    return placed.select(
+        "movement_id",
+        F.date_format("movement_ts", stamp).alias("movement_ts"),
+        F.col("movement_ts").cast("date").alias("movement_date"),
+        "movement_type",
+        F.col("product_id").cast("string").alias("product_id"),
+        F.format_string("SKU-%05d", "product_id").alias("sku"),
+        F.col("location_id").cast("string").alias("location_id"),
+        "location_code",
+        "qty_delta",
+        F.col("ref_order_id").cast("string").alias("ref_order_id"),
+        "ref_order_type",
+        "notes",
+        F.date_format(F.col("movement_ts") + F.expr("INTERVAL 18 HOURS"), stamp).alias("erp_export_ts"),
+    )
+
+
+def derived_movement(kind: str, qty: int, notes: str, at: str) -> Column:
+    return F.struct(
+        F.concat_ws("-", F.lit(kind), "product_id", "location_id").alias("movement_id"),
+        F.col("product_id"),
+        F.col("location_id"),
+        F.lit(kind).alias("movement_type"),
+        F.lit(qty).cast("decimal(13,2)").alias("qty_delta"),
+        F.lit(None).cast("bigint").alias("ref_order_id"),
+        F.lit(kind).alias("ref_order_type"),
+        F.lit(at).cast("timestamp_ntz").alias("movement_ts"),
+        F.lit(notes).alias("notes"),
+    )
+
+
 def incremental_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, landing_dir = export_sales(spark, sf_dir, "incremental")
     batch = landed(spark, landing_dir, SALES, SINCE)
@@ -182,6 +229,36 @@ def incompatible_exports(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read(layers.ACCOUNTING_TABLE).drop("date")
 
 
+def drifting_feed(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The sales feed as four systems write it into one export: as agreed, in another order with a new column, with a column by its other name, and without one."""
+    feed = Domain(spark, sf_dir).sales_feed()
+    last = F.col("order_id").cast("long") % 4
+    channel = feed.where(last == 1).withColumn("channel", F.concat(F.lit("via, "), F.col("source")))
+    return [
+        feed.where(last == 0),
+        channel.select(*reversed(channel.columns)),
+        feed.where(last == 2).withColumnRenamed("qty_ordered", "quantity"),
+        feed.where(last == 3).withColumnRenamed("line_total_eur", "amount"),
+    ]
+
+
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part files of one export by their own headers: accepted lines with what the table has no column for, and refused lines by export."""
+    lake = Lake.scratch(spark, "drift")
+    landing_dir = f"{lake.root}-landing"
+    spec = replace(SALES, aliases={"quantity": "qty_ordered"})
+    for part in drifting_feed(spark, sf_dir):
+        landing.export_csv(part, landing_dir, SALES.name, export_time(F.col("order_date")))
+    layers.load_bronze(lake, spec, landing_dir, FIRST_RUN, grain=grain_for(Domain(spark, sf_dir), "orders", "o_orderdate"))
+    raw = lake.read(landing.raw_table(spec)).where(F.size("reasons") == 0)
+    kept = raw.select(
+        F.concat_ws("-", "order_id", "product_id").alias("line"), F.col("qty_ordered").cast("double").alias("qty_ordered"), F.col(landing.RESCUED)["channel"].alias("channel"), F.lit("").alias("reason"), F.lit(1).cast("long").alias("n")
+    )
+    refused = lake.read(layers.rejected_table(spec)).groupBy(F.col("source_file").alias("line"), F.array_join("reasons", ",").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    none = {"qty_ordered": F.lit(None).cast("double"), "channel": F.lit(None).cast("string")}
+    return kept.unionByName(refused.withColumns(none))
+
+
 def silver_unfit_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What Silver cannot hold is rejected while landing, with the reason, and blocks nothing: rejected keys, and the keys in Silver."""
     lake, landing_dir = export_sales(spark, sf_dir, "unfit", repeated_feed(spark, sf_dir))
@@ -207,10 +284,10 @@ def silver_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The movement feed from landing to Silver."""
+    """The movement feed with all five types from landing to Silver."""
     lake = Lake.scratch(spark, "movements")
     landing_dir = f"{lake.root}-landing"
-    landing.export_csv(movement_feed(spark, sf_dir), landing_dir, MOVEMENTS.name, export_time(F.col("movement_date")))
+    landing.export_csv(all_movements_feed(spark, sf_dir), landing_dir, MOVEMENTS.name, export_time(F.col("movement_date")))
     grain = grain_for(Domain(spark, sf_dir), "orders", "o_orderdate")
     layers.load_bronze(lake, MOVEMENTS, landing_dir, FIRST_RUN, grain=grain)
     layers.promote_silver(lake, MOVEMENTS, grain=grain)
@@ -227,6 +304,56 @@ def batch_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_doubles(lake.read("vw_gold_daily_sales"), "total_qty_sold", "total_revenue_eur")
 
 
+def broken_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sales feed with an unknown status, a code that is too long, and a product nobody knows, by the last digit of the order."""
+    feed = Domain(spark, sf_dir).sales_feed()
+    last = F.col("order_id").cast("long") % 10
+    return feed.withColumns(
+        {
+            "status": F.when(last == 4, "lost").otherwise(F.col("status")),
+            "customer_code": F.when(last == 5, F.concat("customer_code", F.lit("-long"))).otherwise(F.col("customer_code")),
+            "product_id": F.when(last == 6, F.concat(F.lit("no-"), "product_id")).otherwise(F.col("product_id")),
+        }
+    )
+
+
+def dimensions(d: Domain) -> dict[str, DataFrame]:
+    return {"customers": d.customers(), "locations": d.locations(), "products": d.products()}
+
+
+def where_rows_are(lake: Lake) -> DataFrame:
+    """Every key with the place it has come to: Silver, rejected while landing, or in quarantine, with the reasons."""
+    why = F.array_join("reasons", ",")
+    keys = ["order_id", "product_id"]
+    silver = lake.read(layers.silver_table(SALES)).select(*keys, F.lit("silver").alias("place"))
+    rejected = lake.read(layers.rejected_table(SALES)).select(*keys, F.concat(F.lit("rejected "), why).alias("place"))
+    waiting = lake.read(layers.quarantine_table(SALES)).select(*keys, F.concat(F.lit("quarantine "), why).alias("place"))
+    return silver.unionByName(rejected).unionByName(waiting)
+
+
+def silver_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of the feed refuse rows while landing, unknown references keep them out of Silver; every row is in one place."""
+    lake, landing_dir = export_sales(spark, sf_dir, "rules", broken_feed(spark, sf_dir))
+    d = Domain(spark, sf_dir)
+    grain = grain_for(d, "orders", "o_orderdate")
+    layers.load_bronze(lake, SALES, landing_dir, FIRST_RUN, grain=grain)
+    layers.promote_silver(lake, SALES, grain=grain, parents=dimensions(d))
+    return where_rows_are(lake)
+
+
+def quarantine_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products that become known later: their rows wait, enter Silver when they do, and leave the quarantine; what is still unknown stays."""
+    lake, landing_dir = export_sales(spark, sf_dir, "quarantine", broken_feed(spark, sf_dir))
+    d = Domain(spark, sf_dir)
+    grain, known = grain_for(d, "orders", "o_orderdate"), dimensions(d)
+    layers.load_bronze(lake, SALES, landing_dir, FIRST_RUN, grain=grain)
+    few = {**known, "products": known["products"].where("product_id % 7 <> 0")}
+    layers.promote_silver(lake, SALES, grain=grain, parents=few)
+    before = materialise(where_rows_are(lake).withColumn("moment", F.lit("before")), "before")
+    layers.release_quarantine(lake, SALES, known, grain)
+    return before.unionByName(where_rows_are(lake).withColumn("moment", F.lit("after")))
+
+
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold totals kept by changes: after a load, a load of corrections and a backfill of older exports they are what a full build gives."""
     lake, landing_dir = export_sales(spark, sf_dir, "gold")
@@ -335,7 +462,7 @@ moves AS (
         order_date AS movement_date, 'sale' AS movement_type, CAST(product_id AS VARCHAR) AS product_id,
         printf('SKU-%05d', product_id) AS sku, CAST(location_id AS VARCHAR) AS location_id, location_code,
         CAST(-SUM(qty_fulfilled) AS DOUBLE) AS qty_delta, CAST(order_id AS VARCHAR) AS ref_order_id,
-        'sales_order' AS ref_order_type, 'Sale, "as fulfilled"' AS notes, order_ts + INTERVAL 18 HOURS AS erp_export_ts
+        'sales_order' AS ref_order_type, 'Sale, "as fulfilled"' || chr(10) || 'by line' AS notes, order_ts + INTERVAL 18 HOURS AS erp_export_ts
     FROM sale_lines JOIN locations USING (location_id) WHERE qty_fulfilled > 0 GROUP BY ALL)"""
 _MERGED = """WITH known AS (
     SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS status,
@@ -351,6 +478,12 @@ SELECT COALESCE(b.order_id, k.order_id) AS order_id, COALESCE(b.order_date, k.or
     CAST(CASE WHEN b.order_id IS NOT NULL THEN b.total_eur ELSE k.total_eur END AS DOUBLE) AS total_eur
 FROM known k FULL JOIN batch b ON b.order_id = k.order_id AND b.order_date = k.order_date"""
 
+_PLACES = """, places AS (
+    SELECT order_id, CASE WHEN d = 6 THEN 'no-' || product_id ELSE product_id END AS product_id, CAST(product_id AS BIGINT) AS own, d,
+        CASE d WHEN 4 THEN 'rejected domain:status' WHEN 5 THEN 'rejected length:customer_code' ELSE 'silver' END AS place
+    FROM (SELECT *, CAST(order_id AS BIGINT) % 10 AS d FROM sales_feed))
+"""
+
 QUERIES = {
     "incremental_landing": (
         incremental_landing,
@@ -415,6 +548,14 @@ GROUP BY 1""",
     CAST(0 AS BIGINT) AS superseded
 FROM (SELECT {_FILE} AS source_file, 1 AS ok FROM sales_feed UNION ALL SELECT replace({_FILE}, '_180000', '_190000'), 0 FROM sales_feed)
 GROUP BY 1""",
+    ),
+    "schema_drift": (
+        schema_drift,
+        sql.with_(sql.SALES_FEED)
+        + f"""SELECT order_id || '-' || product_id AS line, qty_ordered, CASE d WHEN 1 THEN 'via, ' || source END AS channel, '' AS reason, 1 AS n
+FROM (SELECT *, CAST(order_id AS BIGINT) % 4 AS d FROM sales_feed) WHERE d < 3
+UNION ALL
+SELECT {_FILE}, NULL, NULL, 'schema:missing line_total_eur', COUNT(*) FROM sales_feed WHERE CAST(order_id AS BIGINT) % 4 = 3 GROUP BY 1""",
     ),
     "silver_unfit_values": (
         silver_unfit_values,
@@ -429,7 +570,19 @@ FROM (SELECT *, CAST(order_id AS BIGINT) % 10 AS d FROM sales_feed), range(2) t(
     ),
     "silver_movements": (
         silver_movements,
-        sql.with_(_MOVES) + f"SELECT *, 'ERP' AS source_system, TIMESTAMP '{FIRST_RUN}' AS processed_date FROM moves",
+        sql.with_(sql.SALE_LINES, sql.INVENTORY, sql.PURCHASE_LINES, sql.LEDGER, sql.LOCATIONS)
+        + f""", moves AS (
+    SELECT * FROM ledger
+    UNION ALL
+    SELECT concat_ws('-', kind, product_id, location_id), product_id, location_id, kind, qty, NULL, kind, moved_at, notes
+    FROM inventory JOIN (VALUES (0, 'adjustment', -1, TIMESTAMP '1998-06-30 12:00:00', 'Cycle count correction'),
+        (5, 'transfer', 5, TIMESTAMP '1998-09-30 12:00:00', 'Transfer to the next location')) AS v(place, kind, qty, moved_at, notes)
+        ON (product_id + location_id) % 10 = place)
+SELECT movement_id, movement_ts, CAST(movement_ts AS DATE) AS movement_date, movement_type, CAST(product_id AS VARCHAR) AS product_id,
+    printf('SKU-%05d', product_id) AS sku, CAST(location_id AS VARCHAR) AS location_id, location_code, CAST(SUM(qty_delta) AS DOUBLE) AS qty_delta,
+    CAST(ref_order_id AS VARCHAR) AS ref_order_id, ref_order_type, notes, movement_ts + INTERVAL 18 HOURS AS erp_export_ts,
+    'ERP' AS source_system, TIMESTAMP '{FIRST_RUN}' AS processed_date
+FROM moves JOIN locations USING (location_id) GROUP BY ALL""",
     ),
     "batch_job": (
         batch_job,
@@ -438,6 +591,17 @@ FROM (SELECT *, CAST(order_id AS BIGINT) % 10 AS d FROM sales_feed), range(2) t(
     CAST(SUM(CAST(qty_fulfilled AS DECIMAL(12,2))) AS DOUBLE) AS total_qty_sold,
     CAST(SUM(CAST(line_total_eur AS DECIMAL(12,2))) AS DOUBLE) AS total_revenue_eur, COUNT(*) AS n_lines
 FROM sales_feed GROUP BY 1, 2, 3, 4""",
+    ),
+    "silver_rules": (
+        silver_rules,
+        sql.with_(sql.SALES_FEED) + _PLACES + "SELECT order_id, product_id, CASE WHEN d = 6 THEN 'quarantine unknown:product_id' ELSE place END AS place FROM places",
+    ),
+    "quarantine_release": (
+        quarantine_release,
+        sql.with_(sql.SALES_FEED)
+        + _PLACES
+        + """SELECT order_id, product_id, moment, CASE WHEN d = 6 OR (place = 'silver' AND own % 7 = 0 AND moment = 'before') THEN 'quarantine unknown:product_id' ELSE place END AS place
+FROM places, (VALUES ('before'), ('after')) AS v(moment)""",
     ),
     "gold_incremental": (
         gold_incremental,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
@@ -29,6 +30,9 @@ SUFFIX = ".csv"
 CSV_OPTIONS = {"header": "true", "escape": '"'}
 RAW_PARTITION = "ingestion_date"
 REASONS = "reasons"
+RESCUED = "rescued"
+#: First lines of part files fetched at once.
+HEADER_THREADS = 16
 
 
 @dataclass(frozen=True)
@@ -90,44 +94,61 @@ def list_exports(
     return sorted(found, key=lambda e: (e.taken, e.path))
 
 
-def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Column names of an export, from the first line of its first file that has one; empty if none has. No Spark job runs."""
-    jvm = spark.sparkContext._jvm
-    top = jvm.org.apache.hadoop.fs.Path(path)
-    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    files = fs.listFiles(top, True)
+def part_files(spark: SparkSession, path: str) -> list[str]:
+    """The files of an export that hold something, by name: the export itself, or all in its folder."""
+    top = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(top, True)
     found = []
     while files.hasNext():
         status = files.next()
-        name = status.getPath().getName()
-        if status.getLen() > 0 and not name.startswith(("_", ".")):
-            found.append((name, status.getPath()))
-    if not found:
-        return ()
-    stream = fs.open(min(found, key=lambda f: f[0])[1])
+        if status.getLen() > 0 and not status.getPath().getName().startswith(("_", ".")):
+            found.append(status.getPath().toString())
+    return sorted(found)
+
+
+def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names in the first line of a file. No Spark job runs, and no more is read."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
     try:
         text = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
     finally:
         stream.close()
-    return tuple(next(csv.reader([text or ""]), ()))
+    return tuple(next(csv.reader([(text or "").removeprefix("\ufeff")]), ()))
+
+
+def by_header(spark: SparkSession, exports: Sequence[Export]) -> dict[tuple[str, ...], list[str]]:
+    """What to read by each header: the export's folder where all its part files agree, else the files. First lines are fetched by several threads."""
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        listed = list(pool.map(lambda e: part_files(spark, e.path), exports))
+        headers = iter(list(pool.map(lambda f: header_of(spark, f), [f for files in listed for f in files])))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for export, files in zip(exports, listed, strict=True):
+        own = [next(headers) for _ in files]
+        for header, path in {own[0]: export.path}.items() if len(set(own)) == 1 else zip(own, files, strict=True):
+            groups.setdefault(header, []).append(path)
+    return groups
 
 
 def read_landing(spark: SparkSession, spec: TableSpec, exports: Sequence[Export]) -> DataFrame | None:
     """Rows of the exports as strings, with ``source_file`` and ``ingestion_date``; None if there is no header.
 
-    Each export is read by its own header, so columns may stand in any order, and a column the table does not know is ignored. An export
-    that lacks a column is kept line by line in ``malformed_row``, with the fault in ``schema_fault``: it is rejected as a whole,
-    and the others of the batch go on. A line with too few or too many fields keeps its text in ``malformed_row``.
+    Each part file is read by its own header, so columns may stand in any order and under another known name. Columns that the table does not know are kept
+    by name in ``rescued``. A file that lacks a column or repeats one is kept line by line in ``malformed_row``, with the fault in ``schema_fault``: it is rejected as a whole,
+    and the others go on. A line with too few or too many fields keeps its text in ``malformed_row``.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for export in exports:
-        header = header_of(spark, export.path)
-        if header:
-            by_header.setdefault(header, []).append(export.path)
-    read = [_read_alike(spark, spec, header, paths) for header, paths in by_header.items()]
+    read = [_read_alike(spark, spec, header, paths) for header, paths in by_header(spark, exports).items() if header]
     return reduce(DataFrame.unionByName, read) if read else None
 
 
+def header_fault(spec: TableSpec, names: Sequence[str]) -> str | None:
+    """Why files with these columns, by their proper names, cannot be read; None if they can."""
+    missing = [c for c in spec.landing_columns if c not in names]
+    twice = sorted({c for c in names if list(names).count(c) > 1})
+    return f"schema:missing {' '.join(missing)}" if missing else f"schema:repeated {' '.join(twice)}" if twice else None
+
+
 def origin(spec: TableSpec) -> list[Column]:
     """Name and time of the export a row comes from: the file itself carries the name, or else the folder it lies in does."""
     path = F.col("_metadata.file_path")
@@ -139,24 +160,29 @@ def origin(spec: TableSpec) -> list[Column]:
 
 
 def _read_alike(spark: SparkSession, spec: TableSpec, header: tuple[str, ...], paths: list[str]) -> DataFrame:
-    missing = [c for c in spec.landing_columns if c not in header]
-    if missing:
+    names = [spec.aliases.get(c, c) for c in header]
+    unknown = [c for c in names if c not in spec.landing_columns]
+    nothing = F.lit(None).cast("map<string,string>")
+    if fault := header_fault(spec, names):
         lines = spark.read.option("recursiveFileLookup", "true").text(paths)
-        nothing = [F.lit(None).cast("string").alias(c) for c in spec.landing_columns]
-        fault = F.lit(f"schema:missing {' '.join(missing)}").alias(SCHEMA_FAULT)
+        empty = [F.lit(None).cast("string").alias(c) for c in spec.landing_columns]
         kept = lines.select("value", *origin(spec)).where(F.col("value") != ",".join(header))
-        return kept.select(*nothing, F.col("value").alias(MALFORMED), "source_file", RAW_PARTITION, fault)
+        return kept.select(*empty, F.col("value").alias(MALFORMED), "source_file", RAW_PARTITION, nothing.alias(RESCUED), F.lit(fault).alias(SCHEMA_FAULT))
     as_text = T.StructType([T.StructField(c, T.StringType()) for c in [*header, MALFORMED]])
-    return (
+    rows = (
         spark.read.options(**CSV_OPTIONS)
         .option("recursiveFileLookup", "true")
+        .option("multiLine", str(spec.multiline).lower())
         .schema(as_text)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", MALFORMED)
         .option("enforceSchema", "false")
         .csv(paths)
-        .select(*spec.landing_columns, MALFORMED, *origin(spec), F.lit(None).cast("string").alias(SCHEMA_FAULT))
     )
+    named = dict(zip(names, header, strict=True))
+    rescued = F.create_map(*[x for c in unknown for x in (F.lit(c), F.col(f"`{named[c]}`"))]) if unknown else nothing
+    known = [F.col(f"`{named[c]}`").alias(c) for c in spec.landing_columns]
+    return rows.select(*known, MALFORMED, *origin(spec), rescued.alias(RESCUED), F.lit(None).cast("string").alias(SCHEMA_FAULT))
 
 
 def raw_table(spec: TableSpec) -> str:
@@ -171,7 +197,8 @@ def write_raw(lake: Lake, spec: TableSpec, batch: DataFrame) -> None:
     """
     text = [T.StructField(c, T.StringType()) for c in [*spec.landing_columns, MALFORMED, "source_file"]]
     verdict = T.StructField(REASONS, T.ArrayType(T.StringType()))
-    schema = T.StructType([*text, verdict, T.StructField(RAW_PARTITION, T.TimestampType())])
+    rescued = T.StructField(RESCUED, T.MapType(T.StringType(), T.StringType()))
+    schema = T.StructType([*text, rescued, verdict, T.StructField(RAW_PARTITION, T.TimestampType())])
     lake.ensure(raw_table(spec), schema, partition_by=RAW_PARTITION)
     lake.replace_partitions(raw_table(spec), batch, RAW_PARTITION, rebalance=False)
 
