@@ -14,6 +14,7 @@ from stockflow.functions.expressions import (
     receipt_time,
     stock_status,
 )
+from stockflow.lake import Lake
 
 LEDGER_COLUMNS = [
     "movement_id",
@@ -174,6 +175,12 @@ def movement_ledger(inventory: DataFrame, lines: DataFrame, opened_at: str) -> D
     return opening.unionByName(lines.where(F.col("qty_fulfilled") > 0).select(F.inline(F.array_compact(moved))))
 
 
+def store_derived(lake: Lake, table: str, movements: DataFrame) -> None:
+    """Write derived movements to a table by their type: a load that is done again replaces what it wrote, and leaves other types alone."""
+    lake.ensure(table, movements.select(*LEDGER_COLUMNS).schema, "movement_type")
+    lake.replace_partitions(table, movements, "movement_type")
+
+
 def movement(kind: str, location: str, qty: Column, order_type: str, at: Column, notes: Column) -> Column:
     """One ledger row of an order line."""
     return F.struct(

@@ -29,13 +29,13 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str |
     """The newest row of each key.
 
     Spark keeps the first row per key in each map task before the shuffle (a window group limit), so a key that
-    many rows share sends one row per task. ``latest_by`` is newest first and must decide ties.
+    many rows share sends one row per task. ``latest_by`` is newest first and must decide ties. Without keys all rows are one group.
     """
-    if not keys:
-        raise ValueError("latest_per_key needs at least one key column")
     if not latest_by:
         raise ValueError("latest_per_key needs an order")
     newest = [c if isinstance(c, Column) else F.col(c).desc_nulls_last() for c in latest_by]
+    if not keys:
+        return df.orderBy(*newest).limit(1)  # each task passes on one row
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*newest)))
     return ranked.where("_rank = 1").drop("_rank")
 

@@ -67,14 +67,17 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("events").drop(PERIOD)
 
 
-def windowed_lake(spark: SparkSession, sf_dir: str, label: str) -> Lake:
+def windowed_lake(spark: SparkSession, sf_dir: str, label: str, since: str | None = None) -> Lake:
     """Daily totals per type, kept current by each micro-batch.
 
     In update mode each batch emits the windows it changed; merging them by window keeps the result whole at any
-    moment, where append mode would hold back the windows that may still change.
+    moment, where append mode would hold back the windows that may still change. ``since`` filters at the stream's source.
     """
     lake = Lake.scratch(spark, label)
-    events = event_stream(spark, sf_dir).withColumn("value", F.col("value").cast("decimal(12,2)"))
+    events = event_stream(spark, sf_dir)
+    if since is not None:
+        events = events.where(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+    events = events.withColumn("value", F.col("value").cast("decimal(12,2)"))
     totals = ingest.windowed_counts(events, "at", ["event_type"], "value", "1 day", DELAY)
     dated = totals.withColumn("window_date", F.to_date("window_start"))
     with ingest.disk_state(spark):
@@ -100,19 +103,26 @@ def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Everything is delivered twice and stored once."""
+    """Three lots of ten days in three batches; each lot brings the last half day of the lot before once more, and some of its own events twice. All are stored once."""
     lake = Lake.scratch(spark, "dedup")
-    twice = event_stream(spark, sf_dir).unionByName(event_stream(spark, sf_dir))
-    path = f"{lake.root}-events"
-    with ingest.disk_state(spark):
-        once = ingest.without_redelivery(twice, ["event_id"], "at", DELAY)
-        ingest.run_available(ingest.append_parquet(once.drop("at"), path, f"{lake.root}-checkpoint"))
+    events = Domain(spark, sf_dir).table("events")
+    folder, path = f"{lake.root}-in", f"{lake.root}-events"
+    day = F.datediff("ts", F.lit("2024-01-01").cast("date"))
+    for lot in range(3):
+        own = events.where(F.least(F.floor(day / 10), F.lit(2)) == lot)
+        begin = F.lit(f"2024-01-{10 * lot + 1:02d} 00:00:00").cast("timestamp_ntz")
+        before = events.where((F.col("ts") < begin) & (F.col("ts") >= begin - F.expr("INTERVAL 12 HOURS")))
+        own.unionByName(before).unionByName(own.where("event_id % 3 = 0")).write.mode("append").parquet(folder)
+        arriving = ingest.file_stream(spark, folder, events.schema).withColumn("at", F.col("ts").cast("timestamp"))
+        with ingest.disk_state(spark):
+            once = ingest.without_redelivery(arriving, ["event_id"], "at", DELAY)
+            ingest.run_available(ingest.append_parquet(once.drop("at"), path, f"{lake.root}-checkpoint"))
     return spark.read.parquet(path)
 
 
 def serving_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days before the cut-off from the batch layer, later days from the stream."""
-    speed = windowed_lake(spark, sf_dir, "serving").read("windows").drop(PERIOD, "window_date")
+    speed = windowed_lake(spark, sf_dir, "serving", CUT_OFF).read("windows").drop(PERIOD, "window_date")
     speed = as_plain_time(speed, "window_start", "window_end")
     start = F.date_trunc("day", "ts").cast("timestamp_ntz")
     batch = (
