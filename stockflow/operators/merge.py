@@ -71,6 +71,7 @@ def upsert(
     latest_by: Sequence[str | Column] = (),
     grain: str = "day",
     before_write: Callable[[list[date]], None] | None = None,
+    key_counts: DataFrame | None = None,
 ) -> None:
     """Merge ``source`` into a table partitioned by the period of its date key.
 
@@ -79,6 +80,7 @@ def upsert(
 
     The date is part of the key, so a match lies in the same period: only the periods of the batch are read and
     rewritten; ``before_write`` is told which, before any is. One writer at a time; readers may see some partitions before others. A rerun gives the same rows.
+    ``key_counts`` may give the keys of ``source``, a row each, with the number ``n`` of their rows, where that is known already.
     """
     if date_key not in keys:
         raise ValueError("the date key must be one of the merge keys")
@@ -95,13 +97,8 @@ def upsert(
     null_key = F.lit(False)
     for key in keys:
         null_key |= F.col(key).isNull()
-    profile = (
-        rows.groupBy(*keys, PERIOD)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(PERIOD)
-        .agg(F.max("n").alias("most"), F.bool_or(null_key).alias("has_null"))
-        .collect()
-    )
+    counted = rows.groupBy(*keys, PERIOD).agg(F.count(F.lit(1)).alias("n")) if key_counts is None else key_counts.withColumn(PERIOD, period_start(F.col(date_key), grain))
+    profile = counted.groupBy(PERIOD).agg(F.max("n").alias("most"), F.bool_or(null_key).alias("has_null")).collect()
     if not profile:
         return
     if any(p["has_null"] for p in profile):
@@ -110,7 +107,7 @@ def upsert(
     periods = [p[PERIOD] for p in profile]
     target = lake.read(table).where(F.col(PERIOD).isin(periods))
 
-    landed = rows
+    landed = rows if key_counts is None else key_counts
     if repeated and on_duplicate == "error":
         raise DuplicateKeys(f"{table}: the batch repeats a key ({', '.join(keys)})")
     if repeated and on_duplicate == "latest":

@@ -101,6 +101,70 @@ def with_repeats(checked: DataFrame, spec: TableSpec, repeated: DataFrame, expor
     return marked.select(*checked.columns)
 
 
+def key_versions(checked: DataFrame, spec: TableSpec, when: str = "ingestion_date") -> DataFrame:
+    """One row per key of the acceptable rows, with ``versions``: for each export that has it, the number of its rows and the newest one's order.
+
+    The one aggregate by key of a load: repeats, the choice of versions, the periods of the merge and the accounting are read from it. Rows are counted in the map tasks before
+    they are shuffled, and a key has as many versions as the batch has exports at most.
+    """
+    keys = [F.col(k).try_cast(spec.schema[k].dataType).alias(k) for k in spec.keys]
+    order = F.struct(*[F.col(c).try_cast(spec.schema[c].dataType).alias(f"_{i}") for i, c in enumerate(spec.latest_by)])
+    counted = checked.where(F.size("reasons") == 0).groupBy("source_file", when, *keys).agg(F.count(F.lit(1)).alias("n"), F.max(order).alias("newest"))
+    version = F.struct("newest", "source_file", F.col(when).alias("taken"), "n")
+    return counted.groupBy(*spec.keys).agg(F.collect_list(version).alias("versions"))
+
+
+def single_versions() -> Column:
+    """Versions that their export does not repeat."""
+    return F.filter("versions", lambda v: v["n"] == 1)
+
+
+def repeats_of(versions: DataFrame, spec: TableSpec) -> DataFrame:
+    """Exports and keys that they repeat, as ``repeated_in_export`` gives them."""
+    each = versions.where(F.exists("versions", lambda v: v["n"] > 1)).select(*spec.keys, F.explode("versions").alias("v")).where("v.n > 1")
+    return each.select(F.col("v.source_file").alias("source_file"), *spec.keys, F.col("v.n").alias("n_rows"))
+
+
+def merged_keys(versions: DataFrame, spec: TableSpec) -> DataFrame:
+    """The keys that a load merges, and in how many rows each comes."""
+    return versions.select(*spec.keys, F.size(single_versions()).cast("long").alias("n")).where("n > 0")
+
+
+def export_counts(checked: DataFrame, spec: TableSpec, when: str = "ingestion_date") -> DataFrame:
+    """Per export: rows, rows that are not acceptable by themselves, rows that do not fit the schema, NULLs of each key. One row an export."""
+    nulls = [F.count_if(F.col(k).isNull()).alias(k) for k in spec.keys]
+    counts = [F.count(F.lit(1)).alias("rows"), F.count_if(F.size("reasons") > 0).alias("bad"), F.count_if(unfit()).alias("incompatible")]
+    return checked.groupBy(F.col(when).alias("date"), "source_file").agg(*counts, *nulls)
+
+
+def unfit() -> Column:
+    return F.exists("reasons", lambda r: r.startswith("type:") | r.startswith("schema:") | (r == "malformed_row"))
+
+
+def monitoring_of(counts: DataFrame, spec: TableSpec) -> DataFrame:
+    """``monitoring_rows`` from the counts of the exports."""
+    return counts.drop("bad").unpivot(["date", "source_file", "rows", "incompatible"], list(spec.keys), "merge_key", "nulls_dropped")
+
+
+def accounting_of(versions: DataFrame, counts: DataFrame) -> DataFrame:
+    """``accounting`` from the versions of the keys and the counts of the exports: nothing is shuffled by key again."""
+    chosen = F.array_max(single_versions())
+    each = versions.select(F.explode("versions").alias("v"), chosen.alias("c"))
+    new, twice = (F.col("v") == F.col("c")).cast("long"), F.when(F.col("v.n") > 1, F.col("v.n")).otherwise(0)
+    placed = each.select(F.col("v.taken").alias("date"), F.col("v.source_file").alias("source_file"), F.coalesce(new, F.lit(0)).alias("new"), twice.alias("twice"), F.col("v.n").alias("n"))
+    summed = placed.groupBy("date", "source_file").agg(*[F.sum(c).alias(c) for c in ("new", "twice", "n")])
+    none = F.lit(0).cast("long")
+    known = {c: F.coalesce(F.col(c), none) for c in ("new", "twice", "n")}
+    return counts.join(summed, ["date", "source_file"], "left").select(
+        "date",
+        "source_file",
+        F.col("rows").alias("landed"),
+        known["new"].alias("accepted"),
+        (F.col("bad") + known["twice"]).alias("rejected"),
+        (known["n"] - known["twice"] - known["new"]).alias("superseded"),
+    )
+
+
 def accounting(checked: DataFrame, spec: TableSpec, when: str = "ingestion_date") -> DataFrame:
     """Per export: rows landed, rejected, superseded by a newer version in the same batch, and accepted."""
     keys = [F.col(k).try_cast(spec.schema[k].dataType) for k in spec.keys]
@@ -126,14 +190,7 @@ def monitoring_rows(checked: DataFrame, spec: TableSpec, when: str = "ingestion_
 
     Only the counters of each file leave the executors, however large a file is.
     """
-    unfit = F.exists("reasons", lambda r: r.startswith("type:") | r.startswith("schema:") | (r == "malformed_row"))
-    counted = checked.groupBy(F.col(when).alias("date"), "source_file").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(unfit).alias("incompatible"),
-        *[F.count_if(F.col(k).isNull()).alias(k) for k in spec.keys],
-    )
-    ids = ["date", "source_file", "rows", "incompatible"]
-    return counted.unpivot(ids, list(spec.keys), "merge_key", "nulls_dropped")
+    return monitoring_of(export_counts(checked, spec, when), spec)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -66,7 +66,7 @@ def load_bronze(
     """Exports from ``since`` on (and before ``until``), into raw, rejected, Bronze and monitoring tables.
 
     The text is parsed and checked once, into the raw table; the later steps read that, pruned to the batch's
-    exports and to their columns. A key that one export repeats is rejected; of versions in several exports the newest stays. Rejected rows replace those of an earlier run of the same export, so a rerun changes nothing but
+    exports and to their columns. One aggregate by key and one by export serve all steps after that. A key that one export repeats is rejected; of versions in several exports the newest stays. Rejected rows replace those of an earlier run of the same export, so a rerun changes nothing but
     adds its monitoring rows, which come last: they tell of a load that succeeded.
     """
     exports = landing.list_exports(lake.spark, landing_dir, spec.name, since, until, same_day)
@@ -76,11 +76,15 @@ def load_bronze(
     landing.write_raw(lake, spec, quality.check_raw(batch, spec))
     taken = [F.lit(e.taken.isoformat(" ")).cast("timestamp") for e in exports]
     checked = lake.read(landing.raw_table(spec)).where(F.col(landing.RAW_PARTITION).isin(taken))
-    repeated = materialise(quality.repeated_in_export(checked, spec), "repeated")
-    if not repeated.isEmpty():
+    versions = materialise(quality.key_versions(checked, spec), "key-versions")
+    counts = materialise(quality.export_counts(checked, spec), "export-counts")
+    repeated = quality.repeats_of(versions, spec)
+    again = not repeated.isEmpty()
+    if again:
         checked = quality.with_repeats(checked, spec, repeated)
 
-    store_rejected(lake, spec, quality.rejected(checked), exports)
+    some = again or not counts.where("bad > 0").isEmpty()
+    store_rejected(lake, spec, quality.rejected(checked), exports, some)
     rows = add_load_columns(quality.accepted(checked, spec), processed_at, source_system)
     merge.upsert(
         lake,
@@ -93,19 +97,22 @@ def load_bronze(
         spec.latest_by,
         grain,
         before_write=lambda periods: note_changes(lake, changes_table(spec), periods),
+        key_counts=quality.merged_keys(versions, spec),
     )
     lake.ensure(MONITORING_TABLE, MONITORING)
-    lake.append(MONITORING_TABLE, quality.monitoring_rows(checked, spec))
+    lake.append(MONITORING_TABLE, quality.monitoring_of(counts, spec).coalesce(1))
     lake.ensure(ACCOUNTING_TABLE, ACCOUNTING)
-    lake.append(ACCOUNTING_TABLE, quality.accounting(checked, spec))
+    lake.append(ACCOUNTING_TABLE, quality.accounting_of(versions, counts).coalesce(1))
 
 
-def store_rejected(lake: Lake, spec: TableSpec, rows: DataFrame, exports: Sequence[landing.Export]) -> None:
-    """Rejected rows by export time. An export that is landed again loses its former rejects, also if it has none now."""
+def store_rejected(lake: Lake, spec: TableSpec, rows: DataFrame, exports: Sequence[landing.Export], some: bool = True) -> None:
+    """Rejected rows by export time. An export that is landed again loses its former rejects, also if it has none now; ``some`` says whether there are any."""
     lake.ensure(rejected_table(spec), rows.schema, partition_by=landing.RAW_PARTITION)
-    lake.replace_partitions(rejected_table(spec), rows, landing.RAW_PARTITION, rebalance=False)
-    # Written first: a run that breaks off here leaves former rejects, never none.
-    found = {row[0] for row in rows.select(landing.RAW_PARTITION).distinct().toLocalIterator()}
+    found = set()
+    if some:
+        lake.replace_partitions(rejected_table(spec), rows, landing.RAW_PARTITION, rebalance=False)
+        # Written first: a run that breaks off here leaves former rejects, never none.
+        found = {row[0] for row in rows.select(landing.RAW_PARTITION).distinct().toLocalIterator()}
     lake.drop_partitions(rejected_table(spec), landing.RAW_PARTITION, [e.taken for e in exports if e.taken not in found])
 
 
