@@ -64,10 +64,6 @@ class TableSpec:
         )
 
 
-def columns(kind: T.DataType, names: str) -> list[T.StructField]:
-    return [T.StructField(name, kind) for name in names.split()]
-
-
 _TEXT, _TIME, _DATE, _NUMBER = T.StringType(), T.TimestampType(), T.DateType(), T.DoubleType()
 
 # Column names, types, keys and allowed values of the data model.
@@ -76,9 +72,15 @@ MOVEMENT_SCHEMA = T.StructType(
         T.StructField("movement_id", _TEXT, False),
         T.StructField("movement_ts", _TIME),
         T.StructField("movement_date", _DATE, False),
-        *columns(_TEXT, "movement_type product_id sku location_id location_code"),
+        T.StructField("movement_type", _TEXT),
+        T.StructField("product_id", _TEXT),
+        T.StructField("sku", _TEXT),
+        T.StructField("location_id", _TEXT),
+        T.StructField("location_code", _TEXT),
         T.StructField("qty_delta", _NUMBER),
-        *columns(_TEXT, "ref_order_id ref_order_type notes"),
+        T.StructField("ref_order_id", _TEXT),
+        T.StructField("ref_order_type", _TEXT),
+        T.StructField("notes", _TEXT),
         T.StructField("erp_export_ts", _TIME),
         T.StructField("source_system", _TEXT),
         T.StructField("processed_date", _TIME),
@@ -89,9 +91,21 @@ SALES_SCHEMA = T.StructType(
         T.StructField("order_id", _TEXT, False),
         T.StructField("order_ts", _TIME),
         T.StructField("order_date", _DATE, False),
-        *columns(_TEXT, "status source customer_id customer_code customer_name customer_type"),
-        *columns(_TEXT, "location_id location_code product_id sku"),
-        *columns(_NUMBER, "qty_ordered qty_fulfilled unit_price_eur line_total_eur order_total_eur"),
+        T.StructField("status", _TEXT),
+        T.StructField("source", _TEXT),
+        T.StructField("customer_id", _TEXT),
+        T.StructField("customer_code", _TEXT),
+        T.StructField("customer_name", _TEXT),
+        T.StructField("customer_type", _TEXT),
+        T.StructField("location_id", _TEXT),
+        T.StructField("location_code", _TEXT),
+        T.StructField("product_id", _TEXT),
+        T.StructField("sku", _TEXT),
+        T.StructField("qty_ordered", _NUMBER),
+        T.StructField("qty_fulfilled", _NUMBER),
+        T.StructField("unit_price_eur", _NUMBER),
+        T.StructField("line_total_eur", _NUMBER),
+        T.StructField("order_total_eur", _NUMBER),
         T.StructField("erp_export_ts", _TIME),
         T.StructField("source_system", _TEXT),
         T.StructField("processed_date", _TIME),

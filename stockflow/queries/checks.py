@@ -221,7 +221,7 @@ FROM lineitem""",
     ),
     "domain_violations": (
         domain_violations,
-        """WITH coded AS (
+        f"""WITH coded AS (
     SELECT o_orderkey AS order_id, o_custkey AS customer_id,
         CASE o_orderstatus WHEN 'F' THEN 'fulfilled' WHEN 'P' THEN 'partial' ELSE 'open' END AS status,
         CASE o_orderpriority WHEN '1-URGENT' THEN 'phone' WHEN '3-MEDIUM' THEN 'counter'
@@ -230,9 +230,9 @@ FROM lineitem""",
     FROM orders JOIN customer ON c_custkey = o_custkey),
 judged AS (
     SELECT *, concat_ws(',',
-        CASE WHEN status NOT IN ('pending', 'fulfilled', 'partial', 'cancelled') THEN 'domain:status' END,
-        CASE WHEN source NOT IN ('counter', 'phone', 'online', 'erp_import') THEN 'domain:source' END,
-        CASE WHEN customer_type NOT IN ('plumber', 'contractor', 'architect', 'retailer', 'individual')
+        CASE WHEN status NOT IN {ORDER_STATUSES} THEN 'domain:status' END,
+        CASE WHEN source NOT IN {ORDER_SOURCES} THEN 'domain:source' END,
+        CASE WHEN customer_type NOT IN {CUSTOMER_TYPES}
             THEN 'domain:customer_type' END) AS reasons
     FROM coded)
 SELECT * FROM judged WHERE reasons <> ''""",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from stockflow.lake import PERIOD, Lake
 from stockflow.operators import merge, quality
-from stockflow.queries import checks, loading
+from stockflow.queries import checks, live, loading, planning
 from stockflow.queries import marts as mart_queries
 from stockflow.sources.domain import Domain
 
@@ -13,6 +13,10 @@ SF_DIR = "/root/testdata/sf0.001"
 LAZY = {**mart_queries.QUERIES, **{n: q for n, q in checks.QUERIES.items() if n not in ("ingest_monitoring", "rejected_rows")}}
 
 
+#: Queries that write tables and return a reading of them; what they return must be free of these too.
+WRITING = {**planning.QUERIES, "stream_late": live.QUERIES["stream_late"], "schema_drift": loading.QUERIES["schema_drift"]}
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -24,6 +28,20 @@ def test_no_cross_join_and_no_python(name, spark):
         assert banned not in text
 
 
+@pytest.mark.parametrize("name", sorted(WRITING))
+def test_no_cross_join_and_no_python_in_what_is_returned(name, spark):
+    text = plan(WRITING[name][0](spark, SF_DIR))
+    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "MapInPandas", "FlatMapGroups"):
+        assert banned not in text
+
+
+def test_a_load_counts_its_keys_before_they_are_shuffled(spark):
+    frame = spark.createDataFrame([("1", "2024-01-01", "p", "f", [])], "order_id string, order_date string, product_id string, source_file string, reasons array<string>")
+    frame = frame.withColumns({"ingestion_date": F.lit(None).cast("timestamp"), **{c: F.lit("1") for c in loading.SALES.latest_by}})
+    text = plan(quality.key_versions(frame, loading.SALES))
+    assert text.count("Exchange hashpartitioning") == 2 and "partial_count" in text and "Window" not in text
+
+
 def test_day_filter_is_pushed_as_a_range(spark):
     text = plan(mart_queries.silver_day_filter(spark, SF_DIR))
     assert "GreaterThanOrEqual(ts,2024-01-15" in text and "LessThan(ts,2024-01-16" in text
