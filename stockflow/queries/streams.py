@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from stockflow.lake import PERIOD, Lake
 from stockflow.plans.serving import serving_view as merge_layers
-from stockflow.queries.common import as_doubles, as_plain_time, grain_for
+from stockflow.queries.common import as_doubles, as_plain_time, grain_for, state_partitions
 from stockflow.sources.domain import Domain
 from stockflow.streaming import ingest
 
@@ -80,7 +80,7 @@ def windowed_lake(spark: SparkSession, sf_dir: str, label: str, since: str | Non
     events = events.withColumn("value", F.col("value").cast("decimal(12,2)"))
     totals = ingest.windowed_counts(events, "at", ["event_type"], "value", "1 day", DELAY)
     dated = totals.withColumn("window_date", F.to_date("window_start"))
-    with ingest.disk_state(spark):
+    with ingest.disk_state(spark, state_partitions(Domain(spark, sf_dir), "events")):
         query = ingest.stream_upsert(
             dated,
             lake,
@@ -114,7 +114,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         before = events.where((F.col("ts") < begin) & (F.col("ts") >= begin - F.expr("INTERVAL 12 HOURS")))
         own.unionByName(before).unionByName(own.where("event_id % 3 = 0")).write.mode("append").parquet(folder)
         arriving = ingest.file_stream(spark, folder, events.schema).withColumn("at", F.col("ts").cast("timestamp"))
-        with ingest.disk_state(spark):
+        with ingest.disk_state(spark, state_partitions(Domain(spark, sf_dir), "events")):
             once = ingest.without_redelivery(arriving, ["event_id"], "at", DELAY)
             ingest.run_available(ingest.append_parquet(once.drop("at"), path, f"{lake.root}-checkpoint"))
     return spark.read.parquet(path)
