@@ -15,6 +15,7 @@ from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,7 +26,10 @@ SAMPLE_DOCS = 4_000
 #: A language keeps words and n-grams that make up at least this share of all of their kind, so at most 1 / share of each.
 WORD_SHARE, GRAM_SHARE = 1 / 100_000, 1 / 50_000
 MAX_N = 5
-MEMO_ENTRIES = 300_000
+#: A worker keeps sums of so many numbers and pieces of so many characters; beyond either it starts anew.
+MEMO_NUMBERS, MEMO_CHARS = 4_000_000, 16_000_000
+#: So many languages' sizes are broadcast; more are joined as the planner sees fit.
+MAX_BROADCAST = 10_000
 UNKNOWN = "und"
 #: Documents pass the filter if their language is known and its score is at least this.
 MIN_SCORE = 0.5
@@ -44,63 +48,104 @@ def grams(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """Log frequencies as one row of numbers (a language each) for each known word and n-gram."""
+    """Log frequencies as one row of numbers (a language each) for each known word and n-gram.
+
+    Texts are scored by whole batches: they are cut at white space in Arrow, each distinct piece of a batch is looked up once, and a piece that the worker
+    has not met gets the sum of its words' rows. No word reaches across white space, so the pieces' sums add up to the text's.
+    """
 
     def __init__(self, counts: dict[str, dict[tuple[int, str], int]]):
-        """``counts``: for each language, counts by (0, word) and (n, n-gram); (-n, "") holds the total of a kind."""
+        """``counts``: for each language, counts by (0, word) and (n, n-gram); (-1 - n, "") holds the total of a kind."""
         self.langs = sorted(counts)
         totals = {lang: {n: counts[lang].get((-1 - n, ""), 1) for n in range(MAX_N + 1)} for lang in self.langs}
-        shares: dict[tuple[int, str], np.ndarray] = {}
         floors = np.array([[math.log(0.5 / max(totals[lang][n], 1)) for lang in self.langs] for n in range(MAX_N + 1)])
+        #: For words (0) and n-grams (n), the row of each in ``table``.
+        self.known: list[dict[str, int]] = [{} for _ in range(MAX_N + 1)]
+        kinds: list[int] = []
+        for lang in self.langs:
+            for n, key in counts[lang]:
+                if n >= 0 and key not in self.known[n]:
+                    self.known[n][key] = len(kinds)
+                    kinds.append(n)
+        self.table = floors[kinds] if kinds else np.zeros((0, len(self.langs)))
         for j, lang in enumerate(self.langs):
             for (n, key), count in counts[lang].items():
                 if n >= 0:
-                    shares.setdefault((n, key), floors[n].copy())[j] = math.log(count / totals[lang][n])
-        self.words = {key: row for (n, key), row in shares.items() if n == 0}
-        self.grams: list[dict[str, np.ndarray]] = [{} for _ in range(MAX_N + 1)]
-        for (n, key), row in shares.items():
-            if n > 0:
-                self.grams[n][key] = row
-        self.memo: dict[str, np.ndarray | None] = {}
+                    self.table[self.known[n][key], j] = math.log(count / totals[lang][n])
+        self.forget()
+
+    def forget(self) -> None:
+        self.memo: dict[str, int] = {}
+        self.chars = 0
+        self.sums, self.n_words = np.empty((1 << 10, len(self.langs))), np.empty(1 << 10, np.int64)
+
+    def rows(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """A row for each word, and whether the word or some character of it is known; the row is zero if not."""
+        found = np.zeros((len(words), len(self.langs)))
+        at = np.array([self.known[0].get(word, -1) for word in words], np.int64)
+        known = at >= 0
+        found[known] = self.table[at[known]]
+        for n in range(MAX_N, 0, -1):
+            left = np.nonzero(~known)[0]
+            if not len(left):
+                break
+            own = [grams(words[i], n) for i in left.tolist()]
+            of = np.repeat(left, np.fromiter(map(len, own), np.int64, len(own)))
+            at = np.array([self.known[n].get(g, -1) for gs in own for g in gs], np.int64)
+            of, at = of[at >= 0], at[at >= 0]
+            number = np.bincount(of, minlength=len(words))
+            hit = np.nonzero(number)[0]
+            for j in range(len(self.langs)):
+                found[hit, j] = np.bincount(of, self.table[at, j], len(words))[hit] / number[hit]
+            known[hit] = True
+        return found, known
 
     def unseen(self, word: str) -> np.ndarray | None:
-        for n in range(MAX_N, 0, -1):
-            known = [row for row in map(self.grams[n].get, grams(word, n)) if row is not None]
-            if known:
-                return np.mean(known, axis=0)
-        return None
-
-    def rows(self, words: Iterable[str]) -> list[np.ndarray]:
-        out, memo = [], self.memo
-        for word in words:
-            row = self.words.get(word)
-            if row is None:
-                if word in memo:
-                    row = memo[word]
-                else:
-                    if len(memo) >= MEMO_ENTRIES:
-                        memo.clear()
-                    row = memo[word] = self.unseen(word)
-            if row is not None:
-                out.append(row)
-        return out
+        found, known = self.rows([word])
+        return found[0] if known[0] else None
+
+    def learn(self, pieces: list[str]) -> None:
+        """Keep the sum of the rows of each piece's words, and their number."""
+        cut = [words_of(piece) for piece in pieces]
+        numbers = np.fromiter(map(len, cut), np.int64, len(cut))
+        distinct = {word: i for i, word in enumerate(dict.fromkeys(word for words in cut for word in words))}
+        found, _ = self.rows(list(distinct))
+        of, row = np.repeat(np.arange(len(cut)), numbers), np.array([distinct[word] for words in cut for word in words], np.int64)
+        first, n = len(self.memo), len(self.memo) + len(pieces)
+        while n > len(self.sums):
+            self.sums, self.n_words = (np.concatenate([a, np.empty_like(a)]) for a in (self.sums, self.n_words))
+        self.n_words[first:n] = numbers
+        for j in range(len(self.langs)):
+            self.sums[first:n, j] = np.bincount(of, found[row, j], len(cut))
+        self.memo.update(zip(pieces, range(first, n), strict=True))
+        self.chars += sum(map(len, pieces))
+
+    def predict_all(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+        """Language and score of each text; of equal languages the first. The texts must not be null."""
+        n = len(texts)
+        if not self.langs:
+            return [UNKNOWN] * n, np.zeros(n)
+        if len(self.memo) * len(self.langs) > MEMO_NUMBERS or self.chars > MEMO_CHARS:
+            self.forget()
+        cut = pc.utf8_split_whitespace(texts)
+        coded = cut.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        slots = np.array([self.memo.get(piece, -1) for piece in distinct], np.int64)
+        new = np.nonzero(slots < 0)[0].tolist()
+        if new:
+            self.learn([distinct[k] for k in new])
+            slots[new] = [self.memo[distinct[k]] for k in new]
+        slot = slots[coded.indices.to_numpy()]
+        of = np.repeat(np.arange(n), pc.list_value_length(cut).to_numpy(zero_copy_only=False))
+        n_words = np.bincount(of, self.n_words[slot], n)
+        total = np.stack([np.bincount(of, self.sums[slot, j], n) for j in range(len(self.langs))], axis=1)
+        best = total.argmax(axis=1)
+        score = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
+        return [self.langs[k] if w else UNKNOWN for k, w in zip(best.tolist(), n_words.tolist(), strict=True)], np.where(n_words > 0, score, 0.0)
 
     def predict(self, text: str) -> tuple[str, float]:
-        words = words_of(text)
-        if not words or not self.langs:
-            return UNKNOWN, 0.0
-        counts = Counter(words)
-        rows = self.rows(counts)
-        if len(rows) < len(counts):  # some word has no known character at all
-            own = [(row, n) for (word, n) in counts.items() for row in self.rows([word])]
-        else:
-            own = list(zip(rows, counts.values(), strict=True))
-        if not own:
-            total = np.zeros(len(self.langs))
-        else:
-            total = np.array([n for _, n in own], float) @ np.array([row for row, _ in own])
-        best = int(np.argmax(total))  # of equal scores the first language
-        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+        langs, scores = self.predict_all(pa.array([text], pa.string()))
+        return langs[0], float(scores[0])
 
 
 def count_kinds(sample: DataFrame) -> DataFrame:
@@ -140,10 +185,11 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     rows = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     sizes = rows.groupBy("lang").count()
     draw = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1_000_000
-    sample = rows.join(F.broadcast(sizes), "lang").where(draw < sample_docs / F.col("count")).select("lang", "text")  # one row a language
+    small = F.broadcast if sizes.count() <= MAX_BROADCAST else lambda own: own
+    sample = rows.join(small(sizes), "lang").where(draw < sample_docs / F.col("count")).select("lang", "text")
     kinds = count_kinds(sample).cache()
     totals = kinds.where("n < 0").select("lang", (-1 - F.col("n")).alias("n"), F.col("count").alias("total"))
-    kept = kinds.where("n >= 0").join(F.broadcast(totals), ["lang", "n"]).where(F.col("count") >= F.col("total") * F.when(F.col("n") == 0, WORD_SHARE).otherwise(GRAM_SHARE))
+    kept = kinds.where("n >= 0").join(small(totals), ["lang", "n"]).where(F.col("count") >= F.col("total") * F.when(F.col("n") == 0, WORD_SHARE).otherwise(GRAM_SHARE))
     counts: dict[str, dict[tuple[int, str], int]] = {}
     # At most 1 / share of each kind and language, whatever the input.
     for row in kept.select("lang", "n", "key", "count").unionByName(kinds.where("n < 0")).toLocalIterator():
@@ -160,8 +206,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     def make(model: Model):
         def step(batch: pa.RecordBatch) -> dict:
-            found = [model.predict(text) for text in batch.column("text").to_pylist()]
-            return {"doc_id": batch.column("doc_id"), "lang_pred": [lang for lang, _ in found], "score": [score for _, score in found]}
+            langs, scores = model.predict_all(batch.column("text"))
+            return {"doc_id": batch.column("doc_id"), "lang_pred": langs, "score": scores}
 
         return step
 
@@ -173,7 +219,11 @@ def in_known_language(docs: DataFrame, model: Model, text_col: str = "text", min
     """The rows whose language is found with at least ``min_score``, with all their columns."""
 
     def make(model: Model):
-        return lambda texts: [lang != UNKNOWN and score >= min_score for lang, score in map(model.predict, texts)]
+        def wanted(texts: list[str]) -> list[bool]:
+            langs, scores = model.predict_all(pa.array(texts, pa.string()))
+            return [lang != UNKNOWN and score >= min_score for lang, score in zip(langs, scores.tolist(), strict=True)]
+
+        return wanted
 
     return keep_rows(docs, text_col, make, share(docs.sparkSession, model))
 

@@ -2,9 +2,11 @@
 
 import math
 import random
+import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,6 +70,67 @@ def test_backoff_goes_from_words_to_shorter_grams():
     assert model.predict("zz") == ("a", 0.5)
 
 
+def language_by_force(sample, text):
+    """Language and score of a text, counted and added up word by word from ``sample``, rows of (lang, text)."""
+    counts = {}
+    for lang, learned in sample:
+        own = counts.setdefault(lang, [Counter() for _ in range(langid.MAX_N + 1)])
+        for word in re.findall(r"[^\W\d_]+", learned.lower()):
+            own[0][word] += 1
+            for n in range(1, langid.MAX_N + 1):
+                marked = f"^{word}$" if n > 1 else word
+                own[n].update(marked[i : i + n] for i in range(len(marked) - n + 1))
+    totals = {lang: [sum(c.values()) for c in own] for lang, own in counts.items()}
+    least = [langid.WORD_SHARE] + [langid.GRAM_SHARE] * langid.MAX_N
+    model = {lang: [{k: c for k, c in own[n].items() if c >= totals[lang][n] * least[n]} for n in range(langid.MAX_N + 1)] for lang, own in counts.items()}
+
+    def row(n, key):
+        if not any(key in own[n] for own in model.values()):
+            return None
+        return [math.log((model[lang][n][key] if key in model[lang][n] else 0.5) / totals[lang][n]) for lang in sorted(model)]
+
+    total = [0.0] * len(model)
+    words = re.findall(r"[^\W\d_]+", text.lower())
+    for word in words:
+        rows = [row(0, word)]
+        for n in range(langid.MAX_N, 0, -1):
+            if any(rows):
+                break
+            marked = f"^{word}$" if n > 1 else word
+            rows = [row(n, marked[i : i + n]) for i in range(len(marked) - n + 1)]
+        rows = [r for r in rows if r]
+        for j in range(len(total)):
+            total[j] += sum(r[j] for r in rows) / len(rows) if rows else 0.0
+    if not words:
+        return "und", 0.0
+    best = total.index(max(total))
+    return sorted(model)[best], 1 / sum(math.exp(t - total[best]) for t in total)
+
+
+def test_whole_texts_equal_the_plain_count(docs, odd):
+    rows = [r for r in docs.orderBy("doc_id").limit(120).collect() if r.text] + [r for r in odd.collect() if r.text and r.doc_id not in (None, 5)]
+    sample = [(r.lang, r.text) for r in rows if r.lang is not None and r.doc_id % 2]
+    own = docs.sparkSession.createDataFrame([(r.doc_id, r.text, r.lang) for r in rows], "doc_id long, text string, lang string").repartition(3)
+    model = langid.train(own.where("doc_id % 2 = 1"))
+    texts = {r.doc_id: r.text for r in rows}
+    found = {r.doc_id: r for r in langid.identify(own, model).collect()}
+    for doc_id in sorted(texts)[:40] + sorted(texts)[-6:]:
+        if sum(r.doc_id == doc_id for r in rows) == 1:
+            lang, score = language_by_force(sample, texts[doc_id])
+            assert (found[doc_id].lang_pred, found[doc_id].score) == (lang, pytest.approx(score, abs=1e-9))
+
+
+def test_pieces_are_scored_as_their_words_are():
+    counts = {"a": {(0, "haus"): 9, (-1, ""): 10, (1, "h"): 5, (-2, ""): 36}, "b": {(0, "maison"): 8, (-1, ""): 10, (3, "ais"): 4, (-4, ""): 40}}
+    texts = ["", " 12 ", "haus-maison\tHAUS", "zz haus", "xaisx,hx", "haus\x1cmaison", "\u00a0haus\u3000", "_haus9maison"]
+    one, many = [], langid.Model(counts).predict_all(pa.array(texts * 3))
+    for text in texts * 3:
+        model = langid.Model(counts)
+        total = sum((r for r in (model.unseen(w) for w in langid.words_of(text)) if r is not None), np.zeros(2))
+        one.append((model.langs[int(total.argmax())] if langid.words_of(text) else "und", 1 / np.exp(total - total.max()).sum() if langid.words_of(text) else 0.0))
+    assert many[0] == [lang for lang, _ in one] and many[1].tolist() == pytest.approx([score for _, score in one])
+
+
 # Quality
 
 
