@@ -16,6 +16,7 @@ a lost executor leaves at worst files that nobody reads.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -23,20 +24,28 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stockflow.lake import run_dir
-from stockflow.llm.common import opened, prepare, share, single_spaced, slices, table, text_of, vocabulary
+from stockflow.llm.common import WHITE, opened, prepare, share, slices, table, text_of, vocabulary
+from stockflow.llm.words import ragged
 
 MASK_DELTA = 0xA282EAD8
 HEADER, CHECK, PAYLOAD = "<QI", "<I", "<qBB"
 #: A file is closed when it has passed so many bytes; a reader holds one file at a time.
 FILE_BYTES = 32 * 1024 * 1024
-#: Encoded pieces kept by a worker; when there are more, it starts anew.
-MEMO_ENTRIES = 1_000_000
+#: A worker keeps so many encoded pieces and so many of their characters; beyond either it starts anew.
+MEMO_ENTRIES, MEMO_CHARS = 800_000, 16_000_000
+#: Stands where a batch is cut; the library gets texts that hold it, as it gets an empty text and white space that is not one space between two other characters.
+CUT = "\x1f"
+SPACE = "[" + "".join(map(re.escape, WHITE)) + "]"
+BESIDE = f"{CUT}|^$|^{SPACE}|{SPACE}$| {SPACE}|{SPACE} "
+#: A full stop or comma at the end of a word is a match of its own, as is a line break between other characters.
+WORD_MARK, JOINT = r"([\pL\pN])([.,])( |$)", "\n|[.,]$"
 #: Pieces joined for one call of the library.
 PIECES_AT_ONCE = 2_000
 PARTS_IN_BLOCK = 1024
@@ -123,14 +132,15 @@ class Writer:
 
 
 class PieceEncoder:
-    """The tokenizer's ids of whole texts, as packed little-endian bytes.
+    """The tokenizer's ids of whole texts.
 
     With ``added_tokens`` the string of an added token (such as <|endoftext|>) in a text is that token, as is the library's
     default, and a text that holds one goes to the library as a whole; without, it is ordinary text.
 
     The library encodes each match of its splitting pattern by itself, and no match reaches across a single space between
-    two characters that are not white space. So texts are cut there, and the library encodes each distinct piece once
-    for as long as the memo keeps it. A text with other white space around a space goes to the library as a whole.
+    two characters that are not white space. So a batch of texts is cut there in Arrow, the library encodes each distinct piece once
+    for as long as the memo keeps it, and the batch's ids are gathered by index. A text with other white space around a space goes
+    to the library as a whole.
     """
 
     def __init__(self, tokenizer_json: str, end_id: int, added_tokens: bool = False):
@@ -139,32 +149,84 @@ class PieceEncoder:
         self.tokenizer.encode_special_tokens = True
         self.default = Tokenizer.from_str(tokenizer_json)
         self.added = [t.content for t in self.default.get_added_tokens_decoder().values()] if added_tokens else []
+        self.odd = "|".join([BESIDE, *map(re.escape, self.added)])
         self.width = "<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         self.end = np.array([end_id], self.width).tobytes()
         self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.lengths = np.zeros(max(vocab.values()) + 1, np.int64)  # in bytes; a byte-level vocabulary writes a byte as one character
+        self.bytes = np.zeros(max(vocab.values()) + 1, np.int64)  # a byte-level vocabulary writes a byte as one character
         for token, i in vocab.items():
-            self.lengths[i] = len(token)
-        self.memo: dict[str, bytes] = {}
+            self.bytes[i] = len(token)
+        self.forget()
 
     def __reduce__(self):
         return PieceEncoder, (self.tokenizer_json, self.end_id, self.added_tokens)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[] if self.has_added(text) else self.pieces(text) for text in texts]
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo.clear()
-        self.memo["\n"] = np.array([self.newline], self.width).tobytes()
-        get = self.memo.__getitem__
-        new = {piece: self.parts(piece) for piece in set().union(*cut) if piece not in self.memo}
-        unknown = [part for part in set().union(*new.values()) if part not in self.memo]
-        for start in range(0, len(unknown), PIECES_AT_ONCE):
-            self.learn(unknown[start : start + PIECES_AT_ONCE])
-        for piece, parts in new.items():
-            if len(parts) > 1:
-                self.memo[piece] = b"".join(map(get, parts))
-        return [(b"".join(map(get, pieces)) if pieces else self.whole(text)) + self.end for pieces, text in zip(cut, texts, strict=True)]
+    def forget(self) -> None:
+        self.memo: dict[str, int] = {}
+        self.chars = self.used = 0
+        self.ids = np.empty(1 << 16, self.width)
+        self.starts, self.lengths = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.store(["\n"], np.array([self.newline], self.width), np.array([1]))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """For each text its ids and the end id, as packed little-endian bytes. The texts must not be null."""
+        odd = pc.match_substring_regex(texts, self.odd)
+        plain = texts.filter(pc.invert(odd))
+        ids, ends = self.cut_and_encode(plain) if len(plain) else (self.ids[:0], np.zeros(0, np.int64))
+        data, width = ids.tobytes(), ids.dtype.itemsize
+        ends = (ends * width).tolist()
+        own = (data[a:b] for a, b in zip([0, *ends], ends))
+        rest = map(self.whole, texts.filter(odd).to_pylist())
+        return [next(rest if is_odd else own) + self.end for is_odd in odd.to_pylist()]
+
+    def cut_and_encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of single-spaced texts, and for each where its ids end."""
+        if len(self.memo) > MEMO_ENTRIES or self.chars > MEMO_CHARS:
+            self.forget()
+        marked = pc.replace_substring_regex(texts, WORD_MARK, f"\\1{CUT}\\2\\3")
+        pieces = pc.split_pattern(pc.replace_substring(marked, " ", f"{CUT} "), CUT)
+        coded = pieces.flatten().dictionary_encode()
+        slot = self.slots(coded.dictionary)[coded.indices.to_numpy()]
+        lengths = self.lengths[slot]
+        ends = np.cumsum(pc.list_value_length(pieces).to_numpy(zero_copy_only=False))
+        return self.ids[ragged(self.starts[slot], lengths)], np.cumsum(lengths)[ends - 1]
+
+    def slots(self, pieces: pa.Array) -> np.ndarray:
+        """Where the ids of distinct pieces are kept; those the worker has not met are encoded."""
+        memo, names = self.memo, pieces.to_pylist()
+        found = np.array([memo.get(name, -1) for name in names], np.int64)
+        missing = np.nonzero(found < 0)[0]
+        if len(missing):
+            new = pieces.take(pa.array(missing))
+            joint = pc.match_substring_regex(new, JOINT)
+            cut = {piece: self.parts(piece) for piece in new.filter(joint).to_pylist()}
+            wanted = new.filter(pc.invert(joint)).to_pylist()
+            wanted += [part for part in dict.fromkeys(part for parts in cut.values() for part in parts) if part not in memo]
+            unknown = list(dict.fromkeys(wanted))
+            for start in range(0, len(unknown), PIECES_AT_ONCE):
+                self.learn(unknown[start : start + PIECES_AT_ONCE])
+            several = {piece: [memo[part] for part in parts] for piece, parts in cut.items() if len(parts) > 1}
+            if several:
+                slot = np.array([k for own in several.values() for k in own], np.int64)
+                own = np.cumsum(self.lengths[slot])[np.cumsum([len(own) for own in several.values()]) - 1]
+                self.store(list(several), self.ids[ragged(self.starts[slot], self.lengths[slot])], np.diff(own, prepend=0))
+            found[missing] = [memo[names[k]] for k in missing.tolist()]
+        return found
+
+    def store(self, pieces: list[str], new: np.ndarray, lengths: np.ndarray) -> None:
+        """Keep the ids ``new`` of pieces that are not known yet, ``lengths`` of them each."""
+        first, n = len(self.memo), len(self.memo) + len(pieces)
+        while self.used + len(new) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while n > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([a, np.empty_like(a)]) for a in (self.starts, self.lengths))
+        self.ids[self.used : self.used + len(new)] = new
+        self.lengths[first:n] = lengths
+        self.starts[first:n] = self.used + np.cumsum(lengths) - lengths
+        self.used += len(new)
+        self.memo.update(zip(pieces, range(first, n), strict=True))
+        self.chars += sum(map(len, pieces))
 
     def has_added(self, text: str) -> bool:
         return any(content in text for content in self.added)
@@ -177,14 +239,12 @@ class PieceEncoder:
         """Encode pieces in one call: each follows a newline, which is always a match of its own, and ends before the next."""
         joined = "\n".join(new) + "\n"
         ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.width)
-        ends = np.cumsum(self.lengths[ids])
+        ends = np.cumsum(self.bytes[ids])
         sizes = np.array([len(piece.encode()) for piece in new])
         last = np.searchsorted(ends, np.cumsum(sizes + 1))  # the newline after each piece
-        first = np.concatenate([[0], last[:-1] + 1])
         if not (self.newline == ids[last]).all():
             raise ValueError("a token reaches across the end of a piece")
-        for piece, a, b in zip(new, first.tolist(), last.tolist(), strict=True):
-            self.memo[piece] = ids[a:b].tobytes()
+        self.store(new, np.delete(ids, last), np.diff(last, prepend=-1) - 1)
 
     @staticmethod
     def parts(piece: str) -> list[str]:
@@ -201,14 +261,6 @@ class PieceEncoder:
                 out.append(line)
         return out
 
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """None at all if the text has to go to the library as a whole."""
-        if not single_spaced(text):
-            return []
-        words = text.split(" ")
-        return [words[0], *[" " + w for w in words[1:]]]
-
 
 def write_records(
     docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = FILE_BYTES, added_tokens: bool = False
@@ -228,7 +280,7 @@ def write_records(
         for batch in slices(batches, "text"):
             parts = batch.column("part").to_pylist()
             writer = writer or Writer(folder, parts[0], file_bytes)
-            for doc_id, data in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist()), strict=True):
+            for doc_id, data in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text")), strict=True):
                 ids = np.frombuffer(data, encoder.width)
                 writer.add(frame(pack(doc_id, ids)), len(ids))
         if writer:
