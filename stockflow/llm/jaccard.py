@@ -234,6 +234,27 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     return placed.join(names, "root").select("doc_id", "n_shingles", "component_id")
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
+    """The rows of ``docs`` that are alone or stand for their component: the one with the smallest id, with all columns as they are.
+
+    Null, empty and blank texts are like no other, so all of them stay. If ids repeat or are null, rows are numbered and compared by that number: different
+    texts under one id are judged each by itself, of rows that are equal throughout one stays, and an id that is null comes after all others. Columns of
+    any type and of equal names are carried along.
+    """
+    names = docs.columns
+    rows = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    own, text = F.col(f"c{names.index(id_col)}").cast("long"), F.col(f"c{names.index(text_col)}").alias("text")
+    named = rows.groupBy(own.alias("id")).count().where("id IS NULL OR count > 1").isEmpty()
+    keyed = rows.withColumn("row", own) if named else materialise(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    found = similar_documents(keyed.select("row", text), "row", "text", words).select(F.col("doc_id").alias("row"), "component_id")
+    if named:
+        first = found.where("row = component_id")
+    else:
+        ranked = found.join(keyed.select("row", own.alias("id")), "row")
+        first = ranked.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")).select("first.row")
+    return keyed.join(first.select("row"), "row", "left_semi").drop("row").toDF(*names)
+
+
 def popular(pairs: DataFrame) -> DataFrame:
     """doc, anchor: of the documents a that b has a pair (a, b) with, itself included if it is an a, the one with the most pairs; and that one's own, twice over."""
     often = pairs.groupBy(F.col("a").alias("anchor")).agg(F.count("*").alias("times"))

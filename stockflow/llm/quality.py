@@ -136,15 +136,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return step
 
     columns = [order.alias("draw"), F.col("label"), F.col("text")]
-    sample = map_texts(rows, columns, "draw long, label int, index array<int>, value array<float>", make).toArrow().sort_by([("draw", "ascending"), ("label", "ascending")])
-    examples = [
-        (np.append(np.asarray(i.values, np.int64), 1 << BITS), np.append(np.asarray(v.values, float), 1.0), label)
-        for i, v, label in zip(sample["index"], sample["value"], sample["label"].to_pylist(), strict=True)
-    ]
     leader = Leader()
+    sample = map_texts(rows, columns, "draw long, label int, index array<int>, value array<float>", make).toArrow()
+    keys = sample.select(["draw", "label"]).append_column("at", pa.array(np.arange(len(sample))))
+    turns = keys.sort_by([("draw", "ascending"), ("label", "ascending"), ("at", "ascending")])
+    index, value, labels = sample["index"], sample["value"], turns["label"].to_pylist()
     for _ in range(EPOCHS):
-        for index, value, label in examples:
-            leader.update(index, value, label)
+        for at, label in zip(turns["at"].to_pylist(), labels, strict=True):
+            # The constant term comes last. Vectors are widened one at a time: the sample is in memory once, as it came.
+            leader.update(np.append(np.asarray(index[at].values, np.int64), 1 << BITS), np.append(np.asarray(value[at].values, float), 1.0), label)
+    del sample, index, value
+    pa.default_memory_pool().release_unused()
     return Model(leader.weights(slice(None)))
 
 

@@ -49,6 +49,18 @@ def test_stages_take_odd_rows_and_none(spark):
     for name, stage in corpus_pipeline.STAGES:
         stage(spark, odd, SF_DIR).count()
         assert stage(spark, odd.limit(0), SF_DIR).count() == 0, name
-    single = corpus_pipeline.one_of_each_group(spark, odd, SF_DIR)
-    ids = [r.doc_id for r in single.collect()]
-    assert len(ids) == len(set(ids)) and None in ids and single.columns == odd.columns
+
+
+def test_one_of_each_group_stays_whatever_the_ids(spark):
+    prepare(spark)
+    texts = odd_texts()
+    rows = rows_of(texts) + [(None, "no id here", "en", "s", 5), (None, texts[5], "en", "s", 5), (5, "the id again", "en", "s", 12), (9, texts[9], "fr", None, 3)]
+    odd = documents(spark, rows, clashing=True).selectExpr("*", "map('a', doc_id) AS row", "doc_id AS component_id", "text AS first", "1 AS id")
+    kept = jaccard.one_of_each(odd.repartition(4))
+    assert kept.dtypes == odd.dtypes
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    alone = [(i, t) for i, t in enumerate(texts) if i not in (6, 7, 8)]  # the base in other writing, and with another tail
+    assert found == sorted([*alone, (None, "no id here"), (5, "the id again")], key=str)
+    single = documents(spark, rows_of(texts), clashing=True).selectExpr("*", "doc_id AS row", "map('a', 1) AS component_id")
+    assert sorted(((r.doc_id, r.text) for r in jaccard.one_of_each(single).collect()), key=str) == sorted(alone, key=str)
+    assert jaccard.one_of_each(odd.limit(0)).count() == 0
