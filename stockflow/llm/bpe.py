@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stockflow.llm.common import map_texts, prepare, share, single_spaced, table, text_of, vocabulary
 
 #: Encoded pieces of text and tested pairs kept by a worker; when there are more, it starts anew.
-MEMO_ENTRIES = 900_000
+MEMO_ENTRIES = 400_000
 NO_MERGE = 1 << 60
 
 

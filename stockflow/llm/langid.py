@@ -27,7 +27,7 @@ SAMPLE_DOCS = 4_000
 WORD_SHARE, GRAM_SHARE = 1 / 100_000, 1 / 50_000
 MAX_N = 5
 #: A worker keeps sums of so many numbers and pieces of so many characters; beyond either it starts anew.
-MEMO_NUMBERS, MEMO_CHARS = 4_000_000, 16_000_000
+MEMO_NUMBERS, MEMO_CHARS = 1_000_000, 8_000_000
 #: So many languages' sizes are broadcast; more are joined as the planner sees fit.
 MAX_BROADCAST = 10_000
 UNKNOWN = "und"
