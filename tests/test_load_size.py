@@ -33,6 +33,15 @@ def test_exports_are_compressed_and_read_by_their_headers(spark, tmp_path, rebal
     assert {landing.header_of(spark, f) for f in files} == {("order_id", "note")}
 
 
+def test_tasks_of_an_export_do_not_grow_with_the_feed(spark, tmp_path, monkeypatch):
+    """More shuffled bytes make more tasks of one size, also beyond the session's shuffle partitions."""
+    monkeypatch.setattr(landing, "EXPORT_SPLIT", "64k")
+    rows = spark.range(400_000).select((F.col("id") * 7).alias("order_id")).groupBy("order_id").agg(F.max(F.sha2(F.col("order_id").cast("string"), 256)).alias("note"))
+    landing.export_csv(rows, str(tmp_path), "sales", F.lit("2024-01-01 18:00:00").cast("timestamp"), rebalance=False)
+    (export,) = landing.list_exports(spark, str(tmp_path), "sales")
+    assert len(landing.part_files(spark, export.path)) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_only_rows_that_may_share_a_key_are_grouped(spark):
     rows = [("1", "a", "x", "2024-01-01 18:00:00"), ("1", "a", "y", "2024-01-02 18:00:00"), ("2", "a", "x", "2024-01-01 18:00:00"), ("3", "a", "x", "2024-01-01 18:00:00"), ("3", "a", "x", "2024-01-01 18:00:00")]
     checked = checked_rows(spark, rows)
