@@ -176,9 +176,12 @@ def movement_ledger(inventory: DataFrame, lines: DataFrame, opened_at: str) -> D
 
 
 def store_derived(lake: Lake, table: str, movements: DataFrame) -> None:
-    """Write derived movements to a table by their type: a load that is done again replaces what it wrote, and leaves other types alone."""
+    """Write derived movements to a table by their type: a load that is done again replaces what it wrote, and leaves other types alone.
+
+    There are few types, so each task writes what it has of them and no row is shuffled for it.
+    """
     lake.ensure(table, movements.select(*LEDGER_COLUMNS).schema, "movement_type")
-    lake.replace_partitions(table, movements, "movement_type")
+    lake.replace_partitions(table, movements, "movement_type", rebalance=False)
 
 
 def movement(kind: str, location: str, qty: Column, order_type: str, at: Column, notes: Column) -> Column:
