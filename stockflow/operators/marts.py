@@ -155,24 +155,13 @@ def movement_ledger(inventory: DataFrame, lines: DataFrame, opened_at: str) -> D
         F.lit(opened_at).cast("timestamp_ntz").alias("movement_ts"),
         F.lit("Opening stock balance").alias("notes"),
     )
-    order = F.col("order_id").cast("string")
-    sale = movement(
-        "sale", "location_id", -F.col("qty_fulfilled"), "sales_order", F.col("order_ts"), F.concat(F.lit("Fulfilled from sales order "), order)
+    kinds = F.array(
+        F.when(F.col("location_id").isNotNull(), "sale"),
+        F.when(F.col("supplier_location_id").isNotNull() & F.col("actual_delivery").isNotNull(), "receipt"),
     )
-    supplier = F.col("supplier_id").cast("string")
-    receipt = movement(
-        "receipt",
-        "supplier_location_id",
-        F.col("qty_fulfilled"),
-        "purchase_order",
-        receipt_time(F.col("actual_delivery")),
-        F.concat(F.lit("Received from PO "), order, F.lit(" — supplier "), supplier),
-    )
-    moved = F.array(
-        F.when(F.col("location_id").isNotNull(), sale),
-        F.when(F.col("supplier_location_id").isNotNull() & F.col("actual_delivery").isNotNull(), receipt),
-    )
-    return opening.unionByName(lines.where(F.col("qty_fulfilled") > 0).select(F.inline(F.array_compact(moved))))
+    # The columns are made of the exploded kind, so those that a reader does not take are never made.
+    moved = lines.where(F.col("qty_fulfilled") > 0).withColumn("_kind", F.explode(F.array_compact(kinds)))
+    return opening.unionByName(moved.select(*movement(F.col("_kind") == "sale")))
 
 
 def store_derived(lake: Lake, table: str, movements: DataFrame) -> None:
@@ -184,19 +173,24 @@ def store_derived(lake: Lake, table: str, movements: DataFrame) -> None:
     lake.replace_partitions(table, movements, "movement_type", rebalance=False)
 
 
-def movement(kind: str, location: str, qty: Column, order_type: str, at: Column, notes: Column) -> Column:
-    """One ledger row of an order line."""
-    return F.struct(
-        F.concat_ws("-", F.lit(kind), "order_id", "line_no", "product_id", "supplier_id").alias("movement_id"),
+def movement(sold: Column) -> list[Column]:
+    """One ledger row of an order line: its sale where ``sold``, else its receipt."""
+    order, supplier = F.col("order_id").cast("string"), F.col("supplier_id").cast("string")
+
+    def either(sale: object, receipt: object) -> Column:
+        return F.when(sold, sale).otherwise(receipt)
+
+    return [
+        F.concat_ws("-", either("sale", "receipt"), "order_id", "line_no", "product_id", "supplier_id").alias("movement_id"),
         F.col("product_id"),
-        F.col(location).alias("location_id"),
-        F.lit("po_receipt" if kind == "receipt" else kind).alias("movement_type"),
-        qty.cast("decimal(13,2)").alias("qty_delta"),
+        either(F.col("location_id"), F.col("supplier_location_id")).alias("location_id"),
+        either("sale", "po_receipt").alias("movement_type"),
+        either(-F.col("qty_fulfilled"), F.col("qty_fulfilled")).cast("decimal(13,2)").alias("qty_delta"),
         F.col("order_id").alias("ref_order_id"),
-        F.lit(order_type).alias("ref_order_type"),
-        at.cast("timestamp_ntz").alias("movement_ts"),
-        notes.alias("notes"),
-    )
+        either("sales_order", "purchase_order").alias("ref_order_type"),
+        either(F.col("order_ts").cast("timestamp_ntz"), receipt_time(F.col("actual_delivery")).cast("timestamp_ntz")).alias("movement_ts"),
+        either(F.concat(F.lit("Fulfilled from sales order "), order), F.concat(F.lit("Received from PO "), order, F.lit(" — supplier "), supplier)).alias("notes"),
+    ]
 
 
 def preview(df: DataFrame, columns: list[str], order: list[str], n: int = 5) -> DataFrame:

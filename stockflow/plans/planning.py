@@ -4,13 +4,18 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stockflow.functions.expressions import ratio
+from stockflow.functions.expressions import all_not_null, ratio
 from stockflow.lake import materialise
 from stockflow.operators.running import HOT_ROWS, running_sum
+from stockflow.session import session_conf
 
 EPOCH = "1970-01-01"
 WEEK = 7
@@ -19,6 +24,10 @@ RANGE_DAYS = 364
 STATE = WEEK + 1  # the level, and a season for each weekday
 #: Buckets of the overlap join are so many times as wide as a mean lot.
 LOTS_IN_BUCKET = 16
+#: Shuffled bytes up to which one side of a join in a ledger is hashed in a task and not sorted; larger ones are sorted, on disk if need be.
+HASH_JOIN = "64m"
+#: Digits of a number that fits a bigint, and of quantities taken from lots as they are given back.
+MOST_DIGITS, TOTAL_DIGITS = 18, 36
 
 
 def day_number(day: Column) -> Column:
@@ -104,52 +113,80 @@ def on_line(moves: DataFrame, keys: Sequence[str], order: Sequence[str], qty: st
     return summed.withColumn("low", F.col("high") - F.col(qty))
 
 
-def overlaps(left: DataFrame, right: DataFrame, keys: Sequence[str], width: Column) -> DataFrame:
+def overlaps(left: DataFrame, right: DataFrame, keys: Sequence[str], width: Column, how: str = "inner") -> DataFrame:
     """Pairs of stretches that overlap, with ``taken``, the length they share. Columns of the right side are called ``right_...``.
+    With ``how`` "left" each piece of a left stretch without a pair is there too, with NULL.
 
     Stretches are cut at multiples of ``width`` and joined by key and piece of the line, so a key with very many stretches is spread over as many groups as it is long. A pair that meets in
-    several pieces counts in the one where the overlap begins.
+    several pieces counts in the one where the overlap begins. Ends that are all whole numbers (bigint) and not negative are divided as such.
     """
+    whole = all(isinstance(side.schema[c].dataType, T.LongType) for side in (left, right) for c in ("low", "high"))
 
     def piece(at: Column) -> Column:
-        return F.floor(at / width).cast("bigint")
+        return ((at - F.pmod(at, width)) / width if whole else F.floor(at / width)).cast("bigint")
 
     def cut(rows: DataFrame) -> DataFrame:
-        first, last = piece(F.col("low")), (F.ceil(F.col("high") / width) - 1).cast("bigint")
+        first, last = piece(F.col("low")), piece(F.col("high") - 1) if whole else (F.ceil(F.col("high") / width) - 1).cast("bigint")
         return rows.withColumn("_piece", F.explode(F.sequence(first, F.greatest(first, last))))
 
     other = cut(right).withColumnsRenamed({c: f"right_{c}" for c in right.columns if c not in keys})
     begin, end = F.greatest("low", "right_low"), F.least("high", "right_high")
-    met = cut(left).join(other, [*keys, "_piece"]).where((begin < end) & (piece(begin) == F.col("_piece")))
-    return met.withColumn("taken", end - begin).drop("_piece")
+    own, other = cut(left), other.withColumnsRenamed({c: f"_right_{c}" for c in [*keys, "_piece"]})
+    same = [F.col(c) == F.col(f"_right_{c}") for c in [*keys, "_piece"]]
+    met = own.join(other, reduce(and_, [*same, begin < end, piece(begin) == F.col("_piece")]), how)
+    taken = F.when(F.col("_right__piece").isNotNull(), end - begin)  # the least of one end and NULL is the end
+    return met.withColumn("taken", taken).drop("_piece", *[f"_right_{c}" for c in [*keys, "_piece"]])
+
+
+def whole_units(moves: DataFrame, qty: str) -> int | None:
+    """How many units of its last decimal place a quantity of one has, if all quantities together can be counted in them; None if they are no decimals or too large."""
+    kind = moves.schema[qty].dataType
+    if not isinstance(kind, T.DecimalType) or kind.precision > MOST_DIGITS:
+        return None
+    total = moves.agg(F.sum(F.abs(qty).cast(T.DecimalType(38, kind.scale)))).first()[0] or 0
+    units = 10**kind.scale
+    return units if total * units < 10**MOST_DIGITS else None
 
 
 def fifo_lots(ledger: DataFrame, keys: Sequence[str] = ("product_id", "location_id"), hot_rows: int = HOT_ROWS, width: int | None = None) -> DataFrame:
     """Each lot that came in, with what first-in-first-out issues have taken from it, and one row without lot for issues that no lot covers.
 
     Columns: keys, lot_id, received_at, qty_received, qty_issued, qty_left. The sum of ``qty_left`` of a key is its stock on hand.
+
+    The ledger is read once. Both lines are summed in one pass, in whole units of the last decimal place where these fit a bigint; a lot keeps its
+    columns while it is matched, so nothing is joined back to it.
     """
-    order = ["movement_ts", "movement_id", "qty"]
-    columns = [*keys, "movement_id", "movement_ts"]
-    received = ledger.where("qty_delta > 0").select(*columns, F.col("qty_delta").alias("qty"))
-    issued = ledger.where("qty_delta < 0").select(*columns, (-F.col("qty_delta")).alias("qty"))
-    lots = materialise(on_line(received, keys, order, "qty", hot_rows), "lots")
-    issues = materialise(on_line(issued, keys, order, "qty", hot_rows), "issues")
+    with session_conf(ledger.sparkSession, spark__sql__adaptive__maxShuffledHashJoinLocalMapThreshold=HASH_JOIN):
+        moves = materialise(ledger.where("qty_delta > 0 OR qty_delta < 0").select(*keys, "movement_id", "movement_ts", "qty_delta"), "moves")
+    units = whole_units(moves, "qty_delta")
+    kind = moves.schema["qty_delta"].dataType
+    qty = F.abs("qty_delta") if units is None else (F.abs("qty_delta") * F.lit(units)).cast("bigint")
+    sides = moves.select(*keys, (F.col("qty_delta") > 0).alias("incoming"), "movement_id", "movement_ts", qty.alias("qty"))
+    line = on_line(sides, [*keys, "incoming"], ["movement_ts", "movement_id", "qty"], "qty", hot_rows)
+    line = materialise(line.withColumns({c: F.when(F.col("incoming"), F.col(c)) for c in ("movement_id", "movement_ts")}), "line")
+    lots, issues = line.where("incoming").drop("incoming"), line.where("NOT incoming")
     if width is None:
         mean = lots.agg(F.avg("qty").cast("double")).first()[0]
         width = math.ceil(LOTS_IN_BUCKET * (mean or 1.0))
-    matched = overlaps(lots, issues, keys, F.lit(width))
-    lot = [*keys, "movement_id", "movement_ts", "high", "low"]
-    used = matched.groupBy(*lot).agg(F.sum("taken").alias("used"))
-    zero = F.lit(0).cast(lots.schema["qty"].dataType)
+    elif units is not None:
+        width *= units
+    matched = overlaps(lots, issues.select(*keys, "low", "high"), keys, F.lit(width), "left")
+    used = matched.groupBy(*lots.columns).agg(F.sum("taken").alias("used"))
+    zero = F.lit(0).cast(line.schema["qty"].dataType)
     gone = F.coalesce(F.col("used"), zero)
-    kept = lots.join(used, lot, "left").select(
+    kept = used.select(
         *keys, F.col("movement_id").alias("lot_id"), F.col("movement_ts").alias("received_at"), F.col("qty").alias("qty_received"), gone.alias("qty_issued"), (F.col("qty") - gone).alias("qty_left")
     )
-    covered = lots.groupBy(*keys).agg(F.max("high").alias("in"))
-    short = issues.groupBy(*keys).agg(F.max("high").alias("out")).join(covered, list(keys), "left").withColumn("short", F.col("out") - F.coalesce("in", zero)).where("short > 0")
+    # Keys that are not set match nothing.
+    covers = F.col("incoming") & all_not_null(keys)
+    reach = line.groupBy(*keys).agg(F.max(F.when(~F.col("incoming"), F.col("high"))).alias("out"), F.max(F.when(covers, F.col("high"))).alias("in"))
+    short = reach.withColumn("short", F.col("out") - F.coalesce("in", zero)).where("short > 0")
     missing = short.select(*keys, F.lit(None).cast("string").alias("lot_id"), F.lit(None).cast("timestamp_ntz").alias("received_at"), zero.alias("qty_received"), F.col("short").alias("qty_issued"), (-F.col("short")).alias("qty_left"))
-    return kept.unionByName(missing)
+    found = kept.unionByName(missing)
+    if units is None:
+        return found
+    one = F.lit(Decimal(1).scaleb(-kind.scale))
+    return found.withColumns({c: (F.col(c).cast(T.DecimalType(MOST_DIGITS, 0)) * one).cast(T.DecimalType(TOTAL_DIGITS if c != "qty_received" else kind.precision, kind.scale)) for c in ("qty_received", "qty_issued", "qty_left")})
 
 
 def stock_age(lots: DataFrame, products: DataFrame, as_of: str, keys: Sequence[str] = ("product_id", "location_id")) -> DataFrame:

@@ -107,6 +107,41 @@ def test_what_is_left_is_the_stock_on_hand(spark):
     assert stock.count() > 0 and wrong.count() == 0
 
 
+def test_lots_read_the_ledger_once(spark, tmp_path):
+    """The ledger is the costly part: each of its rows is made once, whatever is summed and matched after that."""
+    rows = moves(random.Random(5), 1, 300, dt.datetime(2024, 1, 1))
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    ledger = spark.createDataFrame(rows, LEDGER)
+    lots = planning.fifo_lots(ledger.mapInArrow(counted, ledger.schema)).collect()
+    assert made.value == len(rows)
+    assert sum(r.qty_left for r in lots) == sum(r[4] for r in rows)
+
+
+@pytest.mark.parametrize("qty", ["decimal(38,2)", "double", "decimal(13,2)"])
+def test_lots_of_other_quantities(spark, qty):
+    """Quantities that are no decimals, or too large to be counted in their last place, are summed as they are; keys that are not set match nothing."""
+    rows = [(1, 1, "in", 1, 5.25), (1, 1, "more", 2, 3.5), (1, 1, "out", 3, -6.0), (None, 1, "in", 1, 2.0), (None, 1, "out", 2, -0.5), (2, 1, "none", 1, None)]
+    ledger = spark.createDataFrame(rows, "product_id long, location_id long, movement_id string, d int, q double").select(
+        "product_id", "location_id", "movement_id", F.expr("CAST(date_add(DATE'2024-01-01', d) AS TIMESTAMP_NTZ)").alias("movement_ts"), F.col("q").cast(qty).alias("qty_delta")
+    )
+    found = sorted(((r.product_id or 0, r.lot_id or "", float(r.qty_received), float(r.qty_issued), float(r.qty_left)) for r in planning.fifo_lots(ledger).collect()))
+    assert found == [(0, "", 0.0, 0.5, -0.5), (0, "in", 2.0, 0.0, 2.0), (1, "in", 5.25, 5.25, 0.0), (1, "more", 3.5, 0.75, 2.75)]
+
+
+def test_quantities_too_large_for_whole_units(spark):
+    big = Decimal("99999999999.99")
+    rows = [(1, 1, f"m{i}", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), big) for i in range(100_001)] + [(1, 1, "z", dt.datetime(2025, 1, 1), -big)]
+    ledger = spark.createDataFrame(rows, LEDGER)
+    assert planning.whole_units(ledger, "qty_delta") is None and planning.whole_units(ledger.where("movement_id = 'z'"), "qty_delta") == 100
+    assert planning.fifo_lots(ledger).agg(F.sum("qty_left")).first()[0] == 100_000 * big
+
+
 def test_overlaps_make_no_cross_join(spark):
     """A product with many lots: candidates grow with the lots, not with their square."""
     rows = [(1, f"m{i}", Decimal(1)) for i in range(2000)]
