@@ -21,6 +21,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from stockflow.lake import run_dir
 from stockflow.llm.common import WHITE, opened, prepare, share, slices, table, text_of, vocabulary
@@ -45,13 +46,22 @@ CUT = "\x1f"
 SPACE = "[" + "".join(map(re.escape, WHITE)) + "]"
 BESIDE = f"{CUT}|^$|^{SPACE}|{SPACE}$| {SPACE}|{SPACE} "
 #: A full stop or comma at the end of a word is a match of its own, as is a line break between other characters.
-WORD_MARK, JOINT = r"([\pL\pN])([.,])( |$)", "\n|[.,]$"
+WORD_MARK, JOINT, LINE_MARK = r"([\pL\pN])([.,])( |$)", "\n|[.,]$", r"([\pL\pN])\n([\pL\pN])"
+#: A word of these letters (Latin, Greek, Cyrillic), with a space before it or none, is one match of the byte-level pattern.
+PLAIN = "^ ?[A-Za-zÀ-ÖØ-öø-ɏΑ-ΡΣ-ώЀ-ҁ]+$"
+#: The vocabulary's character for each byte of such words; a newline stays.
+MARKS = np.arange(256, dtype="<u2")
+MARKS[[0x20, *range(0x7F, 0xA1), 0xAD]] = range(0x120, 0x144)
 #: Pieces joined for one call of the library.
 PIECES_AT_ONCE = 2_000
 PARTS_IN_BLOCK = 1024
 MANIFEST = "part long, seq long, path string, index_path string, n_records long, n_ids long"
 
 
+def strings(values: pa.Array) -> list[str]:
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 def masked(data: bytes) -> int:
     crc = zlib.crc32(data)
     return ((crc >> 15 | crc << 17) + MASK_DELTA) & 0xFFFFFFFF
@@ -141,6 +151,9 @@ class PieceEncoder:
     two characters that are not white space. So a batch of texts is cut there in Arrow, the library encodes each distinct piece once
     for as long as the memo keeps it, and the batch's ids are gathered by index. A text with other white space around a space goes
     to the library as a whole.
+
+    Where the library's splitting is its byte-level pattern and nothing else, plain words are matches as they stand: they go to the same model, in the vocabulary's
+    characters, by a tokenizer that cuts at newlines alone.
     """
 
     def __init__(self, tokenizer_json: str, end_id: int, added_tokens: bool = False):
@@ -152,6 +165,10 @@ class PieceEncoder:
         self.odd = "|".join([BESIDE, *map(re.escape, self.added)])
         self.width = "<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         self.end = np.array([end_id], self.width).tobytes()
+        splits, self.words = self.tokenizer.pre_tokenizer, None
+        if isinstance(splits, pre_tokenizers.ByteLevel) and splits.use_regex and not splits.add_prefix_space and self.tokenizer.normalizer is None:
+            self.words = Tokenizer(self.tokenizer.model)
+            self.words.pre_tokenizer = pre_tokenizers.Split("\n", "removed")
         self.newline = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
         self.bytes = np.zeros(max(vocab.values()) + 1, np.int64)  # a byte-level vocabulary writes a byte as one character
@@ -185,6 +202,7 @@ class PieceEncoder:
         if len(self.memo) > MEMO_ENTRIES or self.chars > MEMO_CHARS:
             self.forget()
         marked = pc.replace_substring_regex(texts, WORD_MARK, f"\\1{CUT}\\2\\3")
+        marked = pc.replace_substring_regex(marked, LINE_MARK, f"\\1{CUT}\n{CUT}\\2")
         pieces = pc.split_pattern(pc.replace_substring(marked, " ", f"{CUT} "), CUT)
         coded = pieces.flatten().dictionary_encode()
         slot = self.slots(coded.dictionary)[coded.indices.to_numpy()]
@@ -194,11 +212,18 @@ class PieceEncoder:
 
     def slots(self, pieces: pa.Array) -> np.ndarray:
         """Where the ids of distinct pieces are kept; those the worker has not met are encoded."""
-        memo, names = self.memo, pieces.to_pylist()
-        found = np.array([memo.get(name, -1) for name in names], np.int64)
+        memo, names = self.memo, strings(pieces)
+        found = np.fromiter(map(memo.get, names, repeat(-1)), np.int64, len(names))
         missing = np.nonzero(found < 0)[0]
         if len(missing):
             new = pieces.take(pa.array(missing))
+            if self.words is not None:
+                plain = pc.match_substring_regex(new, PLAIN)
+                own, plain = new.filter(plain), plain.to_numpy(zero_copy_only=False)
+                found[missing[plain]] = len(memo) + np.arange(len(own))
+                for start in range(0, len(own), PIECES_AT_ONCE):
+                    self.learn_words(own.slice(start, PIECES_AT_ONCE))
+                missing, new = missing[~plain], new.filter(pa.array(~plain))
             joint = pc.match_substring_regex(new, JOINT)
             cut = {piece: self.parts(piece) for piece in new.filter(joint).to_pylist()}
             wanted = new.filter(pc.invert(joint)).to_pylist()
@@ -246,6 +271,18 @@ class PieceEncoder:
             raise ValueError("a token reaches across the end of a piece")
         self.store(new, np.delete(ids, last), np.diff(last, prepend=-1) - 1)
 
+    def learn_words(self, new: pa.Array) -> None:
+        """Encode plain words in one call. The library leaves out the newlines between them."""
+        names = strings(new)
+        joined = MARKS[np.frombuffer("\n".join(names).encode(), np.uint8)].tobytes().decode("utf-16-le")
+        ids = np.array(self.words.encode_batch_fast([joined], add_special_tokens=False)[0].ids, self.width)
+        ends = np.cumsum(self.bytes[ids])
+        wanted = np.cumsum(pc.binary_length(new).to_numpy(zero_copy_only=False))
+        last = np.searchsorted(ends, wanted)  # the last token of each word
+        if len(ids) != last[-1] + 1 or not (ends[last] == wanted).all():
+            raise ValueError("a token reaches across the end of a word")
+        self.store(names, ids, np.diff(last, prepend=-1))
+
     @staticmethod
     def parts(piece: str) -> list[str]:
         """Cut a piece further where matches always end: around a newline between other characters, and before a full stop or comma at the end of a word."""

@@ -272,3 +272,22 @@ def test_damage_is_found():
         broken[at] ^= 1
         with pytest.raises(ValueError):
             list(records.read_records(bytes(broken)))
+
+
+def test_plain_words_skip_the_pattern_and_give_the_librarys_ids(monkeypatch):
+    """Words of Latin, Greek and Cyrillic letters are matches as they stand and do not go through the library's splitting; all others do."""
+    json_text = Path(vocabulary("byte_bpe_50k.json")).read_text()
+    encoder = records.PieceEncoder(json_text, 2)
+    sent = []
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda new: (sent.extend(new), learn(new))[1])
+    words = ["Anblewh", "éelleç", "zuberß", "ÀÖØöøÿ", "Straße", "\u0100\u024f", "λόγος", "слово", "naïveté", "x"]
+    others = ["don't", "a1b2", "日本語", "×÷", "ab\u00ad", "ªº", "123", "we'll", "_a_", "\u01c5e\u0301"]
+    texts = [" ".join(words), " ".join(others), "one\ntwo\nλ\n3\n\n four. five,\nsix\n\xa0seven", "\n".join(words), " ".join(w + "." for w in words), "a\n", "\na\nb"]
+    library = Tokenizer.from_str(json_text)
+    library.encode_special_tokens = True
+    got = encoder.encode(pa.array(texts * 2))
+    for text, data in zip(texts * 2, got, strict=True):
+        assert list(np.frombuffer(data, encoder.width)) == [*library.encode(text, add_special_tokens=False).ids, 2], text
+    assert not {w for word in words for w in (word, f" {word}")} & set(sent)
+    assert any("日本語" in piece for piece in sent)
