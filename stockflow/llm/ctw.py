@@ -8,9 +8,10 @@ A prediction goes down the path of the text's last bytes and mixes the estimates
 A context is a node if it occurs at least ``LEAST`` times in the training texts, whatever their size. The rest of a node's data
 counts as one more child, which has an estimate of its own. All counts are over all training texts.
 
-The tree is never held as a whole. Contexts are dealt to tasks by their last ``TOP`` bytes: a task has all longer contexts of such a root, sums their log
+The tree is never held as a whole. Contexts are dealt to buckets by their last ``TOP`` bytes: a bucket has all longer contexts of such a root, a task sums their log
 weights upwards and hands the sums of the roots to the driver, which has the shorter contexts (at most 256^2 + 257). Then the tasks carry the driver's mixtures
-down again, to the log probability of every run of bytes that some text holds. That is a table: its frequent head is broadcast, the rest is joined.
+down again, to the log probability of every run of bytes that some text holds. That is a table: its frequent head is broadcast, the rest meets the texts' runs by bucket.
+Runs are shuffled as packed columns, one row for each bucket of a slice of texts: sorted runs as differences, and numbers by the place of their bytes.
 
 Texts are scored as their tokens: words in lower case (A-Z) with one space between, and a newline as the end. Before a text
 stand newlines. As a base line, each token also has its smoothed frequency among the training tokens.
@@ -18,11 +19,14 @@ stand newlines. As a base line, each token also has its smoothed frequency among
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,15 +42,19 @@ TOP = 3
 GRAM_HEAD_SHARE = 1 / 4_000_000
 #: A task works on whole roots, of about so many runs together.
 GRAMS_AT_ONCE = 300_000
+#: A bucket has the runs and words of about so many bytes of text; few texts are dealt to as many buckets as there are cores.
+BUCKET_BYTES, LEAST_BUCKET_BYTES = 16 * 1024 * 1024, 1024 * 1024
+#: Tasks that work on the buckets, for each core.
+TASKS_PER_CORE = 2
 #: Words that make up at least this share of all tokens are broadcast: at most 1 / HEAD_SHARE of them. The others are joined.
 HEAD_SHARE = 1 / 200_000
 ADDED = 0.1
 END = b"\n"
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
-SLICE_BYTES = 4 * 1024 * 1024
+SLICE_BYTES = 2 * 1024 * 1024
 #: Nodes worked on at once, and the mark of a context that is no node.
 CHUNK, NO_NODE = 2048, np.iinfo(np.int32).max
-WORDS_KEPT, GRAMS_KEPT = 400_000, 2_000_000
+WORDS_KEPT, GRAMS_KEPT, PAIRS_KEPT = 400_000, 2_000_000, 2_000_000
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -62,21 +70,32 @@ def sequence(texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarr
     return data, ends - [len(body) for body in bodies], ends
 
 
-def grams_at(texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every byte of every text the run of ``depth`` bytes before it and itself, as a number whose lowest byte it is, and the number of its text."""
-    data, begins, ends = sequence(texts, depth)
-    gram = np.zeros(len(data) - depth, np.int64)
-    for k in range(depth + 1):
-        gram = gram << 8 | data[k : len(data) - depth + k]
-    inside = np.zeros(len(data) + 1, np.int8)
+def inside_of(n: int, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which of ``n`` bytes belong to a text."""
+    inside = np.zeros(n + 1, np.int8)
     inside[begins] += 1
     np.subtract.at(inside, ends, 1)
-    return gram[np.cumsum(inside)[depth:-1] > 0], np.repeat(np.arange(len(texts)), ends - begins)
+    return np.cumsum(inside[:-1], dtype=np.int8) > 0
+
+
+def runs_at(data: np.ndarray, depth: int, bits: int) -> np.ndarray:
+    """For every byte but the first ``depth`` the run of ``depth`` bytes before it and itself, as a number whose lowest ``bits`` it is."""
+    run = data[: len(data) - depth].astype(np.int64)
+    for k in range(1, depth + 1):
+        run <<= bits
+        run |= data[k : len(data) - depth + k]
+    return run
+
+
+def grams_at(texts: list[list[bytes]], depth: int) -> np.ndarray:
+    """For every byte of every text the run of ``depth`` bytes before it and itself, as a number whose lowest byte it is."""
+    data, begins, ends = sequence(texts, depth)
+    return runs_at(data, depth, 8)[inside_of(len(data), begins, ends)[depth:]]
 
 
 def grams_of(texts: list[list[bytes]], depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct runs of ``depth`` bytes with the byte after them, and their counts."""
-    return np.unique(grams_at(texts, depth)[0], return_counts=True)
+    return np.unique(grams_at(texts, depth), return_counts=True)
 
 
 def added(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,34 +103,113 @@ def added(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     order = np.argsort(grams, kind="stable")
     grams = grams[order]
     begins = np.nonzero(np.append(True, grams[1:] != grams[:-1]))[0]
-    return grams[begins], np.add.reduceat(counts[order], begins)
+    return grams[begins], np.add.reduceat(counts[order], begins, dtype=np.int64)
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers of eight bytes, compressed byte place by byte place: places that are empty or alike take no room."""
+    places = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(numbers).to_bytes(8, "little") + pa.compress(places, "zstd", asbytes=True)
+
+
+def unpacked(data: bytes, kind: type = np.int64) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    places = pa.decompress(data[8:], 8 * n, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(places, np.uint8).reshape(8, n).T).view(kind).ravel()
+
+
+def packed_grams(grams: np.ndarray) -> bytes:
+    """Ascending grams, as the differences between them."""
+    return packed(np.diff(grams, prepend=0))
 
 
-def count_grams(rows: DataFrame, depth: int) -> DataFrame:
-    """gram, count over the rows that are learned from (``learn``) and seen over all rows, summed in each task before they are shuffled."""
+def unpacked_grams(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data))
+
+
+def roots_of(grams: np.ndarray, top: int) -> np.ndarray:
+    """The last ``top`` bytes of the contexts."""
+    return grams >> 8 & (1 << 8 * top) - 1
+
+
+def dealt(grams: np.ndarray, top: int, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Buckets and the places of their grams, in the order of the places. A root is in one bucket as a whole."""
+    if not len(grams):
+        return
+    bucket = ((roots_of(grams, top) * 2654435761 & 0xFFFFFFFF) >> 8) % buckets
+    order = np.argsort(bucket.astype(np.min_scalar_type(buckets)), kind="stable")
+    at = starts(bucket[order])
+    for begin, end in zip(at, [*at[1:], len(order)], strict=True):
+        yield int(bucket[order[begin]]), order[begin:end]
+
+
+def whole_roots(grams: np.ndarray, top: int) -> Iterator[np.ndarray]:
+    """Places, ascending, of the grams of whole roots, about ``GRAMS_AT_ONCE`` together."""
+    root = roots_of(grams, top)
+    order = np.argsort(root, kind="stable")
+    at = starts(root[order])
+    at = at[starts(at // GRAMS_AT_ONCE)]
+    for begin, end in zip(at, [*at[1:], len(order)], strict=True):
+        yield np.sort(order[begin:end])
+
+
+def buckets_for(rows: DataFrame) -> int:
+    """From the bytes of all texts."""
+    n = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return 1 + max(n // BUCKET_BYTES, min(n // LEAST_BUCKET_BYTES, rows.sparkSession.sparkContext.defaultParallelism))
+
+
+def count_grams(rows: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """A row for each bucket: its grams, ascending, with ``count`` over the rows that are learned from (``learn``) and ``seen`` over all rows, packed; ``total`` is the sum of ``seen``.
+
+    Grams are summed in each task before they are shuffled.
+    """
+    top = min(TOP, depth)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts, fresh = np.empty(0, np.int64), np.empty((0, 2), np.int64), []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        n = 0  # of the grams that are not put together yet
         for batch in slices(batches, "text", SLICE_BYTES):
             texts, learn = [tokens_of(t) for t in batch.column("text").to_pylist()], batch.column("learn").to_pylist()
             for flag in (True, False):
-                found, n = grams_of(own, depth) if (own := [t for t, x in zip(texts, learn, strict=True) if x == flag]) else (grams[:0], counts[:0, 0])
-                fresh.append((found, np.stack([n * flag, n], axis=1)))
-            if sum(len(g) for g, _ in fresh) > GRAMS_KEPT:
-                grams, counts = added(np.concatenate([grams, *[g for g, _ in fresh]]), np.concatenate([counts, *[c for _, c in fresh]]))
-                fresh = []
-                if len(grams) > GRAMS_KEPT:
-                    yield pa.RecordBatch.from_pydict({"gram": grams, "count": counts[:, 0], "seen": counts[:, 1]})
-                    grams, counts = grams[:0], counts[:0]
-        grams, counts = np.concatenate([grams, *[g for g, _ in fresh]]), np.concatenate([counts, *[c for _, c in fresh]])
-        if len(grams):
-            grams, counts = added(grams, counts)
-            for at in range(0, len(grams), 100_000):
-                part = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_pydict({"gram": grams[part], "count": counts[part, 0], "seen": counts[part, 1]})
-
-    found = rows.select("text", "learn").mapInArrow(run, "gram long, count long, seen long")
-    return found.groupBy("gram").agg(F.sum("count").alias("count"), F.sum("seen").alias("seen"))
+                if own := [t for t, x in zip(texts, learn, strict=True) if x == flag]:
+                    found, times = grams_of(own, depth)
+                    held.append((found, np.stack([times * flag, times], axis=1).astype(np.int32)))  # a task reads less than 2^31 bytes
+                    n += len(found)
+            if n > GRAMS_KEPT:
+                held, n = [joined(held)], 0
+                if len(held[0][0]) > GRAMS_KEPT:
+                    yield from parts(*held.pop())
+        if held:
+            yield from parts(*joined(held))
+
+    def joined(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        grams, counts = np.concatenate([g for g, _ in held]), np.concatenate([c for _, c in held])
+        held.clear()
+        return added(grams, counts)
+
+    def parts(grams: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for bucket, at in dealt(grams, top, buckets):
+            yield row(bucket, grams[at], counts[at])
+
+    def row(bucket: int, grams: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
+            {"bucket": pa.array([bucket], pa.int32()), "grams": [packed_grams(grams)], "count": [packed(counts[:, 0].astype(np.int64))], "seen": [packed(counts[:, 1].astype(np.int64))], "total": [int(counts[:, 1].sum())]}
+        )
+
+    def together(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, grams, counts = 0, [], []
+        for batch in batches:
+            for r in batch.to_pylist():
+                bucket = r["bucket"]  # a task has one
+                grams.append(unpacked_grams(r["grams"]))
+                counts.append(np.stack([unpacked(r["count"]), unpacked(r["seen"])], axis=1))
+        if grams:
+            yield row(bucket, *joined(list(zip(grams, counts, strict=True))))
+
+    schema = "bucket int, grams binary, count binary, seen binary, total long"
+    found = rows.select("text", "learn").mapInArrow(run, schema)
+    return found.repartitionById(buckets, F.col("bucket")).mapInArrow(together, schema)
 
 
 def count_words(rows: DataFrame) -> DataFrame:
@@ -302,76 +400,201 @@ def logs_of_roots(grams: np.ndarray, counts: np.ndarray, top: int, depth: int, l
     return logs
 
 
-def by_root(grams: DataFrame, top: int, columns: list[str], run: Callable[..., dict], schema: str) -> DataFrame:
-    """Apply ``run`` to arrays of ``columns`` (gram first, ascending) that hold all grams of some roots, the last ``top`` bytes of contexts."""
+def gram_logs(grams: DataFrame, depth: int, least: float = LEAST, head_from: float = np.inf) -> DataFrame:
+    """For each bucket its grams and the log10 probabilities of their bytes, packed: those seen ``head_from`` times and more (``head``), and the others (``grams``, ``logs``).
 
-    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        n = 0
-        for batch in batches:
-            held.append(np.stack([np.asarray(c, np.int64) for c in batch.columns]))
-            n += batch.num_rows
-            if n >= GRAMS_AT_ONCE:
-                rows = np.concatenate(held, axis=1)
-                cut = starts(rows[0])[-1]  # the last root may go on
-                if cut:
-                    yield from done(rows[1:, :cut])
-                held, n = [rows[:, cut:]], rows.shape[1] - cut
-        if n:
-            yield from done(np.concatenate(held, axis=1)[1:])
-
-    def done(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-        out = run(*rows[:, np.argsort(rows[0])])
-        for at in range(0, len(next(iter(out.values()))), 100_000):
-            yield pa.RecordBatch.from_pydict({name: values[at : at + 100_000] for name, values in out.items()})
-
-    root = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * top) - 1)).alias("root")
-    return grams.select(root, *columns).repartition("root").sortWithinPartitions("root").mapInArrow(work, schema)
-
-
-def gram_logs(grams: DataFrame, depth: int, least: float = LEAST) -> DataFrame:
-    """gram, seen and log10 probability of its byte, for all grams (gram, count, seen); contexts counted ``least`` times and more are nodes."""
+    ``grams`` is as ``count_grams`` gives it; contexts counted ``least`` times and more are nodes.
+    """
     top = min(TOP, depth)
-    up = by_root(grams, top, ["gram", "count"], lambda g, n: sums_of_roots(g, n.astype(float), top, depth, least), "key long, zeros double, ones double, weight double")
-    found = up.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("weight", "zeros", "ones")]).toArrow()  # bounded by the contexts of two bytes
+
+    def up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                grams, counts = unpacked_grams(r["grams"]), unpacked(r["count"]).astype(float)
+                for part in whole_roots(grams, top):
+                    out = sums_of_roots(grams[part], counts[part], top, depth, least)
+                    for at in range(0, len(out["key"]), 100_000):
+                        yield pa.RecordBatch.from_pydict({name: values[at : at + 100_000] for name, values in out.items()})
+
+    sums = grams.select("grams", "count").mapInArrow(up, "key long, zeros double, ones double, weight double")
+    found = sums.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("weight", "zeros", "ones")]).toArrow()  # bounded by the contexts of two bytes
     key = np.asarray(found["key"], np.int64)
     order = np.argsort(key)
     shared = share(grams.sparkSession, states_of_top(key[order], np.stack([np.asarray(found[c], float)[order] for c in ("weight", "zeros", "ones")]), top, least))
 
-    def down(g: np.ndarray, n: np.ndarray, seen: np.ndarray) -> dict:
-        return {"gram": g, "seen": seen, "log": logs_of_roots(g, n.astype(float), top, depth, least, *opened(shared))}
+    def down(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                grams, counts = unpacked_grams(r["grams"]), unpacked(r["count"]).astype(float)
+                logs = np.zeros(len(grams))
+                for part in whole_roots(grams, top):
+                    logs[part] = logs_of_roots(grams[part], counts[part], top, depth, least, *opened(shared))
+                often = unpacked(r["seen"]) >= head_from
+                columns = [packed_grams(grams[~often]), packed(logs[~often]), packed_grams(grams[often]), packed(logs[often])]
+                yield pa.RecordBatch.from_arrays([pa.array([r["bucket"]], pa.int32()), *[pa.array([c], pa.binary()) for c in columns]], names=LOGS)
+
+    return grams.select("bucket", "grams", "count", "seen").mapInArrow(down, "bucket int, grams binary, logs binary, head binary, head_logs binary")
 
-    return by_root(grams, top, ["gram", "count", "seen"], down, "gram long, seen long, log double")
 
+LOGS = ["bucket", "grams", "logs", "head", "head_logs"]
 
-def byte_scores(rows: DataFrame, logs: DataFrame, depth: int, head_share: float) -> DataFrame:
-    """doc_id and parts of its score, which add up to it: what the broadcast head has, and each of the other grams."""
-    total = logs.agg(F.sum("seen")).first()[0] or 0
-    found = logs.where(F.col("seen") >= max(1.0, total * head_share)).select("gram", "log").toArrow()  # at most 1 / head_share
-    grams = np.append(np.asarray(found["gram"], np.int64), np.iinfo(np.int64).max)
+
+def rare_runs(texts: list[list[bytes]], depth: int, head: np.ndarray, head_logs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each text the sum over its grams of the head; and of the other grams, by ascending gram, each with a text that has it and how often. ``head`` ends with a gram that cannot be."""
+    data, begins, ends = sequence(texts, depth)
+    inside = inside_of(len(data), begins, ends)[depth:]
+    # Bytes are numbered by those that occur, so that a run and its text mostly go into one number, which is sorted.
+    occurs = np.bincount(data, minlength=256) > 0
+    letters, number = np.nonzero(occurs)[0], (np.cumsum(occurs) - 1).astype(np.uint8)
+    bits, of_text = max(1, int(len(letters) - 1).bit_length()), int(len(texts)).bit_length()
+    owner = np.repeat(np.arange(len(texts)), ends - begins)
+    if (depth + 1) * bits + of_text < 63:
+        pairs = runs_at(number[data], depth, bits)[inside]
+        pairs <<= of_text
+        pairs |= owner
+        pairs.sort()
+        at = starts(pairs)
+        pairs, times = pairs[at], np.diff(at, append=len(pairs))
+        runs, owner = pairs >> of_text, pairs & (1 << of_text) - 1
+        first = starts(runs)
+        own = np.zeros(len(first), np.int64)
+        for k in range(depth, -1, -1):
+            own = own << 8 | letters[runs[first] >> k * bits & (1 << bits) - 1]
+    else:
+        runs = runs_at(data, depth, 8)[inside]
+        order = np.lexsort((owner, runs))
+        runs, owner = runs[order], owner[order]
+        at = np.nonzero(np.append(True, (runs[1:] != runs[:-1]) | (owner[1:] != owner[:-1])))[0]
+        runs, owner, times = runs[at], owner[at], np.diff(at, append=len(order))
+        first = starts(runs)
+        own = runs[first]
+    n = np.diff(first, append=len(runs))
+    at = np.searchsorted(head, own)
+    known = head[at] == own
+    sums = np.bincount(owner, weights=np.repeat(np.where(known, head_logs[at], 0.0), n) * times, minlength=len(texts))
+    rare = ~np.repeat(known, n)
+    return sums, np.repeat(own[~known], n[~known]), owner[rare], times[rare]
+
+
+def rare_words(texts: list[list[bytes]], head: dict[bytes, float]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """For each text the sum over its words of the head, and their number; and the other words, and for each its place among them with a text that has it and how often."""
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    number = {w: i for i, w in enumerate(dict.fromkeys(chain.from_iterable(texts)))}
+    words, place = list(number), np.fromiter(map(number.__getitem__, chain.from_iterable(texts)), np.int64, len(owner))
+    logs = np.array([head.get(w, 1.0) for w in words])
+    known = logs <= 0
+    base = np.bincount(owner, weights=np.where(known, logs, 0.0)[place], minlength=len(texts))
+    n_known = np.bincount(owner[known[place]], minlength=len(texts))
+    rare = ~known[place]
+    pairs, times = np.unique((np.cumsum(~known) - 1)[place[rare]] * len(texts) + owner[rare], return_counts=True)
+    return base, n_known, [w for w, x in zip(words, known.tolist(), strict=True) if not x], pairs // len(texts), pairs % len(texts), times
+
+
+def score_parts(rows: DataFrame, logs: DataFrame, words: DataFrame, depth: int, buckets: int, head: dict[bytes, float], below: float) -> DataFrame:
+    """doc_id and parts of its sums: what the broadcast heads have, and for each task the sums over the other grams and words of its buckets.
+
+    ``words`` are the known ones that are not in the head, with their count ``c``.
+    """
+    found = list(logs.select("head", "head_logs").toLocalIterator())  # at most 1 / head_share grams
+    grams = np.concatenate([*[unpacked_grams(bytes(r["head"])) for r in found], [np.iinfo(np.int64).max]])
+    values = np.concatenate([*[unpacked(bytes(r["head_logs"]), np.float64) for r in found], [0.0]])
     order = np.argsort(grams)
-    shared = share(rows.sparkSession, (grams[order], np.append(np.asarray(found["log"], float), 0.0)[order]))
+    shared = share(rows.sparkSession, (grams[order], values[order], head))
+    top = min(TOP, depth)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, head_logs = opened(shared)
-        for batch in slices(batches, "text", SLICE_BYTES):
+        grams, logs, head = opened(shared)
+        for place, batch in enumerate(slices(batches, "text", SLICE_BYTES)):
             ids = np.asarray(batch.column("doc_id"))
-            positions, owner = grams_at([tokens_of(t) for t in batch.column("text").to_pylist()], depth)
-            own, place = np.unique(positions, return_inverse=True)
-            at = np.searchsorted(head, own)
-            known = head[at] == own
-            sums = np.bincount(owner, weights=np.where(known, head_logs[at], 0.0)[place], minlength=len(ids))
-            rare = ~known[place]
-            pairs, times = np.unique(owner[rare] * len(own) + place[rare], return_counts=True)
-            # A document's own row goes under a gram that cannot be: a negative one.
-            out = [np.append(-1 - (ids & (1 << 62) - 1), own[pairs % len(own)]), np.append(ids, ids[pairs // len(own)]), np.append(np.zeros(len(ids), np.int64), times)]
-            out.append(np.append(sums, np.zeros(len(pairs))))
-            for start in range(0, len(out[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(x[start : start + 100_000]) for x in out], names=["gram", "doc_id", "times", "score"])
-
-    parts = rows.select("doc_id", "text").mapInArrow(run, "gram long, doc_id long, times long, score double")
-    rest = logs.where(F.col("seen") < max(1.0, total * head_share)).select("gram", "log")
-    return parts.join(rest, "gram", "left").select("doc_id", (F.col("score") + F.col("times") * F.coalesce("log", F.lit(0.0))).alias("score"))
+            texts = [tokens_of(t) for t in batch.column("text").to_pylist()]
+            score, runs, owner, times = rare_runs(texts, depth, grams, logs)
+            for bucket, at in dealt(runs, top, buckets):
+                yield row(bucket, grams=packed_grams(runs[at]), docs=packed(ids[owner[at]]), times=packed(times[at]))
+            del runs, owner, times
+            for t in texts:
+                t.append(END)
+            base, n_known, rare, word, owner, times = rare_words(texts, head)
+            lengths = np.array([len(t) for t in texts])
+            yield row(place % buckets, docs=packed(ids), sums=[packed(x) for x in (lengths, n_known, base, score)])
+            bucket = np.array([zlib.crc32(w) for w in rare], np.int64) % buckets
+            by_bucket = np.argsort(bucket[word], kind="stable")
+            for at in np.split(by_bucket, starts(bucket[word][by_bucket])[1:]) if len(word) else []:
+                first = starts(word[at])
+                number = np.repeat(np.arange(len(first)), np.diff(first, append=len(at)))
+                own = word[at[first]].tolist()
+                yield row(int(bucket[own[0]]), words=b" ".join(rare[i] for i in own), numbers=packed(number), docs=packed(ids[owner[at]]), times=packed(times[at]))
+
+    def row(bucket: int, **columns: object) -> pa.RecordBatch:
+        of = {"sums": pa.list_(pa.binary())}
+        return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *[pa.array([columns.get(c)], of.get(c, pa.binary())) for c in PACKED]], names=["bucket", *PACKED])
+
+    def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A task has some buckets, one after the other: first the logs and words of a bucket, then pairs and sums of documents. Sums are kept across the buckets, so a document has few."""
+        bucket, grams, logs, counts, held, n = None, np.empty(0, np.int64), np.empty(0), {}, [], 0
+        for batch in batches:
+            buckets_of = np.asarray(batch.column("bucket"))
+            at = starts(buckets_of) if len(buckets_of) else []
+            for begin, end in zip(at, [*at[1:], len(buckets_of)], strict=False):
+                part = batch.slice(begin, end - begin)
+                if buckets_of[begin] != bucket:
+                    bucket, grams, logs, counts = buckets_of[begin], grams[:0], logs[:0], {}
+                words = part.filter(pc.is_valid(part.column("word")))
+                counts.update(zip(words.column("word").to_pylist(), words.column("c").to_pylist(), strict=True))
+                for r in part.filter(pc.is_null(part.column("word"))).to_pylist():
+                    if r["logs"] is not None:
+                        grams, logs = unpacked_grams(r["grams"]), unpacked(r["logs"], np.float64)
+                        continue
+                    if r["sums"] is not None:
+                        lengths, n_known, base, score = r["sums"]
+                        yield from parts(unpacked(r["docs"]), unpacked(lengths), unpacked(n_known), unpacked(base, np.float64), unpacked(score, np.float64))
+                        continue
+                    held.append((unpacked(r["docs"]), *(of_grams(r, grams, logs) if r["grams"] is not None else of_words(r, counts))))
+                    n += len(held[-1][0])
+                    if n > PAIRS_KEPT:
+                        held = [summed(held)]
+                        n = len(held[0][0])
+                        if n > PAIRS_KEPT // 2:
+                            yield from of_documents(*held.pop())
+                            n = 0
+        if held:
+            yield from of_documents(*summed(held))
+
+    def of_grams(r: dict, grams: np.ndarray, logs: np.ndarray) -> tuple[np.ndarray, ...]:
+        runs, times = unpacked_grams(r["grams"]), unpacked(r["times"])
+        at = np.minimum(np.searchsorted(grams, runs), len(grams) - 1)
+        if not np.array_equal(grams[at], runs):
+            raise RuntimeError("a run of bytes was not counted")
+        none = np.zeros(len(times))
+        return none, none, logs[at] * times
+
+    def of_words(r: dict, counts: dict[bytes, int]) -> tuple[np.ndarray, ...]:
+        times = unpacked(r["times"])
+        c = np.array([counts.get(w, 0) for w in r["words"].split(b" ")])[unpacked(r["numbers"])]
+        return np.where(c > 0, times, 0), times * np.log10((c + ADDED) / below), np.zeros(len(times))
+
+    def summed(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        docs, *columns = (np.concatenate(x) for x in zip(*held, strict=True))
+        own, place = np.unique(docs, return_inverse=True)
+        return own, *(np.bincount(place, weights=x, minlength=len(own)) for x in columns)
+
+    def of_documents(docs: np.ndarray, n_known: np.ndarray, base: np.ndarray, score: np.ndarray) -> Iterator[pa.RecordBatch]:
+        yield from parts(docs, np.zeros(len(docs), np.int64), n_known.astype(np.int64), base, score)
+
+    def parts(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(columns[0]), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(x[at : at + 100_000]) for x in columns], names=PARTS)
+
+    pairs = rows.select("doc_id", "text").mapInArrow(run, "bucket int, " + ", ".join(f"{c} {'array<binary>' if c == 'sums' else 'binary'}" for c in PACKED))
+    known = words.select((F.crc32("word") % buckets).cast("int").alias("bucket"), "word", "c")
+    both = pairs.unionByName(logs.select("bucket", "grams", "logs"), allowMissingColumns=True).unionByName(known, allowMissingColumns=True)
+    # As many tasks as the cluster has use for, however many buckets there are: the sums a document has are as many as the tasks, or its pairs if those are fewer.
+    tasks = min(buckets, TASKS_PER_CORE * rows.sparkSession.sparkContext.defaultParallelism)
+    dealt_out = both.repartitionById(tasks, F.col("bucket") % tasks).sortWithinPartitions("bucket", F.col("docs").isNotNull())
+    return dealt_out.mapInArrow(meet, "doc_id long, n_tokens long, n_known long, base double, score double")
+
+
+PACKED = ["grams", "words", "numbers", "docs", "times", "sums"]
+PARTS = ["doc_id", "n_tokens", "n_known", "base", "score"]
 
 
 class Level:
@@ -486,8 +709,10 @@ def score_texts(
     spark = docs.sparkSession
     rows = one_row_per_id(docs, id_col, text_col)
     learned = rows.where(training)
-    grams = materialise(count_grams(rows.withColumn("learn", F.coalesce(training, F.lit(False))), depth), "grams")
-    logs = materialise(gram_logs(grams, depth, least), "logs")
+    buckets = buckets_for(rows)
+    grams = materialise(count_grams(rows.withColumn("learn", F.coalesce(training, F.lit(False))), depth, buckets), "grams")
+    seen = grams.agg(F.sum("total")).first()[0] or 0
+    logs = materialise(gram_logs(grams, depth, least, max(1.0, seen * gram_head_share)), "logs")
     words = materialise(count_words(learned).where("c > 0"), "words")
     totals = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     n, kinds = int(totals[0]), int(totals[1])
@@ -495,53 +720,8 @@ def score_texts(
     frequent = F.col("c") >= max(1.0, n * head_share)
     head = {row["word"]: row["c"] for row in words.where(frequent).toLocalIterator()} if n else {}
     head = {bytes(w): float(np.log10((c + ADDED) / below)) for w, c in head.items()}
-    shared = share(spark, head)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = opened(shared)
-        for batch in slices(batches, "text", SLICE_BYTES):
-            ids = batch.column("doc_id").to_pylist()
-            texts = [tokens_of(t) for t in batch.column("text").to_pylist()]
-            sums, known, rare, owner, times = [], [], [], [], []
-            for doc_id, tokens in zip(ids, texts, strict=True):
-                counts = Counter(tokens)
-                counts[END] += 1
-                own = [(head[w], k) for w, k in counts.items() if w in head]
-                sums.append(sum(p * k for p, k in own))
-                known.append(sum(k for _, k in own))
-                others = [w for w in counts if w not in head]
-                rare += others
-                owner += [doc_id] * len(others)
-                times += [counts[w] for w in others]
-            m = len(ids)
-            # A document's own row goes under a word that cannot be: it holds a space.
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([b" %d" % i for i in ids], pa.binary()),
-                    pa.array(ids, pa.int64()),
-                    pa.array([0] * m, pa.int64()),
-                    pa.array([len(t) + 1 for t in texts], pa.int64()),
-                    pa.array(known, pa.int64()),
-                    pa.array(sums, pa.float64()),
-                ],
-                names=NAMES,
-            )
-            for at in range(0, len(rare), 50_000):
-                part = slice(at, at + 50_000)
-                k = len(rare[part])
-                empty = [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.float64())]
-                yield pa.RecordBatch.from_arrays([pa.array(rare[part], pa.binary()), pa.array(owner[part], pa.int64()), pa.array(times[part], pa.int64()), *empty], names=NAMES)
-
-    found = rows.mapInArrow(run, "word binary, doc_id long, times long, n_tokens long, n_known long, base double")
-    c = F.coalesce("c", F.lit(0))
-    joined = found.join(words.where(~frequent), "word", "left").select(
-        "doc_id",
-        "n_tokens",
-        F.coalesce("n_known", F.when(c > 0, F.col("times")).otherwise(0)).alias("n_known"),
-        F.coalesce("base", F.col("times") * F.log10((c + ADDED) / below)).alias("base"),
-    )
-    both = joined.unionByName(byte_scores(rows, logs, depth, gram_head_share), allowMissingColumns=True)
-    return both.groupBy("doc_id").agg(
+    parts = score_parts(rows, logs, words.where(~frequent), depth, buckets, head, below)
+    return parts.groupBy("doc_id").agg(
         F.max("n_tokens").alias("n_tokens"),
         F.sum("n_known").alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
@@ -550,9 +730,6 @@ def score_texts(
     )
 
 
-NAMES = ["word", "doc_id", "times", "n_tokens", "n_known", "base"]
-
-
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     held_out = fold(F.col("doc_id"), 10) == 0

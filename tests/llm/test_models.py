@@ -337,3 +337,41 @@ def test_no_training_text(spark, odd):
     assert {r.train_tokens for r in found} == {0} and {r.n_known for r in found} == {0}
     assert found[0].score == pytest.approx(-math.log10(256) * 1, rel=1e-3) or all(r.score < 0 for r in found)
     assert ctw.score_texts(odd.limit(0), F.lit(True)).count() == 0
+
+
+def test_runs_and_words_are_shuffled_packed_and_met_by_few_tasks(spark, monkeypatch):
+    """Buckets grow with the texts; the sums of a document do not, and no row is a pair of a run and a document."""
+    rng = random.Random(21)
+    docs = documents(spark, rows_of([prose(rng, 300) for _ in range(120)])).repartition(4)
+    whole = {r.doc_id: r for r in ctw.score_texts(docs, ~fold_is(10, 0), gram_head_share=1.0, head_share=1.0).collect()}
+    monkeypatch.setattr(ctw, "BUCKET_BYTES", 4096)
+    monkeypatch.setattr(ctw, "PAIRS_KEPT", 5000)
+    monkeypatch.setattr(ctw, "TASKS_PER_CORE", 1)
+    rows = docs.select(docs.doc_id, docs.text, F.lit(True).alias("learn"))
+    buckets = ctw.buckets_for(rows)
+    assert buckets > 3 * spark.sparkContext.defaultParallelism
+    grams = ctw.count_grams(rows, 6, buckets)
+    assert grams.count() <= buckets
+    size = grams.agg(F.sum(F.octet_length("grams") + F.octet_length("count") + F.octet_length("seen"))).first()[0]
+    distinct = sum(len(ctw.unpacked(bytes(r.grams))) for r in grams.collect())
+    assert size < 12 * distinct
+    split = {r.doc_id: r for r in ctw.score_texts(docs, ~fold_is(10, 0), gram_head_share=1.0, head_share=1.0).collect()}
+    assert set(split) == set(whole) and len(whole) == 120
+    for i, r in split.items():
+        assert (r.n_tokens, r.n_known) == (whole[i].n_tokens, whole[i].n_known)
+        assert r.score == pytest.approx(whole[i].score) and r.base_score == pytest.approx(whole[i].base_score)
+    parts = ctw.score_parts(rows, ctw.gram_logs(grams, 6), spark.createDataFrame([], "word binary, c long"), 6, buckets, {}, 1.0)
+    assert parts.groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 1 + spark.sparkContext.defaultParallelism
+
+
+def test_runs_with_many_letters_and_texts_are_sorted_in_two_columns():
+    rng = np.random.default_rng(3)
+    texts = [[bytes(rng.integers(128, 256, 40, dtype=np.uint8)), b"abc", b"abc"] for _ in range(300)]
+    head = np.array([np.iinfo(np.int64).max])
+    sums, runs, owner, times = ctw.rare_runs(texts, 6, head, np.zeros(1))
+    found = Counter(zip(runs.tolist(), owner.tolist(), times.tolist(), strict=True))
+    one_by_one = Counter()
+    for i, t in enumerate(texts):
+        _, own, _, n = ctw.rare_runs([t], 6, head, np.zeros(1))
+        one_by_one.update((g, i, x) for g, x in zip(own.tolist(), n.tolist(), strict=True))
+    assert found == one_by_one and (np.diff(runs) >= 0).all() and not sums.any()
