@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stockflow.lake import PERIOD, Lake
+from stockflow.operators import merge
 from stockflow.streaming import ingest
 
 SCHEMA = T.StructType().add("id", "long").add("at", "timestamp").add("kind", "string").add("v", "long")
@@ -110,3 +111,15 @@ def test_error_of_a_batch_is_raised(spark, feed):
     )
     with pytest.raises(Exception, match="NULL keys"):
         ingest.run_available(query)
+
+
+def test_replay_of_a_large_batch_leaves_a_table_that_can_be_read(spark, feed, monkeypatch):
+    """A batch that replaces all it meets is written by the stream's own session; the lake's must not look for the files that were there before."""
+    monkeypatch.setattr(merge, "SMALL_BATCH", 0)
+    lake = Lake.scratch(spark, "replay")
+    schema = T.StructType([*SCHEMA, T.StructField("day", T.DateType())])
+    for run in ("first", "replay", "again"):
+        stream = feed([(1, at(1), "a", 1), (2, at(2), run, 2)]) if run != "again" else feed()
+        query = ingest.stream_upsert(stream.withColumn("day", F.to_date("at")), lake, "t", schema, ["id", "day"], "day", f"{lake.root}-{run}", ["kind"])
+        ingest.run_available(query)
+        assert sorted((r["id"], r["v"]) for r in lake.read("t").collect()) == [(1, 1), (2, 2)]
