@@ -11,7 +11,7 @@ from stockflow.model import SALES
 from stockflow.plans import layers
 from stockflow.plans.gold_tables import AdditiveGold
 from stockflow.plans.serving import Handover, period_end
-from stockflow.queries import live
+from stockflow.queries import live, loading
 from stockflow.sources import landing
 from stockflow.streaming import ingest
 from stockflow.streaming.guarded import GuardedLoad, landing_stream
@@ -376,3 +376,30 @@ def test_deliveries_cover_all_events(spark):
     events = live.dated_events(spark, "/root/testdata/sf0.001")
     found = {r["delivery"]: r["count"] for r in events.groupBy("delivery").count().collect()}
     assert set(found) == set(range(live.DELIVERIES)) and sum(found.values()) == events.count()
+
+
+def test_gold_query_takes_a_load_then_corrections_then_older_exports(spark, tmp_path, monkeypatch):
+    """Orders that end in 3 are corrected by 2; the first load sees recent exports without corrections, the second brings these, the third the older exports."""
+    tables = {
+        "region": "SELECT 0 AS r_regionkey, 'ASIA' AS r_name",
+        "nation": "SELECT 0 AS n_nationkey, 'N' AS n_name, 0 AS n_regionkey",
+        "customer": "SELECT 1L AS c_custkey, 'C' AS c_name, 0 AS c_nationkey, 'BUILDING' AS c_mktsegment, 1.0D AS c_acctbal",
+        "part": "SELECT 1L AS p_partkey, 'P' AS p_name, 'B' AS p_brand, 1.0D AS p_retailprice, 1 AS p_size",
+        "orders": """SELECT id AS o_orderkey, 1L AS o_custkey, CAST(day AS TIMESTAMP_NTZ) AS o_orderdate, '2-HIGH' AS o_orderpriority, 10.0D AS o_totalprice, 'F' AS o_orderstatus
+            FROM VALUES (2L, '1996-03-01'), (3L, '1996-03-01'), (12L, '1999-03-01'), (13L, '1998-03-01') AS v(id, day)""",
+        "lineitem": """SELECT id AS l_orderkey, 1 AS l_linenumber, 1L AS l_partkey, 1L AS l_suppkey, 1.0D AS l_quantity, 'F' AS l_linestatus, 10.0D AS l_extendedprice,
+            TIMESTAMP_NTZ '1999-06-01 00:00:00' AS l_shipdate FROM VALUES 2L, 3L, 12L, 13L AS v(id)""",
+    }
+    for name, rows in tables.items():
+        spark.sql(rows).write.parquet(f"{tmp_path}/{name}.parquet")
+    seen, refresh = [], AdditiveGold.refresh
+
+    def watched(gold):
+        run = refresh(gold)
+        seen.append([(float(r.total_revenue_eur), r.n_rows) for r in gold.totals().collect()])
+        return run
+
+    monkeypatch.setattr(AdditiveGold, "refresh", watched)
+    found = loading.gold_incremental(spark, str(tmp_path))
+    assert [(r.total_revenue_eur, r.n_rows) for r in found.collect()] == [(44.0, 4)]
+    assert seen == [[(20.0, 2)], [(22.0, 2)], [(44.0, 4)]]
