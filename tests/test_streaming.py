@@ -123,3 +123,16 @@ def test_replay_of_a_large_batch_leaves_a_table_that_can_be_read(spark, feed, mo
         query = ingest.stream_upsert(stream.withColumn("day", F.to_date("at")), lake, "t", schema, ["id", "day"], "day", f"{lake.root}-{run}", ["kind"])
         ingest.run_available(query)
         assert sorted((r["id"], r["v"]) for r in lake.read("t").collect()) == [(1, 1), (2, 2)]
+
+
+def test_disk_state_keeps_few_versions(spark, feed, tmp_path):
+    """A checkpoint holds the last versions of the state, not one for every batch that has been."""
+    days = range(1, 7)
+    stream = feed(*[[(day, at(1, day=day), "a", 1)] for day in days])
+    with ingest.disk_state(spark, 1):
+        assert int(spark.conf.get("spark.sql.streaming.minBatchesToRetain")) == ingest.STATE_VERSIONS
+        once = ingest.without_redelivery(stream, ["id"], "at", "1 hour")
+        ingest.run_available(ingest.append_parquet(once, str(tmp_path / "out"), str(tmp_path / "c")))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == len(days)
+    commits = [f for f in (tmp_path / "c" / "commits").iterdir() if f.name.isdigit()]
+    assert len(commits) <= ingest.STATE_VERSIONS + 1 < len(days)
