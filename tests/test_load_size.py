@@ -77,3 +77,21 @@ def test_keys_of_one_print_are_not_repeats(spark, monkeypatch):
     assert lake.read("t").drop(PERIOD).count() == 3
     with pytest.raises(merge.DuplicateKeys):
         merge.upsert(lake, "t", rows.schema, rows.unionByName(rows.limit(1)), ["id", "day"], "day")
+
+
+def test_a_large_batch_of_new_keys_adds_files_and_rewrites_none(spark, monkeypatch):
+    monkeypatch.setattr(merge, "SMALL_BATCH", 0)
+    lake = Lake.scratch(spark, "added")
+
+    def put(first, last, v):
+        rows = spark.sql(f"SELECT id, DATE '2024-01-01' AS day, {v} AS v FROM range({first}, {last})")
+        merge.upsert(lake, "t", rows.schema, rows, ["id", "day"], "day")
+        return set(lake.read("t").inputFiles())
+
+    before = put(0, 5, 1)
+    added = put(5, 8, 2)
+    assert before < added
+    assert sorted((r.id, r.v) for r in lake.read("t").collect()) == [(i, 1 if i < 5 else 2) for i in range(8)]
+    again = put(5, 9, 3)  # as after a write that broke off: rows that are there already are replaced
+    assert not again & added
+    assert sorted((r.id, r.v) for r in lake.read("t").collect()) == [(i, 1 if i < 5 else 3) for i in range(9)]
